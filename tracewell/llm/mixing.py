@@ -6,7 +6,8 @@ between two documents, in inverse proportion to their sizes, until one of them i
 keeps every document's expectation and the sum of size x copies. Blocks of documents do this
 side by side, each leaves at most one undecided document, and these residuals are combined by
 the next level of a reduction tree until each source has one, which is drawn. A source thus
-misses its target by less than one document. Only DataFrame functions are used; chance comes
+misses its target by less than one document; within a block, long documents are paired before
+short ones, so that the one left over is likely short. Only DataFrame functions are used; chance comes
 from hashes, so reruns agree.
 """
 
@@ -125,7 +126,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str
     while most_units > 1:
         blocks = F.ceil(F.col("n_units") / BLOCK)
         nodes = open_.groupBy(F.col("unit.source").alias("source"), F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "unit.key"), blocks).alias("block"))
-        drawn = F.array_sort(F.collect_list(F.struct(F.xxhash64(F.lit(seed), F.lit(~level), "unit.key").alias("at"), "unit", "weight", "p")))
+        drawn = F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("first"), F.xxhash64(F.lit(seed), F.lit(~level), "unit.key").alias("at"), "unit", "weight", "p")))
         rounded = nodes.agg(drawn.alias("units"), F.max("n_units").alias("n_units")).select("n_units", _block(F.transform("units", lambda x: F.struct(x.unit.alias("unit"), x.weight.alias("weight"), x.p.alias("p"))), seed, level).alias("node"))
         rounded = stage(rounded, f"level{level}")
         decided.append(rounded.select(F.inline("node.decided")))
