@@ -3,11 +3,12 @@
 A source's documents each have the same expected number of copies, target / size. The whole
 part is fixed; the fractional parts are rounded in pairs: copy probability is moved at random
 between two documents, in inverse proportion to their sizes, until one of them is 0 or 1. This
-keeps every document's expectation and the sum of size x copies. Blocks of documents do this
-side by side, each leaves at most one undecided document, and these residuals are combined by
-the next level of a reduction tree until each source has one, which is drawn. A source thus
-misses its target by less than one document; within a block, long documents are paired before
-short ones, so that the one left over is likely short. Only DataFrame functions are used; chance comes
+keeps every document's expectation and the sum of size x copies. First, each document that
+holds over LARGE of its source's words (fewer than 1 / LARGE can) is paired with all documents
+after it as one. Then blocks of the others are rounded side by side, each leaves at most one
+undecided document, and these residuals are combined by the next level of a reduction tree
+until each source has one, which is drawn. A source thus misses its target by less than one
+document that isn't large, unless large ones are all it has. Only DataFrame functions are used; chance comes
 from hashes, so reruns agree.
 """
 
@@ -26,6 +27,8 @@ MOST = 3
 WEIGHTS = (1, 2, 3)
 #: Documents that one block of the reduction tree rounds in sequence.
 BLOCK = 128
+#: Share of its source's words from which a document is rounded against the whole rest of the source.
+LARGE = 1 / 500
 #: Rows of one range of the sources' order.
 RANGE = 100_000
 
@@ -93,9 +96,42 @@ def _block(units: Column, seed: int, level: int) -> Column:
         )
         return F.when(a.isNull(), F.struct(state.decided.alias("decided"), b.alias("rest"))).otherwise(moved)
 
-    unit = "struct<doc_id:bigint,source:string,size:bigint,key:bigint,rows:bigint>"
-    none = F.lit(None)
-    start = F.struct(F.array().cast(f"array<struct<unit:{unit},up:boolean>>").alias("decided"), none.cast(f"struct<unit:{unit},weight:double,p:double>").alias("rest"))
+    start = F.struct(F.array().cast(f"array<struct<unit:{UNIT},up:boolean>>").alias("decided"), F.lit(None).cast(f"struct<unit:{UNIT},weight:double,p:double>").alias("rest"))
+    return F.aggregate(units, start, step)
+
+
+UNIT = "struct<doc_id:bigint,source:string,size:bigint,key:bigint,rows:bigint>"
+
+
+def _large(units: Column, p: Column, total: Column, seed: int) -> Column:
+    """Rounds large units, largest first, each against all that follows as one unit.
+
+    units: array of (unit, weight); p: what all documents of the source start with; total: the
+    weight of all. Struct (decided, rest: an undecided unit or null, p: of the documents that
+    follow, left: their weight).
+    """
+
+    def step(state: Column, a: Column) -> Column:
+        left = F.greatest(state.left - a.weight, F.lit(0.0))
+        ratio = left / a.weight
+        raise_a = F.least(1 - state.p, state.p * ratio)
+        lower_a = F.least(state.p, (1 - state.p) * ratio)
+        up = _uniform(seed, -1, a.unit.key) * (raise_a + lower_a) < lower_a
+        a_done = F.when(up, 1 - state.p <= state.p * ratio).otherwise(state.p <= (1 - state.p) * ratio)
+        move = F.when(up, raise_a).otherwise(-lower_a)
+        others = F.when(a_done, F.least(F.greatest(state.p - move / ratio, F.lit(0.0)), F.lit(1.0))).otherwise(F.when(up, 0.0).otherwise(1.0))
+        paired = F.struct(
+            F.when(a_done, F.concat(state.decided, F.array(F.struct(a.unit.alias("unit"), up.alias("up"))))).otherwise(state.decided).alias("decided"),
+            F.when(~a_done, F.struct(a.unit.alias("unit"), a.weight.alias("weight"), (state.p + move).alias("p"))).alias("rest"),
+            others.alias("p"),
+            left.alias("left"),
+        )
+        # Once all that follows is decided, so is the next.
+        settled = F.struct(F.concat(state.decided, F.array(F.struct(a.unit.alias("unit"), (state.p > 0.5).alias("up")))).alias("decided"), state.rest.alias("rest"), state.p.alias("p"), left.alias("left"))
+        last = F.struct(state.decided.alias("decided"), F.struct(a.unit.alias("unit"), a.weight.alias("weight"), state.p.alias("p")).alias("rest"), state.p.alias("p"), left.alias("left"))
+        return F.when((state.p <= 1e-12) | (state.p >= 1 - 1e-12), settled).when(left <= 0, last).otherwise(paired)
+
+    start = F.struct(F.array().cast(f"array<struct<unit:{UNIT},up:boolean>>").alias("decided"), F.lit(None).cast(f"struct<unit:{UNIT},weight:double,p:double>").alias("rest"), p.alias("p"), total.alias("left"))
     return F.aggregate(units, start, step)
 
 
@@ -117,10 +153,18 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str
     goals = stage(goals.select("_source", "source_size", "target", "n_units", share.alias("share")), "shares")
     unit = F.struct("doc_id", "source", "size", "key", "rows").alias("unit")
     whole = F.floor("share")
-    parts = units.join(goals, F.col("source").eqNullSafe(F.col("_source"))).select(unit, "n_units", (F.col("size") * F.col("rows")).cast("double").alias("weight"), (F.col("share") - whole).alias("p"))
-    alone = (F.col("weight") == 0) | (F.col("p") <= 1e-12) | (F.col("p") >= 1 - 1e-12)
-    decided = [parts.where(alone).select("unit", (_uniform(seed, F.col("unit.key")) < F.col("p")).alias("up"))]
-    open_ = parts.where(~alone)
+    parts = units.join(goals, F.col("source").eqNullSafe(F.col("_source"))).select(unit, "source", "source_size", "n_units", (F.col("size") * F.col("rows")).cast("double").alias("weight"), (F.col("share") - whole).alias("p"))
+    settled = lambda p: (p <= 1e-12) | (p >= 1 - 1e-12)
+    empty = parts.where(F.col("weight") == 0).select("unit", (_uniform(seed, F.col("unit.key")) < F.col("p")).alias("up"))
+    is_large = F.col("weight") > F.col("source_size") * LARGE
+    order = F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("first"), F.xxhash64(F.lit(seed), "unit.key").alias("at"), "unit", "weight")))
+    large = parts.where(is_large).groupBy("source").agg(order.alias("units"), F.max("source_size").cast("double").alias("total"), F.max("p").alias("p"), F.max("n_units").alias("n_units"))
+    large = stage(large.select("source", "n_units", _large(F.col("units"), F.col("p"), F.col("total"), seed).alias("node")), "large")
+    rest = parts.where(~is_large & (F.col("weight") > 0)).join(large.select(F.col("source").alias("_s"), F.col("node.p").alias("_p")), F.col("source").eqNullSafe(F.col("_s")), "left")
+    rest = rest.select("unit", "n_units", "weight", F.coalesce("_p", "p").alias("p"))
+    decided = [empty, large.select(F.inline("node.decided")), rest.where(settled(F.col("p"))).select("unit", (F.col("p") > 0.5).alias("up"))]
+    undecided = large.where("node.rest IS NOT NULL").select("node.rest.unit", "n_units", "node.rest.weight", "node.rest.p")
+    open_ = rest.where(~settled(F.col("p"))).unionByName(undecided)
     most_units = sources.agg(F.max("n_units")).first()[0] or 0
     level = 0
     while most_units > 1:

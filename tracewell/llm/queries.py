@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import bpe_trie, line_dedup, mixing, quality_rules
-from tracewell.llm.common import stage, table
+from tracewell.llm import bpe_trie, line_dedup, mixing, quality_rules, rans_files
+from tracewell.llm.common import shared_dir, stage, table
 
 #: Folder of the public tokenizer files.
 TOKENIZERS = os.environ.get("TRACEWELL_TOKENIZERS", "/opt/tokenizers")
@@ -19,6 +20,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op5_rans_files(spark: SparkSession, sf_dir: str, tokenizer: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
+    path = f"{shared_dir(spark)}/tracewell/token-files-{uuid.uuid4().hex}"
+    rans_files.write(table(spark, sf_dir, "documents"), path, tokenizer, end_id=0)
+    rows = rans_files.read(spark, path)
+    sized = rows.select("part", "block", "doc_id", "offset", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    return sized.join(rans_files.starts(rans_files.read_index(spark, path)), ["part", "block"]).select("doc_id", (F.col("block_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     lined = pages.select("page_id", line_dedup.url_host(F.col("url")).alias("host"), line_dedup.html_lines(F.col("html")).alias("lines"))
@@ -41,5 +50,5 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op7_line_dedup, op8_bpe_trie, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op5_rans_files, op7_line_dedup, op8_bpe_trie, op9_quality_rules)}
 ORACLES: dict[str, str] = {}
