@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import bpe_trie, line_dedup, mixing, quality_rules, rans_files
+from tracewell.llm import block_search, bpe_trie, license_scan, line_dedup, lm_scoring, mixing, quality_rules, rans_files
 from tracewell.llm.common import shared_dir, stage, table
 
 #: Folder of the public tokenizer files.
@@ -20,6 +20,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op3_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents that every label of theirs calls good and not toxic."""
+    marks = table(spark, sf_dir, "labels").where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(marks, "doc_id", "left")
+    return lm_scoring.cross_entropy_difference(docs, F.col("good")).drop("good")
+
+
 def op5_rans_files(spark: SparkSession, sf_dir: str, tokenizer: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
     path = f"{shared_dir(spark)}/tracewell/token-files-{uuid.uuid4().hex}"
     rans_files.write(table(spark, sf_dir, "documents"), path, tokenizer, end_id=0)
@@ -28,6 +35,10 @@ def op5_rans_files(spark: SparkSession, sf_dir: str, tokenizer: str = f"{TOKENIZ
     return sized.join(rans_files.starts(rans_files.read_index(spark, path)), ["part", "block"]).select("doc_id", (F.col("block_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op6_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     lined = pages.select("page_id", line_dedup.url_host(F.col("url")).alias("host"), line_dedup.html_lines(F.col("html")).alias("lines"))
@@ -50,5 +61,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op5_rans_files, op7_line_dedup, op8_bpe_trie, op9_quality_rules)}
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_lm_difference, op5_rans_files, op6_block_search, op7_line_dedup, op8_bpe_trie, op9_quality_rules, op10_license_scan)}
 ORACLES: dict[str, str] = {}
