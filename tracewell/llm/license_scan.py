@@ -24,7 +24,7 @@ K, WINDOW = 3, 2
 #: Words that the text may run ahead of or behind the template.
 BAND = 8
 #: Distinct words whose ids a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: Least share of a template's words in a report.
 COVERAGE = 0.8
 

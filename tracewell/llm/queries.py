@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import block_search, bpe_trie, license_scan, line_dedup, lm_scoring, mixing, quality_rules, rans_files
+from tracewell.llm import block_search, bpe_trie, license_scan, line_dedup, lm_scoring, mixing, quality_rules, rans_files, substring_dedup
 from tracewell.llm.common import shared_dir, stage, table
 
 #: Folder of the public tokenizer files.
@@ -20,6 +20,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents that every label of theirs calls good and not toxic."""
     marks = table(spark, sf_dir, "labels").where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
@@ -65,5 +70,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_lm_difference, op5_rans_files, op6_block_search, op7_line_dedup, op8_bpe_trie, op9_quality_rules, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_lm_difference, op5_rans_files, op6_block_search, op7_line_dedup, op8_bpe_trie, op9_quality_rules, op10_license_scan)}
 ORACLES: dict[str, str] = {}
