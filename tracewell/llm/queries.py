@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import block_search, bpe_trie, license_scan, line_dedup, lm_scoring, mixing, quality_rules, rans_files, substring_dedup
+from tracewell.llm import block_search, bpe_trie, jaccard_join, license_scan, line_dedup, lm_scoring, mixing, quality_rules, rans_files, substring_dedup
 from tracewell.llm.common import shared_dir, stage, table
 
 #: Folder of the public tokenizer files.
@@ -32,6 +32,10 @@ def op3_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.cross_entropy_difference(docs, F.col("good")).drop("good")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op5_rans_files(spark: SparkSession, sf_dir: str, tokenizer: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
     path = f"{shared_dir(spark)}/tracewell/token-files-{uuid.uuid4().hex}"
     rans_files.write(table(spark, sf_dir, "documents"), path, tokenizer, end_id=0)
@@ -70,5 +74,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_lm_difference, op5_rans_files, op6_block_search, op7_line_dedup, op8_bpe_trie, op9_quality_rules, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_lm_difference, op4_jaccard_join, op5_rans_files, op6_block_search, op7_line_dedup, op8_bpe_trie, op9_quality_rules, op10_license_scan)}
 ORACLES: dict[str, str] = {}
