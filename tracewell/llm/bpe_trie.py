@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +20,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tracewell.llm.recent import Recent
+
 #: Text is worked on in slices of about so many bytes, which bounds a task's memory.
-SLICE_BYTES = 4 << 20
-#: Distinct words that a worker remembers before it forgets all and starts again.
-REMEMBERED = 400_000
+SLICE_BYTES = 2 << 20
+#: Distinct words in each of the two generations that a worker remembers.
+REMEMBERED = 100_000
 #: Unicode White_Space.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NEVER = 1 << 62
@@ -62,18 +63,27 @@ class Vocabulary:
         for left, right, rank in self.parts.values():
             if max(self.parts[x][2] if x in self.parts else -1 for x in (left, right)) >= rank:
                 raise ValueError("a merge stands before the merges of its parts")
-        self.longest = max(map(len, self.ids))
-        self.fits: dict[tuple[int, int], bool] = {}
+        mark = len(self.end)
+        self.sizes = [len(x) - (mark if mark and x.endswith(self.end) else 0) for x in names]
+        # The most symbols in a token, by its last two symbols.
+        self.reach: dict[str, int] = {}
+        for name, token in self.ids.items():
+            if (size := self.sizes[token]) > 1:
+                tail = name[size - 2 :]
+                self.reach[tail] = max(size, self.reach.get(tail, 0))
+        self.fits = Recent(200_000)
         self.whole: dict[int, bool] = {}
+        self.edges = Recent(50_000)
 
-    @lru_cache(maxsize=1 << 17)  # noqa: B019  one vocabulary lives as long as its worker
     def edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """Tokens that stand at the token's left (0) or right (1) end as it is merged, each with the rank that uses it up."""
-        found = [(token, NEVER)]
-        while token in self.parts:
-            rank, token = self.parts[token][2], self.parts[token][side]
-            found.append((token, rank))
-        return found[::-1]
+        if self.edges.unknown([(token, side)]):
+            found, inner = [(token, NEVER)], token
+            while inner in self.parts:
+                rank, inner = self.parts[inner][2], self.parts[inner][side]
+                found.append((inner, rank))
+            self.edges[token, side] = found[::-1]
+        return self.edges[token, side]
 
     def apart(self, a: int, b: int, until: int = NEVER) -> bool:
         """Whether nothing merges across the border of two tokens before the merge `until`."""
@@ -100,22 +110,27 @@ class Vocabulary:
             known = self.whole[token] = self.is_whole(left) and self.is_whole(right) and self.apart(left, right, rank)
         return known
 
-    def fit(self, a: int, b: int) -> bool:
-        if (known := self.fits.get((a, b))) is None:
-            if len(self.fits) > 2_000_000:
-                self.fits.clear()
-            known = self.fits[a, b] = self.apart(a, b)
-        return known
-
-    def last_token(self, path: list[str], lasts: list[int]) -> int:
-        """The last token of the encoding of the symbols in path; lasts: those of all shorter prefixes."""
-        n, text = len(path), "".join(path)
-        at = len(text) - len(path[-1])
-        for size in range(1, min(n, self.longest) + 1):
-            token = self.ids.get(text[at - size + 1 :])
-            if token is not None and self.is_whole(token) and (size == n or self.fit(lasts[n - size - 1], token)):
+    def last_token(self, path: str, symbol: str, n: int, lasts: list[int]) -> int:
+        """The last token of the encoding of a prefix of n symbols; lasts: those of all shorter prefixes."""
+        at = len(path) - len(symbol)
+        ids, fits = self.ids.get, self.fits
+        for size in range(min(n, self.reach.get(path[at - 1 :], 1) if n > 1 else 1), 0, -1):
+            token = ids(path[at - size + 1 :])
+            if token is None:
+                continue
+            if size == n:
+                if self.is_whole(token):
+                    return token
+                continue
+            key = lasts[n - size - 1], token
+            try:
+                fit = fits[key]
+            except KeyError:
+                fits.unknown(())
+                fit = fits[key] = self.is_whole(token) and self.apart(*key)
+            if fit:
                 return token
-        raise ValueError(f"no encoding for {''.join(path)!r}")
+        raise ValueError(f"no encoding for {path!r}")
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Token ids of each distinct word.
@@ -123,40 +138,43 @@ class Vocabulary:
         Sorted, the words are the leaves of their trie in depth-first order; the stack holds
         the path from the root and the last token of each prefix on it.
         """
-        keyed = sorted((tuple(self.symbol[b] for b in w.encode()), w) for w in words)
-        path: list[str] = []
+        end, last_token = self.end, self.last_token
+        translate = {b: c for b, c in enumerate(self.symbol)}
+        before: str = ""
+        texts: list[str] = []  # the path: each prefix as text
         lasts: list[int] = []
-        lengths = {}
         out = {}
-        for symbols, word in keyed:
+        for symbols, word in sorted((w.encode().decode("latin-1").translate(translate), w) for w in words):
             if not symbols:
                 out[word] = []
                 continue
-            edges = [*symbols[:-1], symbols[-1] + self.end]
-            shared = 0
-            for x, y in zip(path, edges, strict=False):
-                if x != y:
-                    break
+            # The last symbol of a word is another one than in the middle of a word, so it is never shared.
+            n = len(symbols)
+            shared, most = 0, min(len(before), n) - 1
+            while shared < most and before[shared] == symbols[shared]:
                 shared += 1
-            del path[shared:], lasts[shared:]
-            for symbol in edges[shared:]:
-                path.append(symbol)
-                lasts.append(self.last_token(path, lasts))
-            ids, at = [], len(path)
+            del texts[shared:], lasts[shared:]
+            text = texts[-1] if texts else ""
+            for i in range(shared, n - 1):
+                symbol = symbols[i]
+                text += symbol
+                lasts.append(last_token(text, symbol, i + 1, lasts))
+                texts.append(text)
+            symbol = symbols[-1] + end
+            lasts.append(last_token(text + symbol, symbol, n, lasts))
+            texts.append(text + symbol)
+            ids, at = [], n
             while at:
                 token = lasts[at - 1]
                 ids.append(token)
-                if token not in lengths:
-                    lengths[token] = self.size(token)
-                at -= lengths[token]
+                at -= self.size(token)
             out[word] = ids[::-1]
+            before = symbols
         return out
 
     def size(self, token: int) -> int:
         """Symbols in a token; the end-of-word mark is part of the last one."""
-        if token in self.parts:
-            return self.size(self.parts[token][0]) + self.size(self.parts[token][1])
-        return 1
+        return self.sizes[token]
 
 
 class Encoder:
@@ -165,8 +183,8 @@ class Encoder:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.path = path
-        self.known: dict[str, bytes] = {}  # of chunks: what stands between white space
-        self.known_words: dict[str, bytes] = {}
+        self.known = Recent(REMEMBERED)  # of chunks: what stands between white space
+        self.known_words = Recent(REMEMBERED)
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.vocabulary.special, key=len, reverse=True))) + ")")
         self.word = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
         self.space = re.compile(f"[{SPACE}]+")
@@ -195,12 +213,8 @@ class Encoder:
 
     def learn(self, chunks: set[str]) -> None:
         """Encodes chunks that were not seen before, by the trie of their distinct words."""
-        if len(self.known) + len(chunks) > REMEMBERED:
-            self.known.clear()
-        if len(self.known_words) > REMEMBERED:
-            self.known_words.clear()
         split = {c: self.words(c) for c in chunks}
-        new = set().union(*split.values()) - self.known_words.keys()
+        new = self.known_words.unknown(set().union(*split.values()))
         for word, ids in self.vocabulary.encode_words(new).items():
             self.known_words[word] = np.array(ids, "<i4").tobytes()
         get = self.known_words.__getitem__
@@ -217,9 +231,8 @@ class Encoder:
                 marked[i] = [np.array([self.vocabulary.special[x]], "<i4").tobytes() for x in parts[1::2]]
             else:
                 split.append([self.chunks(text)] if text else [])
-        seen = set().union(*(part for row in split for part in row))
-        if new := seen - self.known.keys():
-            self.learn(new if len(self.known) + len(new) <= REMEMBERED else seen)
+        if new := self.known.unknown(set().union(*(part for row in split for part in row))):
+            self.learn(new)
         get = self.known.__getitem__
         out = []
         for i, row in enumerate(split):
