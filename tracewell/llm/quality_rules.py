@@ -155,24 +155,21 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Dat
     over = F.lit(False)
     for name, score in rules.items():
         over = over | F.coalesce(score > F.col(f"_cut_{name}"), F.lit(False))
-    joined = joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~over)
+    # One comparison, not a conjunction: a filter on kept must not be split and pushed down, where it
+    # would take a copy of all that makes the metrics with it.
+    kept = F.greatest(base_failed().cast("int"), over.cast("int")) == 0
+    joined = joined.withColumn("base_failed", base_failed()).withColumn("kept", kept)
     return joined.drop("_stratum", *(f"_cut_{r}" for r in rules))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text", doc_id: str = "doc_id", risk: float = 0.02, delta: float = 0.05) -> DataFrame:
     """The rows of docs that are kept, with their own columns only.
 
-    Measures the labelled documents for the cutoffs (staged, since they are few), then all of
-    them once more to filter, so that no text is shuffled.  Repeated rows are judged each.
+    Measures all documents for the cutoffs (staged without texts), then once more to filter, so
+    that no text is shuffled. Repeated rows are judged each.
     """
-    known = labels.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(doc_id)).distinct()
-    narrow = metrics(docs.select(doc_id, stratum, text), text).drop(text)
-    cutoffs = stage(thresholds(narrow.join(known, doc_id, "left_semi"), labels, stratum, doc_id, risk, delta), "cutoffs")
-    added = [c for c in METRICS if c not in docs.columns]
-    if len(added) < len(METRICS):
-        renamed = docs.withColumnsRenamed({c: f"_own_{c}" for c in METRICS if c in docs.columns})
-        judged = judge(metrics(renamed, text), cutoffs, stratum).where("kept").drop(*METRICS)
-        judged = judged.withColumnsRenamed({f"_own_{c}": c for c in METRICS if c in docs.columns})
-    else:
-        judged = judge(metrics(docs, text), cutoffs, stratum).where("kept")
-    return judged.select(*docs.columns)
+    measured = stage(metrics(docs.select(doc_id, stratum, text), text).drop(text), "metrics")
+    cutoffs = stage(thresholds(measured, labels, stratum, doc_id, risk, delta), "cutoffs")
+    clash = {c: f"_own_{c}" for c in (*METRICS, "base_failed", "kept") if c in docs.columns}
+    judged = judge(metrics(docs.withColumnsRenamed(clash), text), cutoffs, stratum).where("kept")
+    return judged.select(*(F.col(clash.get(c, c)).alias(c) for c in docs.columns))
