@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tracewell.llm.bpe_trie import slices
 from tracewell.llm.common import stage
 from tracewell.llm.components import connected
-from tracewell.llm.substring_dedup import hash_words, mix
+from tracewell.llm.word_hash import hashes_of, mix, word_hashes
 
 #: Words in a token of a set; least similarity of a link, as a fraction.
 SHINGLE = 5
@@ -45,12 +45,10 @@ PERMUTE = np.random.default_rng(64).integers(1, 1 << 31, (2, SKETCH), dtype=np.u
 KEY = ("path", "block_a", "block_b")
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """The sorted set of hashes of a text's runs of SHINGLE words; a shorter text is one run; a text without words has none."""
-    words = text.encode("utf-8", "surrogatepass").split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = hash_words(words)
+def shingles(hashes: np.ndarray) -> np.ndarray:
+    """The sorted set of hashes of the runs of SHINGLE words of a text; a shorter text is one run; a text without words has none."""
+    if not len(hashes):
+        return hashes
     n = max(1, len(hashes) - SHINGLE + 1)
     total = np.zeros(n, np.uint64)
     for i in range(min(SHINGLE, len(hashes))):
@@ -80,8 +78,9 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             rows = []
-            for text in part.column("text").to_pylist():
-                tokens = shingles(text)
+            hashes, ends = word_hashes(part.column("text"))
+            for a, b in zip([0, *ends], ends, strict=False):
+                tokens = shingles(hashes[a:b])
                 name = xxhash.xxh3_128_digest(tokens.tobytes())
                 paths = np.unique(chosen(tokens, 0, RUNS)) if len(tokens) else tokens
                 rows.append((int.from_bytes(name[:8], "little", signed=True), int.from_bytes(name[8:], "little", signed=True), len(tokens), paths.view(np.int64), sketch(tokens) if len(tokens) else b""))
@@ -99,7 +98,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tokens(packed: pa.Scalar) -> np.ndarray:
-    return shingles(zstandard.ZstdDecompressor().decompress(packed.as_py()).decode("utf-8", "surrogatepass"))
+    return shingles(hashes_of(zstandard.ZstdDecompressor().decompress(packed.as_py())))
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
