@@ -48,13 +48,13 @@ def boilerplate(lined: DataFrame, host: str = "host", lines: str = "lines", rati
     Counts each page once a line, sums within tasks before the shuffle by (host, line), and
     leaves blank lines out. Pages with a null host have no site and take no part.
     """
-    pages = lined.where(F.col(host).isNotNull()).select(F.col(host).alias("_host"), F.transform(F.array_distinct(F.filter(F.col(lines), lambda x: x.rlike(WORD))), lambda x: F.xxhash64(x)).alias("_keys"))
+    pages = lined.where(F.col(host).isNotNull()).select(F.col(host).alias("__tw_host"), F.transform(F.array_distinct(F.filter(F.col(lines), lambda x: x.rlike(WORD))), lambda x: F.xxhash64(x)).alias("__tw_keys"))
     # The row with a null key, one a page, counts the host's pages in the same pass.
-    keyed = pages.select("_host", F.explode(F.concat(F.coalesce("_keys", F.array().cast("array<bigint>")), F.array(F.lit(None).cast("bigint")))).alias("_key"))
-    counts = stage(keyed.groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1), "lines")
-    totals = counts.where(F.col("_key").isNull() & (F.col("_n") >= min_pages)).select(F.col("_host").alias("_site"), F.col("_n").alias("_pages"))
-    common = counts.where(F.col("_key").isNotNull()).join(totals, F.col("_host") == F.col("_site")).where(F.col("_n") > ratio * F.col("_pages"))
-    return common.groupBy(F.col("_host").alias("host")).agg(F.sort_array(F.collect_list("_key")).alias("drop"))
+    keyed = pages.select("__tw_host", F.explode(F.concat(F.coalesce("__tw_keys", F.array().cast("array<bigint>")), F.array(F.lit(None).cast("bigint")))).alias("__tw_key"))
+    counts = stage(keyed.groupBy("__tw_host", "__tw_key").agg(F.count(F.lit(1)).alias("__tw_n")).where(F.col("__tw_n") > 1), "lines")
+    totals = counts.where(F.col("__tw_key").isNull() & (F.col("__tw_n") >= min_pages)).select(F.col("__tw_host").alias("__tw_site"), F.col("__tw_n").alias("__tw_pages"))
+    common = counts.where(F.col("__tw_key").isNotNull()).join(totals, F.col("__tw_host") == F.col("__tw_site")).where(F.col("__tw_n") > ratio * F.col("__tw_pages"))
+    return common.groupBy(F.col("__tw_host").alias("host")).agg(F.sort_array(F.collect_list("__tw_key")).alias("drop"))
 
 
 def line_dedup(lined: DataFrame, host: str = "host", lines: str = "lines", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -64,18 +64,18 @@ def line_dedup(lined: DataFrame, host: str = "host", lines: str = "lines", ratio
     goes; blank lines stay. Null lines give null and 0, a null host keeps all. Repeated rows count
     as pages of their own. Columns named kept_lines or n_dropped are replaced.
     """
-    drops = stage(boilerplate(lined, host, lines, ratio, min_pages), "boilerplate").withColumnsRenamed({"host": "_host", "drop": "_drop"})
-    joined = lined.drop("kept_lines", "n_dropped").join(drops, F.col(host) == F.col("_host"), "left")
-    kept = F.when(F.col("_drop").isNull(), F.col(lines)).otherwise(F.filter(F.col(lines), lambda x: ~F.array_contains("_drop", F.xxhash64(x))))
+    drops = stage(boilerplate(lined, host, lines, ratio, min_pages), "boilerplate").withColumnsRenamed({"host": "__tw_host", "drop": "__tw_drop"})
+    joined = lined.drop("kept_lines", "n_dropped").join(drops, F.col(host) == F.col("__tw_host"), "left")
+    kept = F.when(F.col("__tw_drop").isNull(), F.col(lines)).otherwise(F.filter(F.col(lines), lambda x: ~F.array_contains("__tw_drop", F.xxhash64(x))))
     joined = joined.withColumn("kept_lines", kept)
-    return joined.withColumn("n_dropped", F.coalesce(F.size(lines) - F.size("kept_lines"), F.lit(0)).cast("bigint")).drop("_host", "_drop")
+    return joined.withColumn("n_dropped", F.coalesce(F.size(lines) - F.size("kept_lines"), F.lit(0)).cast("bigint")).drop("__tw_host", "__tw_drop")
 
 
 def dedup_texts(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """docs with boilerplate lines cut out of text; all rows and columns stay, a null text stays null."""
     own = docs.columns
-    lined = docs.select(*own, F.col(host).alias("_site_name"), text_lines(F.col(text)).alias("_split"))
-    done = line_dedup(lined.withColumnsRenamed({c: f"_own_{c}" for c in ("kept_lines", "n_dropped") if c in own}), "_site_name", "_split", ratio, min_pages)
+    lined = docs.select(*own, F.col(host).alias("__tw_site_name"), text_lines(F.col(text)).alias("__tw_split"))
+    done = line_dedup(lined.withColumnsRenamed({c: f"__tw_own_{c}" for c in ("kept_lines", "n_dropped") if c in own}), "__tw_site_name", "__tw_split", ratio, min_pages)
     new = F.when(F.col("n_dropped") > 0, F.array_join("kept_lines", "\n")).otherwise(F.col(text))
-    columns = [F.col(f"_own_{c}").alias(c) if c in ("kept_lines", "n_dropped") else F.col(c) for c in own]
+    columns = [F.col(f"__tw_own_{c}").alias(c) if c in ("kept_lines", "n_dropped") else F.col(c) for c in own]
     return done.withColumn(text, new).select(*columns)

@@ -7,8 +7,8 @@ keeps every document's expectation and the sum of size x copies. First, each doc
 holds over LARGE of its source's words (fewer than 1 / LARGE can) is paired with all documents
 after it as one. Then blocks of the others are rounded side by side, each leaves at most one
 undecided document, and these residuals are combined by the next level of a reduction tree
-until each source has one, which is drawn. A source thus misses its target by less than one
-document that isn't large, unless large ones are all it has. Only DataFrame functions are used; chance comes
+until each source has one, which goes to the nearer side. A source thus misses its target by at
+most half a document, and by half a document that isn't large unless those are all it has. Only DataFrame functions are used; chance comes
 from hashes, so reruns agree.
 """
 
@@ -177,7 +177,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str
         open_ = rounded.where("node.rest IS NOT NULL").select("node.rest.unit", F.ceil(F.col("n_units") / BLOCK).alias("n_units"), "node.rest.weight", "node.rest.p")
         most_units = -(-most_units // BLOCK)
         level += 1
-    decided.append(open_.select("unit", (_uniform(seed, level, F.col("unit.key")) < F.col("p")).alias("up")))
+    decided.append(open_.select("unit", (F.col("p") > 0.5).alias("up")))
     ups = reduce(DataFrame.unionAll, decided).select("unit.*", F.col("up").cast("int").alias("up"))
     told = ups.join(goals, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "source", "key", "size", "source_size", "target", "rows", (whole.cast("int") + F.col("up")).alias("copies"))
     return told.select("doc_id", "source", "key", "size", "source_size", "target", F.explode(F.sequence(F.lit(1).cast("bigint"), "rows")).alias("_row"), "copies").drop("_row")
@@ -185,8 +185,8 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str
 
 def repeat(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, most: float = MOST, seed: int = 0) -> DataFrame:
     """The mixture itself: each row of docs as often as mix() has copies of it, with the columns of docs."""
-    copies = mix(docs, source, text, doc_id, weights, most, seed).groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(F.max("copies").alias("_copies"))
-    keyed = docs.withColumn("_row_key", F.xxhash64(F.col(doc_id), F.col(source), F.col(text)))
-    same = (F.col("_row_key") == F.col("_key")) & F.col(doc_id).cast("bigint").eqNullSafe(F.col("_doc"))
-    taken = keyed.join(copies.where("_copies > 0"), same)
-    return taken.select(*(F.col(c) for c in docs.columns), F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")
+    copies = mix(docs, source, text, doc_id, weights, most, seed).groupBy(F.col("doc_id").alias("__tw_doc"), F.col("key").alias("__tw_key")).agg(F.max("copies").alias("__tw_copies"))
+    keyed = docs.withColumn("__tw_row_key", F.xxhash64(F.col(doc_id), F.col(source), F.col(text)))
+    same = (F.col("__tw_row_key") == F.col("__tw_key")) & F.col(doc_id).cast("bigint").eqNullSafe(F.col("__tw_doc"))
+    taken = keyed.join(copies.where("__tw_copies > 0"), same)
+    return taken.select(*(F.col(c) for c in docs.columns), F.explode(F.sequence(F.lit(1), "__tw_copies")).alias("__tw_copy")).drop("__tw_copy")

@@ -52,34 +52,34 @@ def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     for c in SYMBOLS:
         symbols = F.replace(symbols, F.lit(c), F.lit(""))
     lines = F.filter(F.split(text_col, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    df = docs.select(*kept, spaced(F.col(text)).alias("_spaced"), lines.alias("_lines"), (F.length(text_col) - F.length(symbols)).alias("_symbols"))
-    df = df.select(*kept, F.array_remove(F.split("_spaced", " "), "").alias("_words"), F.length(F.replace(F.col("_spaced"), F.lit(" "), F.lit(""))).alias("_chars"), "_lines", "_symbols", (F.length("_spaced") - F.length(F.replace(F.col("_spaced"), F.lit("!"), F.lit("")))).alias("_bangs"))
+    df = docs.select(*kept, spaced(F.col(text)).alias("__tw_spaced"), lines.alias("__tw_lines"), (F.length(text_col) - F.length(symbols)).alias("__tw_symbols"))
+    df = df.select(*kept, F.array_remove(F.split("__tw_spaced", " "), "").alias("__tw_words"), F.length(F.replace(F.col("__tw_spaced"), F.lit(" "), F.lit(""))).alias("__tw_chars"), "__tw_lines", "__tw_symbols", (F.length("__tw_spaced") - F.length(F.replace(F.col("__tw_spaced"), F.lit("!"), F.lit("")))).alias("__tw_bangs"))
     counts = [
-        F.size("_words").cast("bigint").alias("n_words"),
-        F.col("_chars").cast("bigint").alias("word_chars"),
-        F.col("_symbols").cast("bigint").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
-        F.col("_bangs").cast("bigint").alias("n_bangs"),
-        F.size("_lines").cast("bigint").alias("n_lines"),
+        F.size("__tw_words").cast("bigint").alias("n_words"),
+        F.col("__tw_chars").cast("bigint").alias("word_chars"),
+        F.col("__tw_symbols").cast("bigint").alias("n_symbols"),
+        (F.size("__tw_lines") - F.size(F.array_distinct("__tw_lines"))).cast("bigint").alias("n_dup_lines"),
+        F.col("__tw_bangs").cast("bigint").alias("n_bangs"),
+        F.size("__tw_lines").cast("bigint").alias("n_lines"),
     ]
-    df = df.select(*kept, *counts, F.transform("_words", lambda w: F.xxhash64(w)).alias("_h"))
-    two = _neighbours(F.col("_h"), lambda a, b: F.xxhash64(a, b))
+    df = df.select(*kept, *counts, F.transform("__tw_words", lambda w: F.xxhash64(w)).alias("__tw_h"))
+    two = _neighbours(F.col("__tw_h"), lambda a, b: F.xxhash64(a, b))
     names = [c for c in METRICS if c != "n_repeat_words"]
-    df = df.select(*kept, *names, two.alias("_two"), F.slice("_h", 3, F.greatest(F.size("_h") - 2, F.lit(0))).alias("_third"))
-    windows = F.zip_with(F.slice("_two", 1, F.size("_third")), "_third", lambda a, c: F.xxhash64(a, c))
-    df = df.select(*kept, *names, windows.alias("_windows"))
-    keys = F.sort_array(F.transform("_windows", lambda g, i: F.shiftleft(g, PLACE_BITS).bitwiseOR(i.cast("bigint"))))
-    df = df.select(*kept, *names, "_windows", F.size(F.array_distinct("_windows")).alias("_distinct"), F.when(F.size("_windows") <= mask, keys).alias("_keys"))
+    df = df.select(*kept, *names, two.alias("__tw_two"), F.slice("__tw_h", 3, F.greatest(F.size("__tw_h") - 2, F.lit(0))).alias("__tw_third"))
+    windows = F.zip_with(F.slice("__tw_two", 1, F.size("__tw_third")), "__tw_third", lambda a, c: F.xxhash64(a, c))
+    df = df.select(*kept, *names, windows.alias("__tw_windows"))
+    keys = F.sort_array(F.transform("__tw_windows", lambda g, i: F.shiftleft(g, PLACE_BITS).bitwiseOR(i.cast("bigint"))))
+    df = df.select(*kept, *names, "__tw_windows", F.size(F.array_distinct("__tw_windows")).alias("__tw_distinct"), F.when(F.size("__tw_windows") <= mask, keys).alias("__tw_keys"))
     equal = lambda a, b: F.shiftright(a, PLACE_BITS) == F.shiftright(b, PLACE_BITS)
-    first = F.array_compact(_neighbours(F.col("_keys"), lambda a, b: F.when(equal(a, b), a.bitwiseAND(mask))))
-    second = F.array_compact(_neighbours(F.col("_keys"), lambda a, b: F.when(equal(a, b), b.bitwiseAND(mask))))
-    df = df.select(*kept, *names, "_windows", "_distinct", F.when(F.col("_distinct") < F.size("_windows"), first).alias("_first"), F.when(F.col("_distinct") < F.size("_windows"), second).alias("_second"))
+    first = F.array_compact(_neighbours(F.col("__tw_keys"), lambda a, b: F.when(equal(a, b), a.bitwiseAND(mask))))
+    second = F.array_compact(_neighbours(F.col("__tw_keys"), lambda a, b: F.when(equal(a, b), b.bitwiseAND(mask))))
+    df = df.select(*kept, *names, "__tw_windows", "__tw_distinct", F.when(F.col("__tw_distinct") < F.size("__tw_windows"), first).alias("__tw_first"), F.when(F.col("__tw_distinct") < F.size("__tw_windows"), second).alias("__tw_second"))
     # The keys' shorter hashes are exact if they tell as many windows apart as the whole ones; else whole hashes are sorted.
-    pairs = F.array_sort(F.transform("_windows", lambda g, i: F.struct(g.alias("g"), i.cast("bigint").alias("i"))))
-    df = df.select(*kept, *names, F.sort_array(F.array_distinct(F.concat("_first", "_second"))).alias("_places"), F.when((F.col("_distinct") < F.size("_windows")) & ~F.coalesce(F.size("_windows") - F.size("_first") == F.col("_distinct"), F.lit(False)), pairs).alias("_pairs"))
-    slow = F.concat(F.array_compact(_neighbours(F.col("_pairs"), lambda a, b: F.when(a.g == b.g, a.i))), F.array_compact(_neighbours(F.col("_pairs"), lambda a, b: F.when(a.g == b.g, b.i))))
-    df = df.select(*kept, *names, F.when(F.col("_pairs").isNotNull(), F.sort_array(F.array_distinct(slow))).otherwise(F.coalesce("_places", F.array().cast("array<bigint>"))).alias("_places"))
-    return df.select(*kept, *names, _covered(F.col("_places")).alias("n_repeat_words")).select(*kept, *METRICS)
+    pairs = F.array_sort(F.transform("__tw_windows", lambda g, i: F.struct(g.alias("g"), i.cast("bigint").alias("i"))))
+    df = df.select(*kept, *names, F.sort_array(F.array_distinct(F.concat("__tw_first", "__tw_second"))).alias("__tw_places"), F.when((F.col("__tw_distinct") < F.size("__tw_windows")) & ~F.coalesce(F.size("__tw_windows") - F.size("__tw_first") == F.col("__tw_distinct"), F.lit(False)), pairs).alias("__tw_pairs"))
+    slow = F.concat(F.array_compact(_neighbours(F.col("__tw_pairs"), lambda a, b: F.when(a.g == b.g, a.i))), F.array_compact(_neighbours(F.col("__tw_pairs"), lambda a, b: F.when(a.g == b.g, b.i))))
+    df = df.select(*kept, *names, F.when(F.col("__tw_pairs").isNotNull(), F.sort_array(F.array_distinct(slow))).otherwise(F.coalesce("__tw_places", F.array().cast("array<bigint>"))).alias("__tw_places"))
+    return df.select(*kept, *names, _covered(F.col("__tw_places")).alias("n_repeat_words")).select(*kept, *METRICS)
 
 
 def base_failed() -> Column:
@@ -150,16 +150,16 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Dat
     cutoffs: as from thresholds(); null is a stratum of its own.
     """
     rules = scores()
-    wide = cutoffs.groupBy(F.col("stratum").alias("_stratum")).agg(*(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in rules))
-    joined = measured.drop("base_failed", "kept").join(wide, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    wide = cutoffs.groupBy(F.col("stratum").alias("__tw_stratum")).agg(*(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"__tw_cut_{r}") for r in rules))
+    joined = measured.drop("base_failed", "kept").join(wide, F.col(stratum).eqNullSafe(F.col("__tw_stratum")), "left")
     over = F.lit(False)
     for name, score in rules.items():
-        over = over | F.coalesce(score > F.col(f"_cut_{name}"), F.lit(False))
+        over = over | F.coalesce(score > F.col(f"__tw_cut_{name}"), F.lit(False))
     # One comparison, not a conjunction: a filter on kept must not be split and pushed down, where it
     # would take a copy of all that makes the metrics with it.
     kept = F.greatest(base_failed().cast("int"), over.cast("int")) == 0
     joined = joined.withColumn("base_failed", base_failed()).withColumn("kept", kept)
-    return joined.drop("_stratum", *(f"_cut_{r}" for r in rules))
+    return joined.drop("__tw_stratum", *(f"__tw_cut_{r}" for r in rules))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text", doc_id: str = "doc_id", risk: float = 0.02, delta: float = 0.05) -> DataFrame:
@@ -170,6 +170,6 @@ def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang", te
     """
     measured = stage(metrics(docs.select(doc_id, stratum, text), text).drop(text), "metrics")
     cutoffs = stage(thresholds(measured, labels, stratum, doc_id, risk, delta), "cutoffs")
-    clash = {c: f"_own_{c}" for c in (*METRICS, "base_failed", "kept") if c in docs.columns}
+    clash = {c: f"__tw_own_{c}" for c in (*METRICS, "base_failed", "kept") if c in docs.columns}
     judged = judge(metrics(docs.withColumnsRenamed(clash), text), cutoffs, stratum).where("kept")
     return judged.select(*(F.col(clash.get(c, c)).alias(c) for c in docs.columns))
