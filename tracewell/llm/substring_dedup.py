@@ -5,7 +5,8 @@ equals), so equal windows elect the same words at the same place. Only suffixes
 elected places are kept: a sparse suffix tree that still holds every window.
 
 1. Each suffix is named by the hash of its prefix. Prefixes are counted over all documents, and
-   those that occur once can't be in a repeat: most suffixes end here, at some bytes each.
+   those that occur once, or in copies of one text only, can't be in a repeat between texts: most
+   suffixes end here, at some bytes each.
 2. The others are dealt out by prefix. Prefixes of up to GROUP suffixes go to a task as they are;
    a more frequent prefix is extended to whole windows, whose first places are found by a
    minimum that is combined before the shuffle, so no prefix is too frequent for a task.
@@ -13,6 +14,8 @@ elected places are kept: a sparse suffix tree that still holds every window.
    make the suffix tree, and its nodes at each depth are runs of the sorted order. The same is
    done to the left. Two nodes that together span WINDOW words are a repeat, of which
    every place but the first is reported; together these give the maximal repeats.
+
+Words and texts are compared by 64-bit hashes, whole windows by 128 bits where a prefix is extended.
 """
 
 from __future__ import annotations
@@ -21,14 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm.bpe_trie import slices
 from tracewell.llm.common import stage
-from tracewell.llm.recent import Recent
+from tracewell.llm.word_hash import hashes_of, mix, word_hashes
 
 #: Words in a window, and in the prefixes that partition the suffixes.
 WINDOW, PREFIX = 20, 6
@@ -38,28 +40,14 @@ REST = WINDOW - PREFIX
 GROUP = 4096
 #: Suffixes that a task sorts at once.
 SORTED = 100_000
-#: Distinct words in each of the two generations of hashes that a worker remembers.
-REMEMBERED = 200_000
+#: Compressed bytes of text that a task works on at once.
+SLICE = 1 << 19
 #: Place in the order of documents of a null id: after all others.
 LAST = (1 << 63) - 1
 
 #: Odd multipliers from a fixed seed, one for each word of a window, for two independent hashes.
 MULTIPLIERS = np.random.default_rng(20).integers(1, 1 << 63, (2, WINDOW), dtype=np.uint64) | np.uint64(1)
 
-_hashes = Recent(REMEMBERED)
-
-
-def hash_words(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words, never 0."""
-    for word in _hashes.unknown(words):
-        _hashes[word] = xxhash.xxh3_64_intdigest(word) or 1
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(29))
-
 
 def rolled(hashes: np.ndarray, size: int, which: int = 0) -> np.ndarray:
     """Hash of each run of `size` words."""
@@ -70,24 +58,28 @@ def rolled(hashes: np.ndarray, size: int, which: int = 0) -> np.ndarray:
     return mix(total)
 
 
-def elected(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Suffixes of the documents whose words stand one after the other: (place, prefix hash, least and most words to the left of the prefix in its windows)."""
+def elected(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes of the documents whose words stand one after the other: (place, prefix hash, windows).
+
+    Bit j of windows stands for the window that has j words to the left of the prefix. Of equal
+    windows of one document only the first is there; the others are found again with the text.
+    """
+    none = np.zeros(0, np.int64)
+    start = np.arange(max(0, len(hashes) - WINDOW + 1))
+    doc = np.searchsorted(ends, start, "right")
+    ok = ends[doc] - start >= WINDOW if len(start) else np.zeros(0, bool)
+    start, doc = start[ok], doc[ok]
+    if not len(start):
+        return none, none.astype(np.uint64), none
+    names = rolled(hashes, WINDOW)[start] ^ mix(doc.astype(np.uint64))
+    fresh = np.zeros(len(start), bool)
+    fresh[np.unique(names, return_index=True)[1]] = True
+    start = start[fresh]
     prefixes = rolled(hashes, PREFIX)
-    n = len(hashes) - WINDOW + 1
-    if n <= 0:
-        none = np.zeros(0, np.int64)
-        return none, none.astype(np.uint64), none, none
-    start = np.arange(n)
-    ok = ends[np.searchsorted(ends, start, "right")] - start >= WINDOW
-    start = start[ok]
-    views = np.lib.stride_tricks.sliding_window_view(prefixes, REST + 1)[start]
-    place = start + views.argmin(axis=1)
-    if not len(place):
-        return place, place.astype(np.uint64), place, place
+    place = start + np.lib.stride_tricks.sliding_window_view(prefixes, REST + 1)[start].argmin(axis=1)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    last = np.concatenate([first[1:], [len(place)]]) - 1
     at = place[first]
-    return at, prefixes[at], at - start[last], at - start[first]
+    return at, prefixes[at], np.bitwise_or.reduceat(np.int64(1) << (place - start), first)
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -95,48 +87,46 @@ def _words(text: str | None) -> list[bytes]:
 
 
 def _suffixes(docs: DataFrame, text: str) -> DataFrame:
-    """(prefix, row, span) of every elected suffix; span packs its place and the least and most words to its left."""
+    """(prefix, key, span) of every elected suffix; key names the text, span packs its place and its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
-                split = [_words(x) for x in part.column("_text").to_pylist()]
-                sizes = np.array([len(x) for x in split])
-                ends = np.cumsum(sizes)
-                hashes = hash_words([w for x in split for w in x])
-                at, prefix, least, most = elected(hashes, ends)
+            for part in slices(batch, "__tw_text"):
+                hashes, ends = word_hashes(part.column("__tw_text"))
+                at, prefix, windows = elected(hashes, ends)
                 doc = np.searchsorted(ends, at, "right")
-                rows = part.column("_row").to_numpy()[doc]
-                span = ((at - (ends - sizes)[doc]) << 16) | (least << 8) | most
-                yield pa.RecordBatch.from_arrays([pa.array(prefix.view(np.int64)), pa.array(rows), pa.array(span)], names=["prefix", "row", "span"])
+                keys = part.column("__tw_key").to_numpy()[doc]
+                span = ((at - np.concatenate([[0], ends])[doc]) << 16) | windows
+                yield pa.RecordBatch.from_arrays([pa.array(prefix.view(np.int64)), pa.array(keys), pa.array(span)], names=["prefix", "key", "span"])
 
-    rows = docs.select(F.col("_row"), F.col(text).alias("_text"))
-    return rows.mapInArrow(run, "prefix long, row long, span long")
+    rows = docs.select(F.col("__tw_key"), F.col(text).alias("__tw_text"))
+    return rows.mapInArrow(run, "prefix long, key long, span long")
 
 
 def _packed(docs: DataFrame, text: str) -> DataFrame:
-    """(row, doc, packed) of documents: the order of their ids and their compressed texts, which take less room in a shuffle."""
+    """docs with their compressed texts (packed) instead of the texts, which takes less room in a shuffle."""
+    kept = [c for c in docs.columns if c != text]
+    schema = docs.select(*kept).schema.add("__tw_packed", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pack = zstandard.ZstdCompressor(level=1).compress
-            for part in slices(batch, "_text"):
-                packed = [pack(x.encode("utf-8", "surrogatepass")) if x else None for x in part.column("_text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("_row"), part.column("_doc"), pa.array(packed, pa.binary())], names=["row", "doc", "packed"])
+            pack = zstandard.ZstdCompressor(level=3).compress
+            for part in slices(batch, text):
+                packed = [pack(x.encode("utf-8", "surrogatepass")) if x else None for x in part.column(text).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(packed, pa.binary())], names=[*kept, "__tw_packed"])
 
-    rows = docs.select("_row", "_doc", F.col(text).alias("_text"))
-    return rows.mapInArrow(run, "row long, doc long, packed binary")
+    return docs.mapInArrow(run, schema)
 
 
-def _unpack(packed: bytes) -> list[bytes]:
-    return zstandard.ZstdDecompressor().decompress(packed).split()
+def _unpack(packed: bytes | None) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed) if packed else b""
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their suffixes in; each suffix with the words around its prefix out."""
     for batch in batches:
         for i in range(batch.num_rows):
-            hashes = hash_words(_unpack(batch.column("packed")[i].as_py()))
+            hashes = hashes_of(_unpack(batch.column("__tw_packed")[i].as_py()))
             spans, prefixes = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("spans", "prefixes"))
             padded = np.concatenate([np.zeros(REST, np.uint64), hashes, np.zeros(WINDOW, np.uint64)])
             at = (spans >> 16) + REST
@@ -145,8 +135,8 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 around = np.concatenate([padded[some + np.arange(PREFIX, WINDOW)], padded[some - 1 - np.arange(REST)]], axis=1)
                 n = len(some)
                 data = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1, dtype=np.int32) * 16 * REST).tobytes()), pa.py_buffer(around.tobytes())])
-                row, doc = (pa.array(np.full(n, batch.column(c)[i].as_py(), np.int64)) for c in ("row", "doc"))
-                yield pa.RecordBatch.from_arrays([pa.array(prefixes[a : a + n]), row, doc, pa.array(spans[a : a + n]), data], names=["prefix", "row", "doc", "span", "around"])
+                key, doc = (pa.array(np.full(n, batch.column(c)[i].as_py(), np.int64)) for c in ("key", "doc"))
+                yield pa.RecordBatch.from_arrays([pa.array(prefixes[a : a + n]), key, doc, pa.array(spans[a : a + n]), data], names=["prefix", "key", "doc", "span", "around"])
 
 
 def tree(keys: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,14 +159,12 @@ def nodes(order: np.ndarray, shared: np.ndarray, depth: int) -> np.ndarray:
 
 def repeats(prefix: np.ndarray, doc: np.ndarray, span: np.ndarray, around: np.ndarray) -> np.ndarray:
     """For each suffix, a bit for each number of words to its left at which its window repeats an earlier one."""
-    place, least, most = span >> 16, (span >> 8) & 255, span & 255
+    place = span >> 16
     sequence = np.lexsort([place, doc])  # ascending, so that a node's first member is its first place
-    inverse = np.empty_like(sequence)
-    inverse[sequence] = np.arange(len(sequence))
     right, left = tree(prefix, around[:, :REST]), tree(prefix, around[:, REST:])
     mask = np.zeros(len(prefix), np.int64)
     for j in range(REST + 1):
-        has = sequence[(least <= j)[sequence] & (most >= j)[sequence]]
+        has = sequence[((span >> j) & 1 == 1)[sequence]]
         if len(has) < 2:
             continue
         node = nodes(*right, REST - j)[has] * np.int64(len(prefix) + 1) + nodes(*left, j)[has]
@@ -188,15 +176,15 @@ def repeats(prefix: np.ndarray, doc: np.ndarray, span: np.ndarray, around: np.nd
 
 
 def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes sorted by prefix in; (row, place, mask) of those with repeats out. Holds SORTED suffixes and the current prefix's."""
+    """Suffixes sorted by prefix in; (key, place, mask) of those with repeats out. Holds SORTED suffixes and the current prefix's."""
     held: list[pa.Table] = []
 
     def done(table: pa.Table) -> pa.RecordBatch:
-        prefix, row, doc, span = (table.column(c).to_numpy() for c in ("prefix", "row", "doc", "span"))
+        prefix, key, doc, span = (table.column(c).to_numpy() for c in ("prefix", "key", "doc", "span"))
         around = np.frombuffer(b"".join(table.column("around").to_pylist()), np.uint64).reshape(-1, 2 * REST)
         mask = repeats(prefix, doc, span, around)
         hit = mask > 0
-        return pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (row, span >> 16, mask)], names=["row", "place", "mask"])
+        return pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (key, span >> 16, mask)], names=["key", "place", "mask"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -217,39 +205,49 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their suffixes of frequent prefixes in; the windows around those out: 128-bit name, document and place."""
     for batch in batches:
         for i in range(batch.num_rows):
-            hashes = hash_words(_unpack(batch.column("packed")[i].as_py()))
+            hashes = hashes_of(_unpack(batch.column("__tw_packed")[i].as_py()))
             spans = batch.column("spans")[i].values.to_numpy(zero_copy_only=False)
-            place, least, most = spans >> 16, (spans >> 8) & 255, spans & 255
-            start = np.repeat(place - most, most - least + 1)
-            steps = np.arange(len(start)) - np.repeat(np.cumsum(most - least + 1) - (most - least + 1), most - least + 1)
-            start = start + steps
+            i_at, j = np.nonzero((spans[:, None] >> np.arange(REST + 1)) & 1)
+            start = (spans >> 16)[i_at] - j
             names = [rolled(hashes, WINDOW, which)[start].view(np.int64) for which in (0, 1)]
-            row, doc = (np.full(len(start), batch.column(c)[i].as_py(), np.int64) for c in ("row", "doc"))
+            key, doc = (np.full(len(start), batch.column(c)[i].as_py(), np.int64) for c in ("key", "doc"))
             for a in range(0, len(start), SORTED):
                 b = slice(a, a + SORTED)
-                yield pa.RecordBatch.from_arrays([pa.array(x[b]) for x in (*names, row, doc, start)], names=["name", "check", "row", "doc", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[b]) for x in (*names, key, doc, start)], names=["name", "check", "key", "doc", "place"])
 
 
-def repeated_places(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, places: array of (place, mask)) for documents with repeated windows: bit j of a mask stands for the window j words before its place.
+def repeated_places(docs: DataFrame, firsts: DataFrame, text: str = "text") -> DataFrame:
+    """(key, places: array of (place, mask)) for texts with windows that an earlier document has: bit j of a mask stands for the window j words before its place.
 
-    docs: with _row (a hash of id and text) and _doc (place in the order of ids).
+    docs: with _key (a hash of the text) and _doc (place in the order of ids); firsts: (key, doc, n)
+    of each text with its first document, the only one of its copies that is looked at.
     """
     suffixes = _suffixes(docs, text)
-    counts = stage(suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "prefixes")
-    shared = stage(suffixes.join(counts, "prefix"), "suffixes")
-    packed = _packed(docs, text)
+    spot = F.xxhash64("key", "span")  # the same in copies of a text, which don't make a prefix frequent
+    counts = suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("a"), F.max(spot).alias("b")).where("a <> b").select("prefix", "n")
+    shared = stage(suffixes.join(stage(counts, "prefixes"), "prefix").distinct(), "suffixes")
+    packed = _packed(docs.select("__tw_key", "__tw_doc", text), text)
 
     def of(some: DataFrame) -> DataFrame:
-        own = some.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("span", "prefix"))).alias("own"))
-        return packed.join(own, "row").select("row", "doc", "packed", F.col("own.span").alias("spans"), F.col("own.prefix").alias("prefixes"))
-
-    contexts = of(shared.where(F.col("n") <= GROUP)).mapInArrow(_contexts, "prefix long, row long, doc long, span long, around binary")
-    grown = contexts.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_grow, "row long, place long, mask long")
-    windows = stage(of(shared.where(F.col("n") > GROUP)).mapInArrow(_windows, "name long, check long, row long, doc long, place long"), "windows")
+        own = some.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("span", "prefix"))).alias("own"))
+        own = own.join(firsts.select("key", "doc"), "key")
+        rows = packed.join(own, (F.col("__tw_key") == F.col("key")) & (F.col("__tw_doc") == F.col("doc")))
+        return rows.select("key", "doc", "__tw_packed", F.col("own.span").alias("spans"), F.col("own.prefix").alias("prefixes"))
+
+    contexts = of(shared.where(F.col("n") <= GROUP)).mapInArrow(_contexts, "prefix long, key long, doc long, span long, around binary")
+    grown = contexts.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_grow, "key long, place long, mask long")
+    windows = stage(of(shared.where(F.col("n") > GROUP)).mapInArrow(_windows, "name long, check long, key long, doc long, place long"), "windows")
     first = stage(windows.groupBy("name", "check").agg(F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "check", "first"), "first-windows")
-    later = windows.join(first, ["name", "check"]).where(F.struct("doc", "place") > F.col("first")).select("row", "place", F.lit(1).cast("bigint").alias("mask"))
-    return grown.unionByName(later).groupBy("row").agg(F.collect_set(F.struct("place", "mask")).alias("places"))
+    later = windows.join(first, ["name", "check"]).where(F.struct("doc", "place") > F.col("first")).select("key", "place", F.lit(1).cast("bigint").alias("mask"))
+    return grown.unionByName(later).groupBy("key").agg(F.collect_set(F.struct("place", "mask")).alias("places"))
+
+
+def own_repeats(hashes: np.ndarray) -> np.ndarray:
+    """Starts of windows that also start earlier in their text."""
+    names = rolled(hashes, WINDOW)
+    later = np.ones(len(names), bool)
+    later[np.unique(names, return_index=True)[1]] = False
+    return np.flatnonzero(later)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -259,34 +257,41 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     document of smaller id, or in the same one before it. A null id comes after all others; rows
     with one id are one document, so equal places of theirs are not earlier than each other. Null
     and empty texts have no words. All rows and other columns stay; columns of the new names
-    are replaced.
+    are replaced. Of copies of a text all but the first go as a whole, without being searched.
     """
     added = ("kept_text", "n_words", "n_removed")
-    marked = docs.drop(*added).withColumn("_row", F.xxhash64(F.col(doc_id), F.col(text))).withColumn("_doc", F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)))
-    places = repeated_places(marked, text).withColumnRenamed("row", "_place_row")
+    marked = docs.drop(*added).withColumn("__tw_key", F.xxhash64(F.col(text))).withColumn("__tw_doc", F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)))
+    firsts = stage(marked.groupBy(F.col("__tw_key").alias("key")).agg(F.min("__tw_doc").alias("doc"), F.count(F.lit(1)).alias("n")), "texts")
+    places = repeated_places(marked, firsts, text)
+    about = stage(firsts.where("n > 1").select("key", "doc").join(places, "key", "full").select(F.col("key").alias("__tw_about"), F.col("doc").alias("__tw_first"), F.col("places.place").alias("__tw_places"), F.col("places.mask").alias("__tw_masks")), "places")
     kept = [c for c in docs.columns if c != text and c not in added]
-    joined = marked.join(places, F.col("_row") == F.col("_place_row"), "left").select(*kept, F.col(text).alias("_text"), F.col("places.place").alias("_places"), F.col("places.mask").alias("_masks"))
+    joined = _packed(marked, text).join(about, F.col("__tw_key") == F.col("__tw_about"), "left").select(*kept, "__tw_packed", (F.col("__tw_doc") > F.col("__tw_first")).alias("__tw_copy"), "__tw_places", "__tw_masks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "__tw_packed", SLICE):
                 texts, sizes, gone = [], [], []
-                for i, value in enumerate(part.column("_text").to_pylist()):
-                    words = _words(value)
-                    removed = 0
-                    if (places := part.column("_places")[i]).is_valid and len(words):
-                        place, mask = (x.values.to_numpy(zero_copy_only=False) for x in (places, part.column("_masks")[i]))
-                        edge = np.zeros(len(words) + 1, np.int64)
-                        for j in range(REST + 1):
-                            start = place[(mask >> j) & 1 == 1] - j
-                            np.add.at(edge, start, 1)
-                            np.add.at(edge, start + WINDOW, -1)
-                        covered = np.cumsum(edge[:-1]) > 0
-                        removed = int(covered.sum())
-                        words = [words[k] for k in np.flatnonzero(~covered)]
+                for i, value in enumerate(part.column("__tw_packed").to_pylist()):
+                    raw = _unpack(value)
+                    words = raw.split()
+                    size = len(words)
+                    if size >= WINDOW:
+                        if part.column("__tw_copy")[i].as_py():
+                            words = []
+                        else:
+                            edge = np.zeros(size + 1, np.int64)
+                            starts = [own_repeats(hashes_of(raw))]
+                            if (places := part.column("__tw_places")[i]).is_valid:
+                                place, mask = (x.values.to_numpy(zero_copy_only=False) for x in (places, part.column("__tw_masks")[i]))
+                                starts += [place[(mask >> j) & 1 == 1] - j for j in range(REST + 1)]
+                            start = np.concatenate(starts)
+                            if len(start):
+                                np.add.at(edge, start, 1)
+                                np.add.at(edge, start + WINDOW, -1)
+                                words = [words[k] for k in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
                     texts.append(b" ".join(words).decode("utf-8", "surrogatepass"))
-                    sizes.append(len(words) + removed)
-                    gone.append(removed)
+                    sizes.append(size)
+                    gone.append(size - len(words))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64())], names=[*kept, *added])
 
     schema = docs.select(*kept).schema.add("kept_text", "string").add("n_words", "long").add("n_removed", "long")
