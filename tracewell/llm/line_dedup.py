@@ -20,6 +20,8 @@ RATIO = 0.05
 MIN_PAGES = 20
 #: Tags that end a line of a web page.
 BREAKS = r"(?i)\n|</?(?:p|div|li|ul|ol|h[1-6]|br|tr|table|td|th|article|section|nav|header|footer|aside|title|head|body|pre|blockquote|figure|form|main)\b[^>]*>"
+#: What a page doesn't show.
+HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -33,7 +35,7 @@ def html_lines(html: Column) -> Column:
 
     A null page has no lines.
     """
-    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
+    bare = F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, "")
     lines = F.transform(F.split(bare, BREAKS), lambda x: F.when(F.contains(x, F.lit("<")), F.regexp_replace(x, "<[^>]*>", "")).otherwise(x))
     return F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x.rlike(WORD))
 

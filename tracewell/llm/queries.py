@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import block_search, bpe_trie, jaccard_join, license_scan, line_dedup, lm_scoring, mixing, quality_rules, rans_files, substring_dedup
+from tracewell.llm import block_search, bpe_trie, jaccard_join, license_scan, line_dedup, lm_scoring, mixing, oracles, quality_rules, rans_files, substring_dedup
 from tracewell.llm.common import shared_dir, stage, table
 
 #: Folder of the public tokenizer files.
@@ -75,4 +75,4 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_lm_difference, op4_jaccard_join, op5_rans_files, op6_block_search, op7_line_dedup, op8_bpe_trie, op9_quality_rules, op10_license_scan)}
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
