@@ -333,6 +333,7 @@ def test_nearest(spark, sf):
 
 def test_nearest_awkward(spark, monkeypatch):
     monkeypatch.setattr(block_search, "TILE_ROWS", 7)
+    monkeypatch.setattr(block_search, "LEAST_NUMBERS", 50)  # several blocks
     rng = np.random.default_rng(2)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=3)]) for i in range(90)]
     rows += [(i, [1.0, 2.0, 3.0]) for i in range(100, 160)]  # copies and ties
