@@ -14,8 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Numbers in a block of vectors, and rows of a tile multiplied at once.
-BLOCK_NUMBERS = 1 << 24
+#: Most numbers in a block of vectors; small tables get up to SPREAD blocks of LEAST_NUMBERS.
+BLOCK_NUMBERS, LEAST_NUMBERS, SPREAD = 1 << 24, 1 << 19, 64
+#: Rows of a tile that are multiplied at once.
 TILE_ROWS = 2048
 #: Dimensions multiplied at once: sums of so many int8 products are exact in 32-bit floats.
 CHUNK = 1024
@@ -100,8 +101,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("_id"), F.col(vector).alias("_vector"), F.coalesce(is_query, F.lit(False)).alias("_query"))
     rows = rows.where(F.col("_id").isNotNull() & usable(F.col("_vector"))).withColumn("_dim", F.size("_vector"))
     n, n_queries, dim = rows.agg(F.count(F.lit(1)), F.count_if("_query"), F.max("_dim")).first()
+    # Each block of candidates sends k rows a query, so there are as few as memory and parallel work allow.
     block = max(TILE_ROWS, BLOCK_NUMBERS // max(dim or 1, 1))
-    c_blocks = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // block))
+    c_blocks = max(1, -(-n // block), min(SPREAD, n * (dim or 1) // LEAST_NUMBERS))
     q_blocks = max(1, -(-n_queries // block))
     same = Window.partitionBy("_dim", "_vector").orderBy("_id")
     some = rows.select("_dim", "_vector", "_id").distinct().withColumn("_place", F.row_number().over(same)).where(F.col("_place") <= k + 1)
