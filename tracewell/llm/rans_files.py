@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tracewell.llm.bpe_trie import SPACE, slices
 from tracewell.llm.common import stage
+from tracewell.llm.recent import Recent
 
 #: Frequencies sum to 2 to this power; it holds vocabularies of up to half a million ids.
 PRECISION = 20
@@ -37,8 +38,8 @@ LOW = np.uint64(1 << 31)
 BLOCK_TOKENS = 1 << 20
 #: Most lanes of a block, and turns between checkpoints.
 LANES, STRIDE = 2048, 128
-#: Distinct chunks that a worker remembers before it forgets all and starts again.
-REMEMBERED = 600_000
+#: Distinct chunks in each of the two generations that a worker remembers.
+REMEMBERED = 300_000
 
 RAW = "part long, block long, doc_ids array<bigint>, sizes array<int>, ids binary"
 BLOCKS = "part long, block long, doc_ids array<bigint>, sizes array<int>, n_tokens long, lanes int, stride int, states binary, offsets array<int>, checks array<bigint>, payload binary"
@@ -58,7 +59,7 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.known = Recent(REMEMBERED)
         self.cut = re.compile(f" (?=[^{SPACE}])")
         self.odd = re.compile(f" [{SPACE}]| $")
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -69,26 +70,23 @@ class Tokens:
         return self.cut.split(text) if self.odd.search(text) else text.split(" ")
 
     def library(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def learn(self, new: list[str]) -> None:
         """Encodes chunks, each behind a blank, many in one call; the ids' sizes show where each ends."""
         for at in range(0, len(new), 5000):
             part = new[at : at + 5000]
             ids = self.library(" " + " ".join(part))
-            ends = np.cumsum([1 + len(x.encode()) for x in part])
-            places = np.concatenate([[0], np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1])
-            for i, chunk in enumerate(part):
-                self.known[chunk] = ids[places[i] : places[i + 1]].tobytes()
+            ends = np.cumsum([1 + (len(x) if x.isascii() else len(x.encode())) for x in part])
+            places = [0, *(4 * np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 4).tolist()]
+            raw = ids.tobytes()
+            self.known.update({chunk: raw[a:b] for chunk, a, b in zip(part, places, places[1:], strict=False)})
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         whole = {i for i, x in enumerate(texts) if x and any(s in x for s in self.special)}
         split = [self.chunks(x) if x and i not in whole else [] for i, x in enumerate(texts)]
-        seen = set().union(*(row[1:] for row in split))
-        if len(self.known) + len(seen) > REMEMBERED:
-            self.known.clear()
-        self.learn(list(seen - self.known.keys()))
+        self.learn(list(self.known.unknown(set().union(*(row[1:] for row in split)))))
         get = self.known.__getitem__
         out = []
         for i, row in enumerate(split):
@@ -257,10 +255,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, text: str
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], names=["symbol", "n"])
 
     # One row for each id of the vocabulary at most.
-    counts = raw.select("ids").mapInArrow(count, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).toPandas()
-    size = int(counts.symbol.max()) + 1 if len(counts) else 1
-    totals = np.zeros(size, np.int64)
-    totals[counts.symbol.to_numpy(np.int64)] = counts.n.to_numpy(np.int64)
+    counts = raw.select("ids").mapInArrow(count, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).toArrow()
+    symbols = counts.column("symbol").to_numpy()
+    totals = np.zeros(symbols.max(initial=0) + 1, np.int64)
+    totals[symbols] = counts.column("n").to_numpy()
     freq = frequencies(totals)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(freq)
@@ -297,10 +295,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     Join with starts() of read_index() for its place in the whole set. Damaged payloads fail.
     """
-    table = spark.read.parquet(f"{path}/table").toPandas()  # bounded by the vocabulary
-    size = int(table.symbol.max()) + 1 if len(table) else 1
-    freq = np.zeros(size, np.uint64)
-    freq[table.symbol.to_numpy(np.int64)] = table.freq.to_numpy(np.uint64)
+    table = spark.read.parquet(f"{path}/table").toArrow()  # bounded by the vocabulary
+    symbols = table.column("symbol").to_numpy()
+    freq = np.zeros(symbols.max(initial=0) + 1, np.uint64)
+    freq[symbols] = table.column("freq").to_numpy().astype(np.uint64)
     shared = spark.sparkContext.broadcast(freq)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
