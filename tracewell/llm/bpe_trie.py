@@ -63,13 +63,14 @@ class Vocabulary:
         for left, right, rank in self.parts.values():
             if max(self.parts[x][2] if x in self.parts else -1 for x in (left, right)) >= rank:
                 raise ValueError("a merge stands before the merges of its parts")
+        # Symbols in a token; the end-of-word mark is part of the last one.
         mark = len(self.end)
         self.sizes = [len(x) - (mark if mark and x.endswith(self.end) else 0) for x in names]
-        # The most symbols in a token, by its last two symbols.
+        # The most symbols in a token, by its last three symbols.
         self.reach: dict[str, int] = {}
         for name, token in self.ids.items():
-            if (size := self.sizes[token]) > 1:
-                tail = name[size - 2 :]
+            if (size := self.sizes[token]) > 2:
+                tail = name[size - 3 :]
                 self.reach[tail] = max(size, self.reach.get(tail, 0))
         self.fits = Recent(200_000)
         self.whole: dict[int, bool] = {}
@@ -110,19 +111,19 @@ class Vocabulary:
             known = self.whole[token] = self.is_whole(left) and self.is_whole(right) and self.apart(left, right, rank)
         return known
 
-    def last_token(self, path: str, symbol: str, n: int, lasts: list[int]) -> int:
-        """The last token of the encoding of a prefix of n symbols; lasts: those of all shorter prefixes."""
-        at = len(path) - len(symbol)
+    def last_token(self, text: str, i: int, stop: int, lasts: list[int]) -> int:
+        """The last token of the encoding of the prefix of text that ends with symbol i, at stop; lasts: those of all shorter prefixes."""
         ids, fits = self.ids.get, self.fits
-        for size in range(min(n, self.reach.get(path[at - 1 :], 1) if n > 1 else 1), 0, -1):
-            token = ids(path[at - size + 1 :])
+        most = self.reach.get(text[i - 2 : stop], 2) if i > 1 else i + 1
+        for start in range(max(0, i - most + 1), i + 1):
+            token = ids(text[start:stop])
             if token is None:
                 continue
-            if size == n:
+            if not start:
                 if self.is_whole(token):
                     return token
                 continue
-            key = lasts[n - size - 1], token
+            key = lasts[start - 1], token
             try:
                 fit = fits[key]
             except KeyError:
@@ -130,7 +131,7 @@ class Vocabulary:
                 fit = fits[key] = self.is_whole(token) and self.apart(*key)
             if fit:
                 return token
-        raise ValueError(f"no encoding for {path!r}")
+        raise ValueError(f"no encoding for {text[:stop]!r}")
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Token ids of each distinct word.
@@ -138,11 +139,10 @@ class Vocabulary:
         Sorted, the words are the leaves of their trie in depth-first order; the stack holds
         the path from the root and the last token of each prefix on it.
         """
-        end, last_token = self.end, self.last_token
+        end, last_token, sizes = self.end, self.last_token, self.sizes
         translate = {b: c for b, c in enumerate(self.symbol)}
         before: str = ""
-        texts: list[str] = []  # the path: each prefix as text
-        lasts: list[int] = []
+        lasts: list[int] = []  # the path from the root: the last token of each prefix
         out = {}
         for symbols, word in sorted((w.encode().decode("latin-1").translate(translate), w) for w in words):
             if not symbols:
@@ -153,29 +153,19 @@ class Vocabulary:
             shared, most = 0, min(len(before), n) - 1
             while shared < most and before[shared] == symbols[shared]:
                 shared += 1
-            del texts[shared:], lasts[shared:]
-            text = texts[-1] if texts else ""
+            del lasts[shared:]
             for i in range(shared, n - 1):
-                symbol = symbols[i]
-                text += symbol
-                lasts.append(last_token(text, symbol, i + 1, lasts))
-                texts.append(text)
-            symbol = symbols[-1] + end
-            lasts.append(last_token(text + symbol, symbol, n, lasts))
-            texts.append(text + symbol)
+                lasts.append(last_token(symbols, i, i + 1, lasts))
+            lasts.append(last_token(symbols + end, n - 1, n + len(end), lasts))
             ids, at = [], n
             while at:
                 token = lasts[at - 1]
                 ids.append(token)
-                at -= self.size(token)
+                at -= sizes[token]
             out[word] = ids[::-1]
             before = symbols
         return out
 
-    def size(self, token: int) -> int:
-        """Symbols in a token; the end-of-word mark is part of the last one."""
-        return self.sizes[token]
-
 
 class Encoder:
     """Splits texts into words as the tokenizer file says and looks their encodings up, distinct words once."""
