@@ -36,12 +36,16 @@ from tracewell.llm.word_hash import hashes_of, mix, word_hashes
 SHINGLE = 5
 THRESHOLD = (4, 5)
 #: Runs, levels and the bucket size that is searched without sampling again.
-RUNS, DEPTH, LIMIT = 20, 3, 2048
+RUNS, DEPTH, LIMIT = 20, 3, 1024
+#: Rows of a matrix of pairs that are made at once.
+ROWS = 256
 #: One-byte minima in a sketch, and how many must agree: 51 do on average at the threshold, fewer than 35 in 1 of 10 million pairs.
 SKETCH, AGREE = 64, 35
 
 MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 PERMUTE = np.random.default_rng(64).integers(1, 1 << 31, (2, SKETCH), dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+#: Place in the order of documents of a null id: after all others.
+LAST = (1 << 63) - 1
 KEY = ("path", "block_a", "block_b")
 
 
@@ -126,14 +130,21 @@ def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iter
         yield key, held
 
 
-def _earlier(paths: list[list[int]], path: int) -> np.ndarray:
-    """For each pair of sets, whether a bucket before this one has both."""
+def _incidence(paths: list[list[int]], path: int) -> np.ndarray:
+    """Which sets (rows) are in which buckets before this one; two sets that share one are another bucket's pair."""
     before = [[p for p in own if p < path] for own in paths]
     names = {p: i for i, p in enumerate(sorted(set().union(*before)))}
     there = np.zeros((len(paths), max(1, len(names))), np.float32)
     for i, own in enumerate(before):
         there[i, [names[p] for p in own]] = 1
-    return there @ there.T > 0
+    return there
+
+
+def _pairs(key: tuple, blocks: np.ndarray, rows: slice) -> np.ndarray:
+    """Which pairs (rows, all) a group answers for: different sets of one block, or those across its two blocks."""
+    if key[1] != key[2]:
+        return blocks[rows, None] != blocks
+    return np.arange(len(blocks))[rows, None] != np.arange(len(blocks))
 
 
 def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,17 +159,18 @@ def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(held) < 2:
             continue
         nodes, blocks, sizes, sketches, paths = (list(x) for x in zip(*held.values(), strict=True))
-        size = np.array(sizes)
+        size, blocks = np.array(sizes), np.array(blocks)
         codes = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(nodes), SKETCH)
-        near = np.zeros((len(nodes), len(nodes)), bool)
-        for a in range(0, len(nodes), 256):
-            near[a : a + 256] = np.stack([(codes == row).sum(axis=1) for row in codes[a : a + 256]]) >= AGREE
-        small, large = np.minimum(size[:, None], size), np.maximum(size[:, None], size)
-        near &= (THRESHOLD[1] * small >= THRESHOLD[0] * large) & _pairs(key, blocks)
-        if near.any():
-            near &= ~_earlier(paths, key[0])
-            active = near.any(axis=0) | near.any(axis=1)
-            out += [(*key, blocks[i], nodes[i]) for i in np.flatnonzero(active)]
+        there = None
+        for a in range(0, len(nodes), ROWS):
+            rows = slice(a, a + ROWS)
+            near = np.stack([(codes == row).sum(axis=1) for row in codes[rows]]) >= AGREE
+            near &= THRESHOLD[1] * np.minimum(size[rows, None], size) >= THRESHOLD[0] * np.maximum(size[rows, None], size)
+            near &= _pairs(key, blocks, rows)
+            if near.any():
+                there = _incidence(paths, key[0]) if there is None else there
+                near &= there[rows] @ there.T == 0
+            out += [(*key, blocks[i], nodes[i]) for i in a + np.flatnonzero(near.any(axis=1))]
         if len(out) >= 20_000:
             yield made()
             out = []
@@ -166,13 +178,6 @@ def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made()
 
 
-def _pairs(key: tuple, blocks: list[int]) -> np.ndarray:
-    """Which pairs (i < j) a group answers for: all of one block, or those across its two blocks."""
-    upper = np.triu(np.ones((len(blocks), len(blocks)), bool), 1)
-    side = np.array(blocks)
-    return upper if key[1] == key[2] else upper & (side[:, None] != side)
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets with the buckets they are needed in: one row for each bucket, with the whole set, out."""
     for batch in batches:
@@ -190,12 +195,13 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of sets."""
     tokens, place = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    total = np.zeros((len(sets), len(sets)))
+    total = np.zeros((len(sets), len(sets)), np.float32)
     order = np.argsort(place, kind="stable")
     place, owner = place[order], owner[order]
-    for at in range(0, len(tokens), 8192):
-        a, b = np.searchsorted(place, [at, at + 8192])
-        there = np.zeros((len(sets), min(8192, len(tokens) - at)), np.float32)
+    step = 2048
+    for at in range(0, len(tokens), step):
+        a, b = np.searchsorted(place, [at, at + step])
+        there = np.zeros((len(sets), min(step, len(tokens) - at)), np.float32)
         there[owner[a:b], place[a:b] - at] = 1
         total += there @ there.T
     return total
@@ -204,10 +210,11 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 def roots(links: np.ndarray, nodes: np.ndarray) -> np.ndarray:
     """The least node of each node's component in a symmetric matrix of links."""
     label = nodes.copy()
-    i, j = np.nonzero(links)
     while True:
         new = label.copy()
-        np.minimum.at(new, i, label[j])
+        for a in range(0, len(label), ROWS):
+            rows = slice(a, a + ROWS)
+            new[rows] = np.minimum(label[rows], np.where(links[rows], label, LAST).min(axis=1))
         if (new == label).all():
             return label
         label = new
@@ -225,15 +232,18 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         nodes, blocks, copies, paths, tokens = (list(x) for x in zip(*held.values(), strict=True))
         sets = [np.frombuffer(x, np.uint64) for x in tokens]
-        shared = overlaps(sets)
-        size = np.array([len(s) for s in sets])
-        link = (THRESHOLD[1] * shared >= THRESHOLD[0] * (size[:, None] + size - shared)) & _pairs(key, blocks)
-        if link.any():
-            link &= ~_earlier(paths, key[0])
-        if link.any():
-            link |= link.T
-            label = roots(link, np.array(nodes))
-            texts, docs = link.sum(axis=1), link @ np.array(copies)
+        link = overlaps(sets)
+        size, blocks, there = np.array([len(s) for s in sets], np.float32), np.array(blocks), None
+        found = np.zeros(link.shape, bool)
+        for a in range(0, len(nodes), ROWS):
+            rows = slice(a, a + ROWS)
+            near = (THRESHOLD[1] * link[rows] >= THRESHOLD[0] * (size[rows, None] + size - link[rows])) & _pairs(key, blocks, rows)
+            if near.any():
+                there = _incidence(paths, key[0]) if there is None else there
+                found[rows] = near & (there[rows] @ there.T == 0)
+        if found.any():
+            label = roots(found, np.array(nodes))
+            texts, docs = found.sum(axis=1), found @ np.array(copies)
             out += [(nodes[i], label[i], texts[i], docs[i]) for i in np.flatnonzero(texts)]
         if len(out) >= 20_000:
             yield made()
@@ -252,7 +262,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     that share a doc_id are one node of the graph. A null doc_id takes part as the last document;
     ids that lead only to it are null.
     """
-    wide = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text"))
+    wide = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text"))
     schema = "doc long, text_key long, set_a long, set_b long, size long, paths array<bigint>, sketch binary"
     known = stage(wide.mapInArrow(_describe, schema), "sets")
     named = known.where("size > 0")
@@ -302,7 +312,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     told = classes.select("set_a", "set_b", "node", "copies").join(links, "node", "left").join(groups, "node", "left")
     told = told.select("set_a", "set_b", "node", F.coalesce("root", "node").alias("root"), (F.col("copies") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
     rows = known.select("doc", "set_a", "set_b", "size").join(told, ["set_a", "set_b"], "left")
-    shown = lambda c: F.nullif(c, F.lit((1 << 63) - 1))
+    shown = lambda c: F.nullif(c, F.lit(LAST))
     alone = F.col("size") == 0
     own = lambda c, other: F.when(alone, other).otherwise(F.col(c))
     return rows.select(shown(F.col("doc")).alias("doc_id"), shown(own("root", F.col("doc"))).alias("class_id"), shown(own("node", F.col("doc"))).alias("copy_id"), own("n_links", F.lit(0)).cast("bigint").alias("n_links"), own("n_text_links", F.lit(0)).cast("bigint").alias("n_text_links"))
@@ -314,6 +324,6 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     A null doc_id counts as the largest. Rows that share the class's own doc_id stay together.
     Texts without words stay.
     """
-    found = similar(docs, text, doc_id).select(F.col("doc_id").alias("_doc"), F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull()).alias("_first")).groupBy("_doc").agg(F.max("_first").alias("_first"))
-    first = docs.join(found.where("_first").select("_doc"), F.col(doc_id).cast("bigint").eqNullSafe(F.col("_doc")), "left_semi")
+    found = similar(docs, text, doc_id).select(F.col("doc_id").alias("__tw_doc"), F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull()).alias("__tw_first")).groupBy("__tw_doc").agg(F.max("__tw_first").alias("__tw_first"))
+    first = docs.join(found.where("__tw_first").select("__tw_doc"), F.col(doc_id).cast("bigint").eqNullSafe(F.col("__tw_doc")), "left_semi")
     return first
