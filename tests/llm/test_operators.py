@@ -386,6 +386,29 @@ def test_lines_awkward(odd, none):
     assert line_dedup.dedup_texts(none).count() == 0
 
 
+def test_copies_keep_their_text(spark):
+    """A group of copies of over 5% of a source keeps its text; a line of many distinct texts goes."""
+    copy = "first line of the copies\nsecond line of the copies"
+    rows = [(i, copy, "s") for i in range(10)] + [(i, f"banner\nbody of {i}", "s") for i in range(10, 40)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_texts(spark.createDataFrame(rows, "doc_id long, text string, source string"), once=True).collect()}
+    assert got == {i: copy if i < 10 else f"body of {i}" for i in range(40)}
+    few = [(i, copy, "s") for i in range(30)] + [(30, "banner\nbody", "s")]  # two distinct texts
+    got = line_dedup.dedup_texts(spark.createDataFrame(few, "doc_id long, text string, source string"), once=True)
+    assert {(r.doc_id, r.text) for r in got.collect()} == {(i, t) for i, t, _ in few}
+
+
+def test_stage_and_query_keep_copies(spark, tmp_path):
+    import corpus_pipeline
+
+    copy = "first line of the copies\nsecond line of the copies"
+    rows = [(i, copy if i < 5 else f"body of {i}", "en", "s", 1) for i in range(30)]
+    got = corpus_pipeline.lines(spark, spark.createDataFrame(rows, brute.SCHEMA), "")
+    assert {r.doc_id: r.text for r in got.collect()} == {r[0]: r[1] for r in rows}
+    pages = [(i, "http://a.test/", f"<p>{t}</p>") for i, t, *_ in rows]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert all(r.n_dropped == 0 for r in queries.op7_line_dedup(spark, str(tmp_path)).collect())
+
+
 # 8: BPE
 
 

@@ -44,13 +44,18 @@ def text_lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def boilerplate(lined: DataFrame, host: str = "host", lines: str = "lines", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(lined: DataFrame, host: str = "host", lines: str = "lines", ratio: float = RATIO, min_pages: int = MIN_PAGES, once: bool = False) -> DataFrame:
     """One row (host, drop) per host that has boilerplate: the sorted 64-bit hashes of its lines over the ratio.
 
     Counts each page once a line, sums within tasks before the shuffle by (host, line), and
-    leaves blank lines out. Pages with a null host have no site and take no part.
+    leaves blank lines out. Pages with a null host have no site and take no part. once: pages of
+    a host with the same lines count as one, in a line's pages and in the host's, so that copies
+    don't make a text its own boilerplate.
     """
-    pages = lined.where(F.col(host).isNotNull()).select(F.col(host).alias("__tw_host"), F.transform(F.array_distinct(F.filter(F.col(lines), lambda x: x.rlike(WORD))), lambda x: F.xxhash64(x)).alias("__tw_keys"))
+    keys = F.transform(F.array_distinct(F.filter(F.col(lines), lambda x: x.rlike(WORD))), lambda x: F.xxhash64(x))
+    pages = lined.where(F.col(host).isNotNull()).select(F.col(host).alias("__tw_host"), keys.alias("__tw_keys"), *([F.xxhash64(lines).alias("__tw_page")] if once else []))
+    if once:
+        pages = pages.dropDuplicates(["__tw_host", "__tw_page"])
     # The row with a null key, one a page, counts the host's pages in the same pass.
     keyed = pages.select("__tw_host", F.explode(F.concat(F.coalesce("__tw_keys", F.array().cast("array<bigint>")), F.array(F.lit(None).cast("bigint")))).alias("__tw_key"))
     counts = stage(keyed.groupBy("__tw_host", "__tw_key").agg(F.count(F.lit(1)).alias("__tw_n")).where(F.col("__tw_n") > 1), "lines")
@@ -59,25 +64,25 @@ def boilerplate(lined: DataFrame, host: str = "host", lines: str = "lines", rati
     return common.groupBy(F.col("__tw_host").alias("host")).agg(F.sort_array(F.collect_list("__tw_key")).alias("drop"))
 
 
-def line_dedup(lined: DataFrame, host: str = "host", lines: str = "lines", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def line_dedup(lined: DataFrame, host: str = "host", lines: str = "lines", ratio: float = RATIO, min_pages: int = MIN_PAGES, once: bool = False) -> DataFrame:
     """lined with kept_lines (its lines without boilerplate, in order) and n_dropped (long).
 
     lined: pages with their host and an array of lines. Every occurrence of a boilerplate line
     goes; blank lines stay. Null lines give null and 0, a null host keeps all. Repeated rows count
-    as pages of their own. Columns named kept_lines or n_dropped are replaced.
+    as pages of their own unless once is set (see boilerplate()). Columns named kept_lines or n_dropped are replaced.
     """
-    drops = stage(boilerplate(lined, host, lines, ratio, min_pages), "boilerplate").withColumnsRenamed({"host": "__tw_host", "drop": "__tw_drop"})
+    drops = stage(boilerplate(lined, host, lines, ratio, min_pages, once), "boilerplate").withColumnsRenamed({"host": "__tw_host", "drop": "__tw_drop"})
     joined = lined.drop("kept_lines", "n_dropped").join(drops, F.col(host) == F.col("__tw_host"), "left")
     kept = F.when(F.col("__tw_drop").isNull(), F.col(lines)).otherwise(F.filter(F.col(lines), lambda x: ~F.array_contains("__tw_drop", F.xxhash64(x))))
     joined = joined.withColumn("kept_lines", kept)
     return joined.withColumn("n_dropped", F.coalesce(F.size(lines) - F.size("kept_lines"), F.lit(0)).cast("bigint")).drop("__tw_host", "__tw_drop")
 
 
-def dedup_texts(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def dedup_texts(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, once: bool = False) -> DataFrame:
     """docs with boilerplate lines cut out of text; all rows and columns stay, a null text stays null."""
     own = docs.columns
     lined = docs.select(*own, F.col(host).alias("__tw_site_name"), text_lines(F.col(text)).alias("__tw_split"))
-    done = line_dedup(lined.withColumnsRenamed({c: f"__tw_own_{c}" for c in ("kept_lines", "n_dropped") if c in own}), "__tw_site_name", "__tw_split", ratio, min_pages)
+    done = line_dedup(lined.withColumnsRenamed({c: f"__tw_own_{c}" for c in ("kept_lines", "n_dropped") if c in own}), "__tw_site_name", "__tw_split", ratio, min_pages, once)
     new = F.when(F.col("n_dropped") > 0, F.array_join("kept_lines", "\n")).otherwise(F.col(text))
     columns = [F.col(f"__tw_own_{c}").alias(c) if c in ("kept_lines", "n_dropped") else F.col(c) for c in own]
     return done.withColumn(text, new).select(*columns)
