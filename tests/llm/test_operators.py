@@ -193,6 +193,23 @@ def test_lm_awkward(odd, none):
     assert lm_scoring.cross_entropy_difference(none, F.lit(True)).count() == 0
 
 
+def test_losses_of_many_words(spark, monkeypatch):
+    """More pairs and words than any fixed model had buckets (2^20 and 2^18), over several slices: every n-gram is counted apart."""
+    monkeypatch.setattr(lm_scoring, "SLICE", 1 << 20)
+    texts = [" ".join(f"w{(i * 60_000 + j) % 600_000}" for j in range(60_000)) for i in range(20)]
+    texts.append("w5 w6 rare w5")
+    docs = spark.createDataFrame([(i, t, i >= 18) for i, t in enumerate(texts)], "doc_id long, text string, good boolean").repartition(3)
+    got = {r.doc_id: r for r in lm_scoring.cross_entropy_difference(docs, F.col("good")).collect()}
+    a, b, c = lm_scoring.MIX
+    total = 1_200_000
+    seen = a + b * 1 / (total + 4 - 60_000) + c / lm_scoring.WORDS  # each pair and word is in one other document
+    # The first word of document 12 follows the start mark, as it does in document 2 out of 20 others.
+    first = a / 20 + b / (total + 4 - 60_000) + c / lm_scoring.WORDS
+    assert got[12].background_loss == pytest.approx(-(math.log(first) + 59_999 * math.log(seen)) / 60_000, abs=1e-9)
+    p = [b * 2 / total + c / lm_scoring.WORDS, a + b * 2 / total + c / lm_scoring.WORDS, c / lm_scoring.WORDS, (a + b) * 0 + (a + b) * 2 / total + c / lm_scoring.WORDS]
+    assert got[20].background_loss == pytest.approx(-sum(map(math.log, p)) / 4, abs=1e-9)
+
+
 # 4: Jaccard join
 
 

@@ -28,8 +28,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents that every label of theirs calls good and not toxic."""
     marks = table(spark, sf_dir, "labels").where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
-    # Joined once for both passes, by a merge at every size: labels grow with the documents.
-    docs = stage(table(spark, sf_dir, "documents").select("doc_id", "text").join(marks.hint("merge"), "doc_id", "left"), "marked")
+    # By a merge at every size: labels grow with the documents.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(marks.hint("merge"), "doc_id", "left")
     return lm_scoring.cross_entropy_difference(docs, F.col("good")).drop("good")
 
 
