@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines, in which copies of a text count once; n_chars follows the text."""
-    done = line_dedup.dedup_texts(docs, host="source", once=True)
+    """Documents without their source's boilerplate lines, in which copies of a text count once, whatever a source's size, null a source of its own; n_chars follows the text."""
+    done = line_dedup.dedup_texts(docs, host="source", once=True, small=True, null_site=True)
     return done.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 

@@ -426,6 +426,19 @@ def test_stage_and_query_keep_copies(spark, tmp_path):
     assert all(r.n_dropped == 0 for r in queries.op7_line_dedup(spark, str(tmp_path)).collect())
 
 
+def test_small_and_null_sources(spark):
+    """The stage drops a banner of 19 documents and of two, and those of documents without a source; a line of few stays."""
+    import corpus_pipeline
+
+    rows = [(i, f"banner\nbody of {i}" + ("\nsome" if i < 1 else ""), "en", "s", 1) for i in range(19)]
+    rows += [(100 + i, f"banner\nbody of {100 + i}", "en", None, 1) for i in range(30)]
+    rows += [(200 + i, f"banner\nbody of {200 + i}", "en", "two", 1) for i in range(2)]
+    rows += [(300 + i, ("said twice\n" if i < 2 else "") + f"body of {300 + i}", "en", "ten", 1) for i in range(10)]
+    rows += [(400 + i, "one text", "en", "", 1) for i in range(3)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, spark.createDataFrame(rows, brute.SCHEMA), "").collect()}
+    assert got == {i: t.removeprefix("banner\n") for i, t, *_ in rows}
+
+
 # 8: BPE
 
 
