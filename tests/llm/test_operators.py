@@ -530,3 +530,18 @@ def test_alignment(spark, odd):
     assert 2 not in by and len(by[3]) == 2 and len(by[None]) == 1
     assert all(r.coverage == 1.0 for r in by[3])
     assert license_scan.scan(odd).count() == 0
+
+
+@pytest.mark.parametrize("name", ["MIT", "CC-BY-NC-4.0", "Apache-2.0", "MIT-permission"])
+@pytest.mark.parametrize("apart", [0, 1, 3])
+def test_copies_that_follow_one_another(spark, name, apart):
+    text = license_scan.TEMPLATES[name]
+    n, copies = len(license_scan.WORD.findall(text)), 12
+    docs = spark.createDataFrame([(1, "intro " + " ".join([text] + [" ".join(["filler"] * apart + [text])] * (copies - 1)))], "doc_id long, text string")
+    got = [(r.start_word, r.end_word, r.coverage) for r in license_scan.scan(docs).collect() if r.license == name]
+    assert got == [(1 + i * (n + apart), i * (n + apart) + n, 1.0) for i in range(copies)]
+
+
+def test_thousands_of_copies(spark):
+    docs = spark.createDataFrame([(1, "Released under the MIT License. " * 3000)], "doc_id long, text string")
+    assert license_scan.scan(docs).where("license = 'MIT'").count() == 3000

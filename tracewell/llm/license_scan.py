@@ -10,6 +10,7 @@ The index depends on the templates only, so it goes to every task; texts don't m
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -99,20 +100,33 @@ class Index:
         return known
 
     def candidates(self, ids: np.ndarray) -> list[tuple[int, int, int]]:
-        """(template, least and greatest place at which it would start) for each group of close diagonals."""
+        """(template, least and greatest place at which it would start) for each group of diagonals that differ by BAND at most."""
         places, hashes = winnow(ids)
         first, last = np.searchsorted(self.hashes, hashes), np.searchsorted(self.hashes, hashes, "right")
         hits = sorted((self.entries[e][0], int(places[i]) - self.entries[e][1]) for i in np.flatnonzero(last > first) for e in range(first[i], last[i]))
         groups: list[list[int]] = []
         for template, start in hits:
-            if groups and groups[-1][0] == template and start - groups[-1][2] <= BAND:
+            if groups and groups[-1][0] == template and start - groups[-1][1] <= BAND:
                 groups[-1][2] = start
             else:
                 groups.append([template, start, start])
         return [tuple(g) for g in groups]
 
-    def align(self, ids: np.ndarray, template: int, first: int, last: int) -> tuple[int, int, int]:
-        """(matched words, first and last place) of the best alignment whose diagonals lie in the band; longest common subsequence, then the shortest span."""
+    def matches(self, ids: np.ndarray, template: int, first: int, last: int, coverage: float) -> Iterator[tuple[float, int, int]]:
+        """(coverage, first and last place) of the best alignment in the band, then of the best ones before and after it."""
+        n = len(self.words[template])
+        parts = [(max(first - BAND, 0), min(last + BAND + n, len(ids)))]
+        while parts:
+            low, high = parts.pop()
+            if high - low < coverage * n:
+                continue
+            matched, start, end = self.align(ids, template, first, last, low, high)
+            if matched / n >= coverage:
+                yield matched / n, start, end
+                parts += [(low, start), (end + 1, high)]
+
+    def align(self, ids: np.ndarray, template: int, first: int, last: int, start_at: int, stop_at: int) -> tuple[int, int, int]:
+        """(matched words, first and last place) of the best alignment of places from start_at to before stop_at whose diagonals lie in the band; longest common subsequence, then the shortest span."""
         words = self.words[template]
         low = first - BAND
         width = last - first + 2 * BAND + 1
@@ -127,7 +141,7 @@ class Index:
                 cell = row[b + 1] if b + 1 < width else none  # the template's word is skipped
                 if b and new[b - 1] > cell:  # the text's word is skipped
                     cell = new[b - 1]
-                if 0 <= j < len(ids) and ids[j] == w:
+                if start_at <= j < stop_at and ids[j] == w:
                     above = row[b]
                     start = above[1] if above[0] else -j
                     taken = (above[0] + 1, start, 0)
@@ -152,19 +166,17 @@ def index(templates: Mapping[str, str]) -> Index:
 
 def scan_text(known: Index, text: str, ids: np.ndarray, coverage: float) -> list[tuple[str, float, int, int, int, int]]:
     """(license, coverage, start, end, start_char, end_char) of each match; of overlapping matches of a template the best."""
-    found = []
-    for template, first, last in known.candidates(ids):
-        matched, start, end = known.align(ids, template, first, last)
-        share = matched / len(known.words[template])
-        if share >= coverage:
-            found.append((template, share, start, end))
-    found.sort(key=lambda m: (m[0], -m[1], m[3] - m[2], m[2]))
+    # Bands of neighbouring groups overlap and may find the same.
+    found = sorted({(t, *m) for t, first, last in known.candidates(ids) for m in known.matches(ids, t, first, last, coverage)}, key=lambda m: (m[0], -m[1], m[3] - m[2], m[2]))
     kept: list[tuple[int, float, int, int]] = []
-    ends: dict[int, list[tuple[int, int]]] = {}
+    spans_of: dict[int, list[tuple[int, int]]] = {}
     for m in found:
-        if all(m[3] < a or m[2] > b for a, b in ends.get(m[0], [])):
+        # Those of a template don't overlap, so only the last one that starts up to m's end may meet m.
+        there = spans_of.setdefault(m[0], [])
+        at = bisect(there, m[3], key=lambda x: x[0])
+        if not at or there[at - 1][1] < m[2]:
             kept.append(m)
-            ends.setdefault(m[0], []).append((m[2], m[3]))
+            there.insert(at, (m[2], m[3]))
     if not kept:
         return []
     spans = [x.span() for x in WORD.finditer(text)]
