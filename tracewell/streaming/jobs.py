@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.operators.matching import hash_match, suffix_pairs
+from tracewell.functions.text import not_empty
+from tracewell.operators.matching import hash_match, not_allowed
 
 
 def _timed(events: DataFrame, late: str) -> DataFrame:
@@ -21,14 +22,20 @@ def module_load_alerts(events: DataFrame, drivers: DataFrame, late: str = "1 HOU
     return hash_match(_timed(events, late), drivers, "sha256", "sha256").dropDuplicatesWithinWatermark(["report_id", "sha256"])
 
 
-def rmm_report(connections: DataFrame, hosts: DataFrame, domains: DataFrame, late: str = "1 HOUR", window: str = "7 DAYS", slide: str = "1 DAY") -> DataFrame:
+def rmm_report(connections: DataFrame, hosts: DataFrame | None, domains: DataFrame, late: str = "1 HOUR", window: str = "7 DAYS", slide: str = "1 DAY", allowlist: DataFrame | None = None) -> DataFrame:
     """Connections per window, device, host and domain, for hosts that are a known domain or its subdomains.
 
-    hosts: the hosts to look at, a static table; late events beyond the watermark are dropped, and a
-    window comes out (append) once the watermark has passed it.
+    Each streamed host is matched by its own label suffixes, so hosts needn't be known before; the
+    table `hosts` isn't read. Hosts of the allowlist are left out. Late events beyond the watermark
+    are dropped, and a window comes out (append) once the watermark has passed it.
     """
-    pairs = suffix_pairs(hosts, domains)
-    matched = _timed(connections, late).join(pairs, "host")
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    seen = _timed(connections, late).where(not_empty(F.col("host")))
+    if allowlist is not None:
+        seen = not_allowed(seen, allowlist)
+    known = domains.where(not_empty(F.col("domain"))).select("domain").distinct()
+    matched = seen.withColumn("domain", F.explode(F.array_distinct(suffixes))).join(known, "domain")
     grouped = matched.groupBy(F.window("ts", window, slide), "device_id", "host", "domain")
     counts = grouped.agg(F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("event_count"))
     return counts.select(F.col("window.start").alias("window_start"), "device_id", "host", "domain", "first_seen", "last_seen", "event_count")
