@@ -1,10 +1,17 @@
 """Every query of the catalog that SQL can express against DuckDB."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
 from tracewell.plans import catalog
 
+ROOT = Path(__file__).resolve().parent.parent
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -32,3 +39,15 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_without_text_operators(tmp_path, pipeline):
+    """A copy without the text operators has all other queries, whether the pipeline's file is there or not."""
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (ROOT / name).exists() and (pipeline or name != "corpus_pipeline.py"):
+            shutil.copy(ROOT / name, tmp_path)
+    shutil.copytree(ROOT / "tracewell", tmp_path / "tracewell", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})
+    assert said.stdout.splitlines() == [" ".join(sorted(catalog.QUERIES)), " ".join(sorted(catalog.ORACLES))]
