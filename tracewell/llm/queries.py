@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.llm import block_search, bpe_trie, jaccard_join, license_scan, line_dedup, lm_scoring, mixing, oracles, quality_rules, rans_files, substring_dedup
 from tracewell.llm.common import shared_dir, stage, table
 
-#: Folder of the public tokenizer files.
-TOKENIZERS = os.environ.get("TRACEWELL_TOKENIZERS", "/opt/tokenizers")
-
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -37,7 +34,7 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar(table(spark, sf_dir, "documents"))
 
 
-def op5_rans_files(spark: SparkSession, sf_dir: str, tokenizer: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
+def op5_rans_files(spark: SparkSession, sf_dir: str, tokenizer: str = public_tokenizers.path("byte_bpe_50k.json")) -> DataFrame:
     path = f"{shared_dir(spark)}/tracewell/token-files-{uuid.uuid4().hex}"
     rans_files.write(table(spark, sf_dir, "documents"), path, tokenizer, end_id=0)
     rows = rans_files.read(spark, path)
@@ -56,7 +53,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "host", F.size("lines").cast("bigint").alias("n_lines"), "n_dropped", F.sha2(F.array_join("kept_lines", "\n"), 256).alias("kept_sha256"))
 
 
-def op8_bpe_trie(spark: SparkSession, sf_dir: str, tokenizer: str = f"{TOKENIZERS}/word_bpe_49k.json") -> DataFrame:
+def op8_bpe_trie(spark: SparkSession, sf_dir: str, tokenizer: str = public_tokenizers.path("word_bpe_49k.json")) -> DataFrame:
     coded = bpe_trie.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer).drop("text")
     done = bpe_trie.decode(coded, tokenizer)
     ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")

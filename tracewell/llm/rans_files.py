@@ -18,16 +18,20 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracewell.llm.bpe_trie import SPACE, slices
+from tracewell.llm.bpe_trie import byte_symbols, slices
+from tracewell.llm.chunks import NUMBERS, WHITE, coded, joined, merged, spread
 from tracewell.llm.common import stage
 from tracewell.llm.recent import Recent
 
@@ -38,19 +42,25 @@ LOW = np.uint64(1 << 31)
 BLOCK_TOKENS = 1 << 20
 #: Most lanes of a block, and turns between checkpoints.
 LANES, STRIDE = 2048, 128
-#: Distinct chunks in each of the two generations that a worker remembers.
+#: Distinct words in each of the two generations that a worker remembers.
 REMEMBERED = 300_000
+#: Bytes of text that are tokenized at once.
+SLICE = 8 << 20
+#: The pattern by which byte-level tokenizers split a text, for the Latin blocks.
+PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_{NUMBERS}]+| ?[\d{NUMBERS}]+| ?(?:[^{WHITE}\w]|_)+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
 RAW = "part long, block long, doc_ids array<bigint>, sizes array<int>, ids binary"
 BLOCKS = "part long, block long, doc_ids array<bigint>, sizes array<int>, n_tokens long, lanes int, stride int, states binary, offsets array<int>, checks array<bigint>, payload binary"
 
 
 class Tokens:
-    """Ids of texts by the tokenizers library, called once for each distinct chunk.
+    """Ids of texts by the tokenizers library, which meets each distinct word once.
 
     The splitting pattern of byte-level tokenizers never joins a blank to what stands before it
     if something other than white space follows, so texts are cut before such blanks and the
-    chunks' ids are put together. Texts with a special token's string go to the library whole.
+    chunks' ids are put together. A new chunk is split by the pattern, and the library encodes
+    its new words. Beyond the Latin blocks, where Unicode versions differ, the library splits too.
+    Texts with a special token's string go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -58,44 +68,62 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = Recent(REMEMBERED)
-        self.cut = re.compile(f" (?=[^{SPACE}])")
-        self.odd = re.compile(f" [{SPACE}]| $")
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        # Bytes of text that each id stands for: one for each character of a byte-level token.
-        self.bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
-
-    def chunks(self, text: str) -> list[str]:
-        return self.cut.split(text) if self.odd.search(text) else text.split(" ")
-
-    def library(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def learn(self, new: list[str]) -> None:
-        """Encodes chunks, each behind a blank, many in one call; the ids' sizes show where each ends."""
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            ids = self.library(" " + " ".join(part))
-            ends = np.cumsum([1 + (len(x) if x.isascii() else len(x.encode())) for x in part])
-            places = [0, *(4 * np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 4).tolist()]
-            raw = ids.tobytes()
-            self.known.update({chunk: raw[a:b] for chunk, a, b in zip(part, places, places[1:], strict=False)})
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        whole = {i for i, x in enumerate(texts) if x and any(s in x for s in self.special)}
-        split = [self.chunks(x) if x and i not in whole else [] for i, x in enumerate(texts)]
-        self.learn(list(self.known.unknown(set().union(*(row[1:] for row in split)))))
-        get = self.known.__getitem__
-        out = []
-        for i, row in enumerate(split):
-            if i in whole:
-                out.append(self.library(texts[i]).tobytes())
-            elif not row:
-                out.append(b"")
-            else:  # nothing stands before the first chunk
-                out.append((self.library(row[0]).tobytes() if row[0] else b"") + b"".join(map(get, row[1:])))
+        self.cut = re.compile(f" (?=[^{WHITE}])")
+        self.odd = f" [{WHITE}]| \\z"
+        self.word = re.compile(PATTERN)
+        self.beyond = re.compile("[^\x00-\u024f]")
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.single = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
+
+    def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids of each)."""
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Ids of new words, which the splitting pattern leaves whole."""
+        cut = self.model.tokenize
+        for word in words:
+            symbols = "\u0120" + word[1:] if word[0] == " " != word[-1] and word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.symbols)
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids) if len(ids := [x.id for x in cut(symbols)]) > 1 else self.single[ids[0]]
+
+    def near(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As chunks(), for those of the Latin blocks."""
+        words = self.word.findall(" " + " ".join(chunks)) if chunks else []
+        self.learn(self.known.unknown(words))
+        # A chunk ends where a word does.
+        ends = np.searchsorted(np.cumsum(list(map(len, words))), np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1)) + 1
+        return spread(list(map(self.known.__getitem__, words)), ends)
+
+    def chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all distinct chunks, ids of each); each stands behind a blank."""
+        if not self.beyond.search(" ".join(chunks)):
+            return self.near(chunks)
+        far = np.array([bool(self.beyond.search(x)) for x in chunks])
+        near = [x for x, other in zip(chunks, far, strict=True) if not other]
+        return merged(far, self.near(near), self.library([f" {x}" for x, other in zip(chunks, far, strict=True) if other]))
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """32-bit ids of each text; a null is empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        whole = np.zeros(len(texts), bool)
+        for s in self.special:
+            whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False) & ~whole
+        full = pc.greater(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        plain = full & ~odd & ~whole
+        out = [np.zeros(0, "<i4")] * len(texts)
+        parts = [pc.split_pattern(texts.filter(pa.array(plain)), " ")]
+        if odd.any():
+            parts.append(pa.array([self.cut.split(x) for x in texts.filter(pa.array(odd)).to_pylist()], pa.list_(pa.string())))
+        ids, ends = coded(*joined(parts), self.chunks, self.library)  # nothing stands before the first chunk
+        for i, a, b in zip([*np.flatnonzero(plain), *np.flatnonzero(odd)], [0, *ends], ends, strict=False):
+            out[i] = ids[a:b]
+        for i in np.flatnonzero(whole):
+            out[i] = self.library([texts[i].as_py()])[0]
         return out
 
 
@@ -200,20 +228,20 @@ def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int, text: str, doc_id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, part, block = tokens(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<i4")
         doc_ids: list[int | None] = []
-        rows: list[bytes] = []
+        rows: list[np.ndarray] = []
         size = 0
 
         def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{"part": part, "block": block, "doc_ids": doc_ids, "sizes": [len(r) // 4 for r in rows], "ids": narrow(b"".join(rows))}], schema)
+            return pa.RecordBatch.from_pylist([{"part": part, "block": block, "doc_ids": doc_ids, "sizes": [len(r) + 1 for r in rows[::2]], "ids": narrow(np.concatenate(rows))}], schema)
 
         for batch in batches:
-            for piece in slices(batch, "text"):
-                for i, ids in zip(piece.column("doc_id").to_pylist(), known.encode(piece.column("text").to_pylist()), strict=True):
+            for piece in slices(batch, "text", SLICE):
+                for i, ids in zip(piece.column("doc_id").to_pylist(), known.encode(piece.column("text")), strict=True):
                     doc_ids.append(i)
-                    rows.append(ids + end)
-                    size += len(ids) // 4 + 1
+                    rows += [ids, end]
+                    size += len(ids) + 1
                     if size >= BLOCK_TOKENS:
                         yield made()
                         block, doc_ids, rows, size = block + 1, [], [], 0
@@ -223,10 +251,9 @@ def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int, text: str, doc_id:
     return ordered.mapInArrow(run, RAW)
 
 
-def narrow(ids: bytes) -> bytes:
+def narrow(ids: np.ndarray) -> bytes:
     """32-bit ids as a marked array of 16-bit ones where all fit."""
-    wide = np.frombuffer(ids, "<u4")
-    return b"2" + wide.astype("<u2").tobytes() if not len(wide) or wide.max() < 1 << 16 else b"4" + ids
+    return b"2" + ids.astype("<u2").tobytes() if not len(ids) or ids.max() < 1 << 16 else b"4" + ids.astype("<u4").tobytes()
 
 
 def widen(raw: bytes) -> np.ndarray:

@@ -22,5 +22,7 @@ class Recent(dict):
         if len(self) > self.limit:
             self.old = dict(self)
             self.clear()
+        new = {k for k in set(keys) if k not in self}
         old = self.old
-        return {k for k in keys if k not in self and k not in old}
+        self.update({k: old[k] for k in new if k in old})
+        return new.difference(old)
