@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from tracewell.llm import block_search, bpe_trie, jaccard_join, license_scan, li
 from tracewell.llm.common import shared_dir, table  # noqa: E402
 from tracewell.llm.components import connected  # noqa: E402
 
-WORD_BPE, BYTE_BPE = (f"{queries.TOKENIZERS}/{n}" for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+WORD_BPE, BYTE_BPE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 
 
 @pytest.fixture(scope="module")
@@ -456,12 +458,24 @@ def test_bpe(spark, docs, odd, none):
     assert bpe_trie.decode(bpe_trie.encode(none, WORD_BPE), WORD_BPE).count() == 0
 
 
+STRINGS = ["  a", " a ", "a\x1cb  c\x85 d \n e", "x <|endoftext|> y", "it's  they'll\n\n\nfoo   bar \t x ", "日本 語 テスト 😀 é ñandú Ⅷ x²", "a　 b   c", "\n", "   ", "don’t a_b __ 1a2 ½x ŉ", "\x00 a\x01b", "x" * 5000 + " y"]
+
+
+def test_token_strings():
+    """Texts cut and put together by chunks and words have the ids of whole texts."""
+    from tokenizers import Tokenizer
+
+    t, known = Tokenizer.from_file(BYTE_BPE), rans_files.Tokens(BYTE_BPE)
+    for texts in (STRINGS, [None, *STRINGS, ""], ["plain text"], []):
+        assert [x.tolist() for x in known.encode(pa.array(texts, pa.string()))] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
 @pytest.mark.parametrize("text", ["ΣΑΣ ὈΔΥΣΣΕΎΣ", "é 中文 \x1c\x1f \x85 ٣ ½ İ ß 🐱", "'''s don't I'LL", "a" * 300, "<|startoftext|>x<|endoftext|>", " a　b\xa0c", "x</w>y"])
 def test_bpe_strings(text):
     from tokenizers import Tokenizer
 
     ids = Tokenizer.from_file(WORD_BPE).encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(bpe_trie.encoder(WORD_BPE).encode([text])[0], "<i4").tolist() == ids
+    assert bpe_trie.encoder(WORD_BPE).encode(pa.array([text]))[0].as_py() == ids
 
 
 # 9: quality rules

@@ -11,23 +11,24 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tracewell.llm.chunks import NUMBERS, WHITE, coded, joined, merged, spread
 from tracewell.llm.recent import Recent
 
 #: Text is worked on in slices of about so many bytes, which bounds a task's memory.
 SLICE_BYTES = 2 << 20
+#: ... and encoded in slices of so many.
+ENCODED = 4 << 20
 #: Distinct words in each of the two generations that a worker remembers.
-REMEMBERED = 100_000
-#: Unicode White_Space.
-SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+REMEMBERED = 200_000
 NEVER = 1 << 62
 
 
@@ -52,7 +53,6 @@ class Vocabulary:
         names = [""] * size
         for name, i in [*self.ids.items(), *self.special.items()]:
             names[i] = name
-        self.names = pa.array(names, pa.string())
         self.symbol = byte_symbols()
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}  # of a merged token: left, right, rank
@@ -173,26 +173,20 @@ class Encoder:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.path = path
-        self.known = Recent(REMEMBERED)  # of chunks: what stands between white space
-        self.known_words = Recent(REMEMBERED)
-        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.vocabulary.special, key=len, reverse=True))) + ")")
-        self.word = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
-        self.space = re.compile(f"[{SPACE}]+")
-        self.control = re.compile("[\x1c-\x1f]")  # white space for str.split() only
+        self.known = Recent(REMEMBERED)
+        self.special = self.vocabulary.special
+        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.word = re.compile(rf" |'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_{NUMBERS}]+|[\d{NUMBERS}]|(?:[^{WHITE}\w]|_)+")
+        self.space = re.compile(f"[{WHITE}]+")
         self.beyond = re.compile("[^\x00-\u024f]")
         self.library = None
 
-    def chunks(self, text: str) -> list[str]:
-        return self.space.split(text) if self.control.search(text) else text.split()
+    def split(self, text: str) -> list[str]:
+        """Chunks of a text, special tokens' strings as chunks of their own."""
+        return [x for part in self.marks.split(text) for x in ([part] if part in self.special else self.space.split(part)) if x]
 
-    def words(self, chunk: str) -> list[str]:
-        """Words of a chunk: composed, lower-cased, split; none of that looks across white space.
-
-        Beyond the Latin blocks, where Unicode versions differ, the tokenizers library
-        composes, lower-cases and splits; below them nothing composes and both agree.
-        """
-        if chunk.isascii() or not self.beyond.search(chunk):
-            return self.word.findall(chunk.lower())
+    def foreign(self, chunk: str) -> list[str]:
+        """Words of a chunk by the tokenizers library."""
         if self.library is None:
             from tokenizers import Tokenizer
 
@@ -201,39 +195,54 @@ class Encoder:
         found = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(chunk))
         return [bytes(map(self.back.__getitem__, x)).decode() for x, _ in found]
 
-    def learn(self, chunks: set[str]) -> None:
-        """Encodes chunks that were not seen before, by the trie of their distinct words."""
-        split = {c: self.words(c) for c in chunks}
-        new = self.known_words.unknown(set().union(*split.values()))
-        for word, ids in self.vocabulary.encode_words(new).items():
-            self.known_words[word] = np.array(ids, "<i4").tobytes()
-        get = self.known_words.__getitem__
-        for chunk, found in split.items():
-            self.known[chunk] = b"".join(map(get, found))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        split: list[list[list[str]]] = []
-        marked: dict[int, list[bytes]] = {}
-        for i, text in enumerate(texts):
-            if text and "<|" in text and len(parts := self.marks.split(text)) > 1:
-                split.append([self.chunks(x) for x in parts[::2]])
-                marked[i] = [np.array([self.vocabulary.special[x]], "<i4").tobytes() for x in parts[1::2]]
-            else:
-                split.append([self.chunks(text)] if text else [])
-        if new := self.known.unknown(set().union(*(part for row in split for part in row))):
-            self.learn(new)
-        get = self.known.__getitem__
-        out = []
-        for i, row in enumerate(split):
-            coded = [b"".join(map(get, part)) for part in row]
-            if i in marked:
-                coded = [x for pair in zip(coded, [*marked[i], b""], strict=True) for x in pair]
-            out.append(b"".join(coded))
-        return out
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of words; new ones are encoded by the trie of all that are new."""
+        for word, ids in self.vocabulary.encode_words(self.known.unknown(words)).items():
+            self.known[word] = struct.pack(f"<{len(ids)}i", *ids)
+        return list(map(self.known.__getitem__, words))
+
+    def near(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As chunks(), for those of the Latin blocks, in which nothing is composed and Python's tables agree with the library's."""
+        if not chunks:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        words = self.word.findall(" ".join(chunks).lower())
+        self.known[" "] = b""
+        ends = np.flatnonzero(np.fromiter((x == " " for x in words), bool, len(words)))
+        return spread(self.words(words), np.append(ends, len(words)))
+
+    def chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all distinct chunks, ids of each): composed, lower-cased, split; none of that looks across white space.
+
+        Beyond the Latin blocks, where Unicode versions differ, the tokenizers library
+        composes, lower-cases and splits.
+        """
+        if not self.beyond.search(" ".join(chunks)) and self.special.keys().isdisjoint(chunks):
+            return self.near(chunks)
+        far = np.array([bool(self.beyond.search(x)) or x in self.special for x in chunks])
+        rows = [struct.pack("<i", self.special[x]) if x in self.special else b"".join(self.words(self.foreign(x))) for x, other in zip(chunks, far, strict=True) if other]
+        return merged(far, self.near([x for x, other in zip(chunks, far, strict=True) if not other]), spread(rows, np.arange(1, len(rows) + 1)))
+
+    def forget(self) -> None:
+        """Frees what was learned from texts, so that an idle worker holds the vocabulary only."""
+        for cache in (self.known, self.vocabulary.fits, self.vocabulary.edges):
+            cache.clear()
+            cache.old = {}
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """Lists of ids of the texts; a null has none."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        # White space for Arrow's splitting only, and texts that may have a special token.
+        odd = pc.or_(pc.match_substring_regex(texts, "[\x1c-\x1f]"), pc.match_substring(texts, "<|")).to_numpy(zero_copy_only=False)
+        parts = [pc.utf8_split_whitespace(pc.utf8_trim_whitespace(texts.filter(pa.array(~odd))))]
+        if odd.any():
+            parts.append(pa.array([self.split(x) for x in texts.filter(pa.array(odd)).to_pylist()], pa.list_(pa.string())))
+        ids, ends = coded(*joined(parts), self.chunks)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
+        return lists.take(pa.array(np.argsort(np.argsort(odd, kind="stable"), kind="stable"))) if odd.any() else lists
 
 
 _encoders: dict[str, Encoder] = {}
+_names: dict[str, pa.Array] = {}
 
 
 def encoder(path: str) -> Encoder:
@@ -243,6 +252,19 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def token_names(path: str) -> pa.Array:
+    """The token of each id of a tokenizer file."""
+    if path not in _names:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        names = [""] * (1 + max(ids.values()))
+        for name, i in ids.items():
+            names[i] = name
+        _names[path] = pa.array(names, pa.string())
+    return _names[path]
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of about `limit` bytes of text; a longer text makes its own slice."""
     if not batch.num_rows:
@@ -253,14 +275,8 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         yield batch.slice(a, b - a)
 
 
-def id_lists(rows: list[bytes]) -> pa.ListArray:
-    offsets = np.zeros(len(rows) + 1, np.int32)
-    np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), "<i4")))
-
-
-def _with(df: DataFrame, name: str, kind: T.DataType, make) -> DataFrame:
-    """df with one more column, which make() computes from a batch; a column of that name is replaced."""
+def _with(df: DataFrame, name: str, kind: T.DataType, make, end=lambda: None) -> DataFrame:
+    """df with one more column, which make() computes from a batch; a column of that name is replaced. A task calls end() at last."""
     kept = [c for c in df.columns if c != name]
     schema = T.StructType([*(f for f in df.schema.fields if f.name != name), T.StructField(name, kind)])
 
@@ -268,6 +284,7 @@ def _with(df: DataFrame, name: str, kind: T.DataType, make) -> DataFrame:
         for batch in batches:
             for part, column in make(batch):
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), column], names=[*kept, name])
+        end()
 
     return df.mapInArrow(run, schema)
 
@@ -282,10 +299,10 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "toke
 
     def make(batch):
         known = encoder(tokenizer)
-        for part in slices(batch, text):
-            yield part, id_lists(known.encode(part.column(text).to_pylist()))
+        for part in slices(batch, text, ENCODED):
+            yield part, known.encode(part.column(text))
 
-    return _with(docs, out, T.ArrayType(T.IntegerType()), make)
+    return _with(docs, out, T.ArrayType(T.IntegerType()), make, lambda: encoder(tokenizer).forget())
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -295,7 +312,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "token_ids", out: str
     """
 
     def make(batch):
-        names = encoder(tokenizer).vocabulary.names
+        names = token_names(tokenizer)
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
             lists = part.column(ids)
