@@ -498,17 +498,31 @@ def test_binomial_tail(spark):
 
 
 def test_cutoffs(spark):
-    """Cutoffs are used where the holdout proves them and nowhere else."""
+    """Cutoffs are used where the holdout proves them and nowhere else; copies of a text prove as much as one."""
     text = " ".join(f"w{i}" for i in range(100))
     junk = " ".join(f"w{i}%%%" for i in range(100))
-    rows = [(i, text, "big") for i in range(3000)] + [(3000 + i, junk, "big") for i in range(300)] + [(4000 + i, text, "small") for i in range(20)] + [(5000 + i, junk, "small") for i in range(20)]
+    rows = [(i, f"{text} x{i}", "big") for i in range(600)] + [(3000 + i, f"{junk} x{i}", "big") for i in range(60)] + [(4000 + i, f"{text} x{i}", "small") for i in range(20)] + [(5000 + i, f"{junk} x{i}", "small") for i in range(20)]
+    rows += [(6000 + i, text, "copies") for i in range(600)] + [(7000 + i, f"{junk} x{i}", "copies") for i in range(60)] + [(8000, junk, "copies"), (8001, junk, "copies")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    labels = spark.createDataFrame([(i, 0 if t == junk else 1) for i, t, _ in rows] + [(None, 1), (99_999, 0)], "doc_id long, quality int")
+    labels = spark.createDataFrame([(i, 0 if junk in t and i != 8000 else 1) for i, t, _ in rows] + [(None, 1), (99_999, 0)], "doc_id long, quality int")
     cut = {(r.stratum, r.rule): r for r in quality_rules.thresholds(quality_rules.metrics(docs), labels).collect()}
     assert set(cut) == {("big", "symbols")}
-    assert (cut["big", "symbols"].n_lost, cut["big", "symbols"].n_caught) == (0, 300)
+    assert (cut["big", "symbols"].n_good, cut["big", "symbols"].n_lost, cut["big", "symbols"].n_caught) == (600, 0, 60)
     kept = quality_rules.quality_filter(docs, labels)
-    assert kept.columns == docs.columns and kept.count() == 3040
+    assert kept.columns == docs.columns and kept.count() == len(rows) - 60
+
+
+def test_risk_holds(spark):
+    """Of 100 strata whose cutoffs would lose a little more than their share none gets one; where much less is lost all do."""
+    share = quality_rules.RISK * quality_rules.SHARES["symbols"]
+    n = 1500
+    rows = spark.range(200 * n).select("id", (F.col("id") % 200).cast("string").alias("lang"), F.expr(f"id >= {200 * (n - 100)}").alias("bad"), F.rand(3).alias("u"))
+    loss = F.when(F.col("lang").cast("int") < 100, share * 1.05).otherwise(share / 6)
+    odd = F.col("bad") | (F.col("u") < loss)
+    zero = {c: F.lit(0).cast("bigint") for c in quality_rules.METRICS}
+    measured = rows.withColumns(zero | {"n_words": F.lit(100).cast("bigint"), "n_symbols": F.when(odd, 50).otherwise(0).cast("bigint"), "text_key": F.col("id")}).withColumnRenamed("id", "doc_id")
+    labels = measured.select("doc_id", F.when(F.col("bad"), 0).otherwise(1).alias("quality"))
+    assert {int(r.stratum) for r in quality_rules.thresholds(measured, labels).collect()} == set(range(100, 200))
 
 
 def test_quality_awkward(spark, odd, none):

@@ -54,23 +54,25 @@ kept AS (SELECT page_id, p.host, lines, list_filter(lines, lambda x: NOT list_co
 SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(k))::BIGINT AS n_dropped, sha256(coalesce(array_to_string(k, chr(10)), '')) AS kept_sha256 FROM kept
 """
 
-RISK, DELTA, RULES = 0.02, 0.05, 4
-P = RISK / RULES
+SHARES = quality_rules.SHARES
+P = "CASE rule " + " ".join(f"WHEN '{r}' THEN {quality_rules.RISK * s}" for r, s in SHARES.items()) + " END"
+ALPHA = "CASE rule " + " ".join(f"WHEN '{r}' THEN {quality_rules.DELTA * s}" for r, s in SHARES.items()) + " END"
 OP9 = f"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
 runs AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d))),
 repeats AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS i FROM runs WHERE n > 1) GROUP BY doc_id),
-m AS (SELECT d.doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[{quality_rules.SYMBOLS}]', '', 'g')))::BIGINT AS n_symbols,
+m AS (SELECT d.doc_id, lang, t, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[{quality_rules.SYMBOLS}]', '', 'g')))::BIGINT AS n_symbols,
   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, length(t) - length(replace(t, '!', '')) AS n_bangs FROM d LEFT JOIN repeats r ON r.doc_id = d.doc_id),
 f AS (SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m),
-scored AS (SELECT doc_id, lang, base_failed, unnest(['symbols', 'bangs', 'dup_lines', 'repeats']) AS rule,
+scored AS (SELECT doc_id, lang, t, base_failed, unnest(['symbols', 'bangs', 'dup_lines', 'repeats']) AS rule,
   unnest([ceil(least(1, n_symbols / greatest(n_words, 1)) * 100), ceil(least(1, n_bangs / greatest(n_words, 1)) * 100), ceil(least(1, n_dup_lines / greatest(len(lines), 1)) * 100), ceil(least(1, n_repeat_words / greatest(n_words, 1)) * 100)]) AS score FROM f),
 clear AS (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IN (0, 1) AND doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = max(quality)),
-curve AS (SELECT lang, rule, cutoff, count(*) FILTER (q = 1) AS n_good, count(*) FILTER (q = 1 AND score > cutoff) AS n_lost, count(*) FILTER (q = 0 AND score > cutoff) AS n_caught
-  FROM (SELECT s.*, c.q, unnest(range(0, {quality_rules.STEPS})) AS cutoff FROM scored s JOIN clear c USING (doc_id) WHERE NOT base_failed) GROUP BY lang, rule, cutoff),
-tested AS (SELECT *, CASE WHEN n_lost >= n_good * {P} THEN 1 ELSE list_sum(list_transform(range(0, n_lost + 1), lambda i: exp(lgamma(n_good + 1) - lgamma(i + 1) - CASE WHEN n_good > i THEN lgamma(n_good - i + 1) ELSE 0 END + i * ln({P}) + (n_good - i) * ln(1 - {P})))) END AS tail FROM curve),
+held AS (SELECT lang, rule, any_value(score) AS score, min(q) AS q FROM scored JOIN clear USING (doc_id) WHERE NOT base_failed GROUP BY lang, t, rule HAVING min(q) = max(q)),
+curve AS (SELECT lang, rule, cutoff, {P} AS p, count(*) FILTER (q = 1) AS n_good, count(*) FILTER (q = 1 AND score > cutoff) AS n_lost, count(*) FILTER (q = 0 AND score > cutoff) AS n_caught
+  FROM (SELECT *, unnest(range(0, {quality_rules.STEPS})) AS cutoff FROM held) GROUP BY lang, rule, cutoff),
+tested AS (SELECT *, CASE WHEN n_lost >= n_good * p THEN 1 ELSE list_sum(list_transform(range(0, n_lost + 1), lambda i: exp(lgamma(n_good + 1) - lgamma(i + 1) - CASE WHEN n_good > i THEN lgamma(n_good - i + 1) ELSE 0 END + i * ln(p) + (n_good - i) * ln(1 - p)))) END AS tail FROM curve),
 best AS (SELECT lang, rule, arg_max(cutoff, (n_caught - n_lost) * 1000 + cutoff) AS cutoff FROM tested
-  WHERE tail <= {DELTA} / (greatest(1, (SELECT count(DISTINCT coalesce(lang, '')) FROM curve)) * {RULES} * {quality_rules.STEPS}) AND n_caught > n_lost GROUP BY lang, rule),
+  WHERE tail <= {ALPHA} / (SELECT count(*) FROM (SELECT DISTINCT lang FROM curve)) AND n_caught > n_lost GROUP BY lang, rule),
 over AS (SELECT DISTINCT s.doc_id FROM scored s JOIN best b ON s.lang IS NOT DISTINCT FROM b.lang AND s.rule = b.rule WHERE s.score > b.cutoff)
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND o.doc_id IS NULL AS kept FROM f LEFT JOIN over o ON o.doc_id = f.doc_id
 """

@@ -1,11 +1,13 @@
 """Quality rules whose cutoffs carry a guarantee: at most a stated share of good documents is lost.
 
 Each rule scores how bad a document looks. The labelled documents are a holdout (no rule is
-fitted to them): per stratum and rule, a cutoff may be used only if an exact binomial test
-shows, with Bonferroni's correction over all strata, rules and cutoffs tried, that it rejects
-at most `risk` / rules of the good documents. Of the cutoffs that pass, the one that rejects the
-most bad documents over good ones is used; a stratum without proof keeps everything. Only DataFrame
-functions are used.
+fitted to them), in which equal texts count once. Per stratum and rule, cutoffs are tested from the
+most lenient one down, each by an exact binomial test of whether it rejects at most the rule's share
+of `risk` of the good documents, until a test fails: such a fixed sequence needs no correction for the
+number of cutoffs. The rules' shares of `delta`, divided by the number of strata, correct for rules
+and strata (weighted Bonferroni). Of the cutoffs that pass, the one that rejects the most bad
+documents over good ones is used; a stratum without proof keeps everything. Only DataFrame functions
+are used.
 """
 
 from __future__ import annotations
@@ -21,7 +23,11 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Candidate cutoffs of each rule lie on a grid of this many steps between 0 and 1.
 STEPS = 100
-METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bangs", "n_lines")
+METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bangs", "n_lines", "text_key")
+#: Shares of the rules in risk and delta, set before any label is seen.
+SHARES = {"symbols": 1 / 2, "bangs": 1 / 6, "dup_lines": 1 / 6, "repeats": 1 / 6}
+#: Good documents of a stratum that may be lost, and the chance that more are, over all strata.
+RISK, DELTA = 0.06, 0.05
 #: Bits of a 64-bit sort key that hold a window's place; the rest hold its hash.
 PLACE_BITS = 24
 
@@ -41,7 +47,7 @@ def _covered(places: Column) -> Column:
 def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with the columns METRICS (long), counted over each whole text; columns of those names are replaced.
 
-    A null text has no words, symbols or lines.  Windows of three words are compared by 64-bit
+    A null text has no words, symbols or lines; text_key is a hash of the text. Windows of three words are compared by 64-bit
     hashes of their words, in one sorted array of (hash, place) keys per text, so that a text of
     n words costs n log n whatever repeats in it.
     """
@@ -52,8 +58,8 @@ def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     for c in SYMBOLS:
         symbols = F.replace(symbols, F.lit(c), F.lit(""))
     lines = F.filter(F.split(text_col, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    df = docs.select(*kept, spaced(F.col(text)).alias("__tw_spaced"), lines.alias("__tw_lines"), (F.length(text_col) - F.length(symbols)).alias("__tw_symbols"))
-    df = df.select(*kept, F.array_remove(F.split("__tw_spaced", " "), "").alias("__tw_words"), F.length(F.replace(F.col("__tw_spaced"), F.lit(" "), F.lit(""))).alias("__tw_chars"), "__tw_lines", "__tw_symbols", (F.length("__tw_spaced") - F.length(F.replace(F.col("__tw_spaced"), F.lit("!"), F.lit("")))).alias("__tw_bangs"))
+    df = docs.select(*kept, spaced(F.col(text)).alias("__tw_spaced"), lines.alias("__tw_lines"), (F.length(text_col) - F.length(symbols)).alias("__tw_symbols"), F.xxhash64(text_col).alias("__tw_text_key"))
+    df = df.select(*kept, F.array_remove(F.split("__tw_spaced", " "), "").alias("__tw_words"), F.length(F.replace(F.col("__tw_spaced"), F.lit(" "), F.lit(""))).alias("__tw_chars"), "__tw_lines", "__tw_symbols", "__tw_text_key", (F.length("__tw_spaced") - F.length(F.replace(F.col("__tw_spaced"), F.lit("!"), F.lit("")))).alias("__tw_bangs"))
     counts = [
         F.size("__tw_words").cast("bigint").alias("n_words"),
         F.col("__tw_chars").cast("bigint").alias("word_chars"),
@@ -61,6 +67,7 @@ def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.size("__tw_lines") - F.size(F.array_distinct("__tw_lines"))).cast("bigint").alias("n_dup_lines"),
         F.col("__tw_bangs").cast("bigint").alias("n_bangs"),
         F.size("__tw_lines").cast("bigint").alias("n_lines"),
+        F.col("__tw_text_key").alias("text_key"),
     ]
     df = df.select(*kept, *counts, F.transform("__tw_words", lambda w: F.xxhash64(w)).alias("__tw_h"))
     two = _neighbours(F.col("__tw_h"), lambda a, b: F.xxhash64(a, b))
@@ -69,7 +76,8 @@ def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     windows = F.zip_with(F.slice("__tw_two", 1, F.size("__tw_third")), "__tw_third", lambda a, c: F.xxhash64(a, c))
     df = df.select(*kept, *names, windows.alias("__tw_windows"))
     keys = F.sort_array(F.transform("__tw_windows", lambda g, i: F.shiftleft(g, PLACE_BITS).bitwiseOR(i.cast("bigint"))))
-    df = df.select(*kept, *names, "__tw_windows", F.size(F.array_distinct("__tw_windows")).alias("__tw_distinct"), F.when(F.size("__tw_windows") <= mask, keys).alias("__tw_keys"))
+    df = df.select(*kept, *names, "__tw_windows", F.size(F.array_distinct("__tw_windows")).alias("__tw_distinct"))
+    df = df.select(*kept, *names, "__tw_windows", "__tw_distinct", F.when((F.col("__tw_distinct") < F.size("__tw_windows")) & (F.size("__tw_windows") <= mask), keys).alias("__tw_keys"))
     equal = lambda a, b: F.shiftright(a, PLACE_BITS) == F.shiftright(b, PLACE_BITS)
     first = F.array_compact(_neighbours(F.col("__tw_keys"), lambda a, b: F.when(equal(a, b), a.bitwiseAND(mask))))
     second = F.array_compact(_neighbours(F.col("__tw_keys"), lambda a, b: F.when(equal(a, b), b.bitwiseAND(mask))))
@@ -115,18 +123,20 @@ def _tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.aggregate(few, start, step, lambda s: F.least(s.total, F.lit(1.0))))
 
 
-def thresholds(measured: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", risk: float = 0.02, delta: float = 0.05) -> DataFrame:
+def thresholds(measured: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """One row (stratum, rule, cutoff, n_good, n_lost, n_bad, n_caught) for each cutoff in use.
 
     measured: documents with METRICS; labels: (doc_id, quality), 1 good and 0 bad; ids that are
-    null, unknown or labelled both ways take no part.  Documents that fail the base rule don't
-    either, since no cutoff decides on them.  With probability 1 - delta, over all strata at
-    once, the rules together lose at most the share `risk` of each stratum's good documents.
+    null, unknown or labelled both ways take no part, nor do texts of a stratum whose copies are
+    labelled both ways; other copies count once. Documents that fail the base rule don't
+    either, since no cutoff decides on them. With probability 1 - delta, over all strata at
+    once, the rules together lose at most the share `risk` of each stratum's good texts.
     """
     clear = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_doc")).agg(F.min("quality").alias("_q"), F.max("quality").alias("_most")).where("_q = _most").drop("_most")
     rules = scores()
-    scored = measured.where(~base_failed()).select(F.col(doc_id).alias("_doc"), F.col(stratum).alias("stratum"), *(c.alias(name) for name, c in rules.items()))
-    held = scored.join(clear, "_doc").select("stratum", "_q", F.explode(F.create_map(*(x for name in rules for x in (F.lit(name), F.col(name))))).alias("rule", "score"))
+    scored = measured.where(~base_failed()).select(F.col(doc_id).alias("_doc"), F.col(stratum).alias("stratum"), "text_key", *(c.alias(name) for name, c in rules.items()))
+    texts = scored.join(clear, "_doc").groupBy("stratum", "text_key", *rules).agg(F.min("_q").alias("_q"), F.max("_q").alias("_most")).where("_q = _most")
+    held = texts.select("stratum", "_q", F.explode(F.create_map(*(x for name in rules for x in (F.lit(name), F.col(name))))).alias("rule", "score"))
     # A step's count is spread over the cutoffs below its score: at most STEPS rows for each stratum, rule and label.
     steps = stage(held.groupBy("stratum", "rule", "score").agg(F.count_if(F.col("_q") == 1).alias("good"), F.count_if(F.col("_q") == 0).alias("bad")), "steps")
     grid = F.sequence(F.lit(0), F.lit(STEPS - 1))
@@ -136,11 +146,14 @@ def thresholds(measured: DataFrame, labels: DataFrame, stratum: str = "lang", do
         F.sum("good").alias("n_good"), F.sum(F.when(over, F.col("good")).otherwise(0)).alias("n_lost"),
         F.sum("bad").alias("n_bad"), F.sum(F.when(over, F.col("bad")).otherwise(0)).alias("n_caught"),
     )
-    tests = max(1, steps.select("stratum").distinct().count()) * len(rules) * STEPS
-    safe = curve.where(_tail(F.col("n_good"), F.col("n_lost"), risk / len(rules)) <= delta / tests)
+    strata = max(1, steps.select("stratum").distinct().count())
+    # What is lost grows as the cutoff falls, and the test's tail with it, so the cutoffs that pass are those before the first failure.
+    safe = F.lit(False)
+    for rule, share in SHARES.items():
+        safe = safe | ((F.col("rule") == rule) & (_tail(F.col("n_good"), F.col("n_lost"), risk * share) <= delta * share / strata))
     gain = F.col("n_caught") - F.col("n_lost")
     best = F.max(F.struct(gain.alias("gain"), "cutoff", "n_good", "n_lost", "n_bad", "n_caught")).alias("best")
-    return safe.where(gain > 0).groupBy("stratum", "rule").agg(best).select("stratum", "rule", "best.cutoff", "best.n_good", "best.n_lost", "best.n_bad", "best.n_caught")
+    return curve.where(safe & (gain > 0)).groupBy("stratum", "rule").agg(best).select("stratum", "rule", "best.cutoff", "best.n_good", "best.n_lost", "best.n_bad", "best.n_caught")
 
 
 def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -162,14 +175,14 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Dat
     return joined.drop("__tw_stratum", *(f"__tw_cut_{r}" for r in rules))
 
 
-def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text", doc_id: str = "doc_id", risk: float = 0.02, delta: float = 0.05) -> DataFrame:
+def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text", doc_id: str = "doc_id", risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """The rows of docs that are kept, with their own columns only.
 
-    Measures all documents for the cutoffs (staged without texts), then once more to filter, so
-    that no text is shuffled. Repeated rows are judged each.
+    Documents are measured once and staged with their counts, from which cutoffs and verdicts
+    follow; no text is shuffled. Repeated rows are judged each, null and empty texts fail the base
+    rule, an empty table gives an empty one, and columns that are named as the counts come back as they were.
     """
-    measured = stage(metrics(docs.select(doc_id, stratum, text), text).drop(text), "metrics")
-    cutoffs = stage(thresholds(measured, labels, stratum, doc_id, risk, delta), "cutoffs")
     clash = {c: f"__tw_own_{c}" for c in (*METRICS, "base_failed", "kept") if c in docs.columns}
-    judged = judge(metrics(docs.withColumnsRenamed(clash), text), cutoffs, stratum).where("kept")
-    return judged.select(*(F.col(clash.get(c, c)).alias(c) for c in docs.columns))
+    measured = stage(metrics(docs.withColumnsRenamed(clash), text), "metrics")
+    cutoffs = stage(thresholds(measured, labels, stratum, doc_id, risk, delta), "cutoffs")
+    return judge(measured, cutoffs, stratum).where("kept").select(*(F.col(clash.get(c, c)).alias(c) for c in docs.columns))
