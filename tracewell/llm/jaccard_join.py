@@ -5,7 +5,7 @@ the rest works on classes. Every set samples tokens (n-grams) at the rate RUNS /
 hash of the token for all sets, so that similar sets likely sample the same ones: RUNS runs of the
 chosen-path recursion at once. Sets that share a sampled token are a bucket; a bucket of over
 LIMIT sets samples again, with hashes of the path so far, down to DEPTH tokens. Buckets are
-searched by brute force, those that stay large in blocks of LIMIT, so none is dropped.
+searched by brute force, those that stay large in blocks of LIMIT sets and TOKENS tokens, so none is dropped.
 
 A pair of similarity t shares 20 sampled tokens on average, and each survives two more levels with
 probability 0.47 (1 - exp(-p) with p = 1 - exp(-1)), so it is missed with probability
@@ -19,6 +19,7 @@ share only the least one answers for the pair, so links are counted once without
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,10 @@ SHINGLE = 5
 THRESHOLD = (4, 5)
 #: Runs, levels and the bucket size that is searched without sampling again.
 RUNS, DEPTH, LIMIT = 20, 3, 1024
-#: Rows of a matrix of pairs that are made at once.
-ROWS = 256
+#: Tokens in the sets of one block, which bounds what a task holds by bytes as well (a longer set makes its own block).
+TOKENS = 1 << 20
+#: Rows and columns of a matrix that are made at once.
+ROWS, COLUMNS = 256, 4096
 #: One-byte minima in a sketch, and how many must agree: 51 do on average at the threshold, fewer than 35 in 1 of 10 million pairs.
 SKETCH, AGREE = 64, 35
 
@@ -112,7 +115,7 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = _tokens(batch.column("packed")[i])
             for path, n in zip(*(batch.column(c)[i].as_py() for c in ("own", "sizes")), strict=True):
                 new = np.unique(chosen(tokens, path % (1 << 64), 1)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(new), pa.array(np.full(len(new), batch.column("node")[i].as_py())), pa.array(np.full(len(new), n))], names=["path", "node", "above"])
+                yield pa.RecordBatch.from_arrays([pa.array(new), pa.array(np.full(len(new), batch.column("node")[i].as_py())), pa.array(np.full(len(new), n)), pa.array(np.full(len(new), len(tokens)))], names=["path", "node", "above", "size"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, dict[str, list]]]:
@@ -130,14 +133,27 @@ def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iter
         yield key, held
 
 
-def _incidence(paths: list[list[int]], path: int) -> np.ndarray:
-    """Which sets (rows) are in which buckets before this one; two sets that share one are another bucket's pair."""
-    before = [[p for p in own if p < path] for own in paths]
-    names = {p: i for i, p in enumerate(sorted(set().union(*before)))}
-    there = np.zeros((len(paths), max(1, len(names))), np.float32)
-    for i, own in enumerate(before):
-        there[i, [names[p] for p in own]] = 1
-    return there
+def _earlier(paths: list[list[int]], path: int) -> tuple[np.ndarray, np.ndarray]:
+    """(set, bucket) by bucket: which sets are in which buckets before this one that hold several of them."""
+    owner = np.repeat(np.arange(len(paths)), list(map(len, paths)))
+    names = np.fromiter(chain.from_iterable(paths), np.int64, len(owner))
+    owner, names = owner[names < path], names[names < path]
+    _, bucket, n = np.unique(names, return_inverse=True, return_counts=True)
+    owner, bucket = owner[n[bucket] > 1], np.unique(bucket[n[bucket] > 1], return_inverse=True)[1]
+    order = np.argsort(bucket, kind="stable")
+    return owner[order], bucket[order]
+
+
+def _met(before: tuple[np.ndarray, np.ndarray], rows: slice, n: int) -> np.ndarray:
+    """Which pairs (rows, all n sets) share an earlier bucket; they are that bucket's pairs."""
+    owner, bucket = before
+    out = np.zeros((len(range(*rows.indices(n))), n), bool)
+    for at in range(0, int(bucket.max(initial=-1)) + 1, COLUMNS):
+        a, b = np.searchsorted(bucket, [at, at + COLUMNS])
+        there = np.zeros((n, int(bucket[b - 1]) + 1 - at), np.float32)
+        there[owner[a:b], bucket[a:b] - at] = 1
+        out |= there[rows] @ there.T > 0
+    return out
 
 
 def _pairs(key: tuple, blocks: np.ndarray, rows: slice) -> np.ndarray:
@@ -161,15 +177,15 @@ def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, blocks, sizes, sketches, paths = (list(x) for x in zip(*held.values(), strict=True))
         size, blocks = np.array(sizes), np.array(blocks)
         codes = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(nodes), SKETCH)
-        there = None
+        before = None
         for a in range(0, len(nodes), ROWS):
             rows = slice(a, a + ROWS)
             near = np.stack([(codes == row).sum(axis=1) for row in codes[rows]]) >= AGREE
             near &= THRESHOLD[1] * np.minimum(size[rows, None], size) >= THRESHOLD[0] * np.maximum(size[rows, None], size)
             near &= _pairs(key, blocks, rows)
             if near.any():
-                there = _incidence(paths, key[0]) if there is None else there
-                near &= there[rows] @ there.T == 0
+                before = _earlier(paths, key[0]) if before is None else before
+                near &= ~_met(before, rows, len(nodes))
             out += [(*key, blocks[i], nodes[i]) for i in a + np.flatnonzero(near.any(axis=1))]
         if len(out) >= 20_000:
             yield made()
@@ -233,14 +249,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, blocks, copies, paths, tokens = (list(x) for x in zip(*held.values(), strict=True))
         sets = [np.frombuffer(x, np.uint64) for x in tokens]
         link = overlaps(sets)
-        size, blocks, there = np.array([len(s) for s in sets], np.float32), np.array(blocks), None
+        size, blocks, before = np.array([len(s) for s in sets], np.float32), np.array(blocks), None
         found = np.zeros(link.shape, bool)
         for a in range(0, len(nodes), ROWS):
             rows = slice(a, a + ROWS)
             near = (THRESHOLD[1] * link[rows] >= THRESHOLD[0] * (size[rows, None] + size - link[rows])) & _pairs(key, blocks, rows)
             if near.any():
-                there = _incidence(paths, key[0]) if there is None else there
-                found[rows] = near & (there[rows] @ there.T == 0)
+                before = _earlier(paths, key[0]) if before is None else before
+                found[rows] = near & ~_met(before, rows, len(nodes))
         if found.any():
             label = roots(found, np.array(nodes))
             texts, docs = found.sum(axis=1), found @ np.array(copies)
@@ -275,29 +291,29 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
         return packed.join(keyed.withColumnsRenamed({"node": "_node", "text_key": "_text_key"}), (F.col("doc") == F.col("_node")) & (F.col("text_key") == F.col("_text_key"))).withColumnRenamed("_node", "node")
 
     def counted(rows: DataFrame, name: str) -> DataFrame:
-        """Rows (path, node, above) of buckets with company, and their sizes n."""
+        """Rows (path, node, above, size) of buckets with company, and each bucket's sets n and tokens."""
         rows = stage(rows, f"{name}-rows")
-        n = stage(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"{name}-buckets")
+        n = stage(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens")).where("n > 1"), f"{name}-buckets")
         return stage(rows.join(n, "path"), name)
 
-    level = counted(classes.select(F.explode("paths").alias("path"), "node", F.lit((1 << 62)).alias("above")), "level1")
+    level = counted(classes.select(F.explode("paths").alias("path"), "node", F.lit((1 << 62)).alias("above"), "size"), "level1")
     buckets = []
     for depth in range(1, DEPTH + 1):
         # A bucket that sampling again hardly made smaller holds sets that are all alike.
         final = (F.col("n") <= LIMIT) | (2 * F.col("n") >= F.col("above")) | F.lit(depth == DEPTH)
-        buckets.append(level.where(final).select("path", "node", "n"))
+        buckets.append(level.where(final).select("path", "node", "n", "tokens"))
         large = level.where(~final)
         if depth == DEPTH or large.isEmpty():
             break
         own = large.groupBy("node").agg(F.collect_list(F.struct("path", "n")).alias("own"))
         grown = with_text(own).select("node", "packed", F.col("own.path").alias("own"), F.col("own.n").alias("sizes"))
-        level = counted(grown.mapInArrow(_extend, "path long, node long, above long").distinct(), f"level{depth + 1}")
+        level = counted(grown.mapInArrow(_extend, "path long, node long, above long, size long").distinct(), f"level{depth + 1}")
     members = buckets[0]
     for more in buckets[1:]:
         members = members.unionByName(more)
     members = stage(members, "members")
     paths = stage(members.groupBy("node").agg(F.array_sort(F.collect_set("path")).alias("own")), "paths")
-    blocks = F.ceil(F.col("n") / LIMIT)
+    blocks = F.greatest(F.ceil(F.col("n") / LIMIT), F.ceil(F.col("tokens") / TOKENS))
     at = F.pmod(F.xxhash64("node", "path"), blocks)
     dealt = members.withColumn("block", at).select("path", "node", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("other"))
     dealt = dealt.select("path", F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"), "block", "node")
