@@ -1,9 +1,12 @@
-"""From raw documents to a tokenized mixture: five stages, each a Spark job over all that the one before kept."""
+"""From raw documents to a tokenized mixture: five stages, each a Spark job over all that the one before kept.
 
-from __future__ import annotations
+Every stage takes an empty table to an empty one, keeps rows of a null or repeated doc_id, and leaves
+columns beyond those of documents alone, whatever their names, up to the last stage.
+"""
 
-import os
+from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,32 +14,44 @@ from tracewell.llm import bpe_trie, jaccard_join, line_dedup, mixing, quality_ru
 from tracewell.llm.common import stage, table
 
 #: Tokenizer file of the last stage.
-TOKENIZER = os.path.join(os.environ.get("TRACEWELL_TOKENIZERS", "/opt/tokenizers"), "word_bpe_49k.json")
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, whose cutoffs the labels of the corpus bound."""
+    """Documents that pass the quality rules, whose cutoffs the labels of the corpus bound.
+
+    Null and empty texts have too few words and go; a null lang is a stratum of its own; equal rows are judged alike.
+    """
     return quality_rules.quality_filter(docs, table(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines, in which copies of a text count once, whatever a source's size, null a source of its own; n_chars follows the text."""
+    """Documents without their source's boilerplate lines; n_chars follows the text.
+
+    Copies of a text count once, whatever a source's size; a null source is one source, a null text stays null with a null n_chars.
+    """
     done = line_dedup.dedup_texts(docs, host="source", once=True, small=True, null_site=True)
     return done.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of the least doc_id, of each class of similar documents."""
+    """One document, of the least doc_id, of each class of similar documents.
+
+    Texts without words (null, empty, blank) all stay; rows that share the class's doc_id stay together; a null doc_id is the largest.
+    """
     return jaccard_join.keep_one(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights of their sources ask for."""
+    """Documents as often as the target weights of their sources ask for.
+
+    A null source is a source of its own; texts without words are drawn by their source's share; equal rows are taken equally often.
+    """
     return mixing.repeat(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document and the text they decode to."""
+    """doc_id, lang and source of every document with its ids and the text they decode to; null and empty texts have none and ''."""
     coded = bpe_trie.decode(bpe_trie.encode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER).drop("text"), TOKENIZER)
     return coded.select("doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids", "decoded")
 
