@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tracewell.llm.chunks import NUMBERS, WHITE, coded, joined, merged, spread
+from tracewell.llm.common import small_batches
 from tracewell.llm.recent import Recent
 
 #: Text is worked on in slices of about so many bytes, which bounds a task's memory.
@@ -28,7 +29,7 @@ SLICE_BYTES = 2 << 20
 #: ... and encoded in slices of so many.
 ENCODED = 4 << 20
 #: Distinct words in each of the two generations that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 NEVER = 1 << 62
 
 
@@ -72,9 +73,9 @@ class Vocabulary:
             if (size := self.sizes[token]) > 2:
                 tail = name[size - 3 :]
                 self.reach[tail] = max(size, self.reach.get(tail, 0))
-        self.fits = Recent(200_000)
+        self.fits = Recent(100_000)
         self.whole: dict[int, bool] = {}
-        self.edges = Recent(50_000)
+        self.edges = Recent(20_000)
 
     def edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """Tokens that stand at the token's left (0) or right (1) end as it is merged, each with the rank that uses it up."""
@@ -222,12 +223,6 @@ class Encoder:
         rows = [struct.pack("<i", self.special[x]) if x in self.special else b"".join(self.words(self.foreign(x))) for x, other in zip(chunks, far, strict=True) if other]
         return merged(far, self.near([x for x, other in zip(chunks, far, strict=True) if not other]), spread(rows, np.arange(1, len(rows) + 1)))
 
-    def forget(self) -> None:
-        """Frees what was learned from texts, so that an idle worker holds the vocabulary only."""
-        for cache in (self.known, self.vocabulary.fits, self.vocabulary.edges):
-            cache.clear()
-            cache.old = {}
-
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """Lists of ids of the texts; a null has none."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
@@ -245,6 +240,12 @@ _encoders: dict[str, Encoder] = {}
 _names: dict[str, pa.Array] = {}
 
 
+def forget(path: str) -> None:
+    """Frees a worker's encoder at the end of a task: Spark keeps idle workers, and other stages need their memory."""
+    _encoders.pop(path, None)
+    pa.default_memory_pool().release_unused()
+
+
 def encoder(path: str) -> Encoder:
     """This worker's encoder of a tokenizer file."""
     if path not in _encoders:
@@ -286,6 +287,7 @@ def _with(df: DataFrame, name: str, kind: T.DataType, make, end=lambda: None) ->
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), column], names=[*kept, name])
         end()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -302,7 +304,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "toke
         for part in slices(batch, text, ENCODED):
             yield part, known.encode(part.column(text))
 
-    return _with(docs, out, T.ArrayType(T.IntegerType()), make, lambda: encoder(tokenizer).forget())
+    return _with(docs, out, T.ArrayType(T.IntegerType()), make, lambda: forget(tokenizer))
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:

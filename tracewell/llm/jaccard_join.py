@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm.bpe_trie import slices
-from tracewell.llm.common import stage
+from tracewell.llm.common import small_batches, stage
 from tracewell.llm.components import connected
 from tracewell.llm.word_hash import hashes_of, mix, word_hashes
 
@@ -278,6 +278,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     that share a doc_id are one node of the graph. A null doc_id takes part as the last document;
     ids that lead only to it are null.
     """
+    small_batches(docs.sparkSession)
     wide = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text"))
     schema = "doc long, text_key long, set_a long, set_b long, size long, paths array<bigint>, sketch binary"
     known = stage(wide.mapInArrow(_describe, schema), "sets")
