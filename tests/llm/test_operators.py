@@ -428,6 +428,20 @@ def test_stage_and_query_keep_copies(spark, tmp_path):
     assert all(r.n_dropped == 0 for r in queries.op7_line_dedup(spark, str(tmp_path)).collect())
 
 
+def test_pages_awkward(spark, tmp_path):
+    """Null pages and urls, unclosed tags, a page of a long comment, columns of clashing names, a host of three pages."""
+    rows = [(i, "http://a.test/x", f"<p>banner</p><p>body {i}</p>", "own", [1]) for i in range(3)]
+    rows += [(10, None, "<p>banner</p>", None, None), (11, "http://a.test/y", None, None, None), (12, "http://b.test", "<script>never closed <p>banner</p>", None, None)]
+    rows += [(13, "http://b.test", "<!-- " + "x y " * 50_000 + "<p>last", None, None), (14, "http://b.test", "", None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, lines array<int>")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.host, r.n_lines, r.n_dropped) for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
+    # The page without html is a distinct page of the host: the banner is on 3 of its 4.
+    assert got == {**{i: ("a.test", 2, 0) for i in range(3)}, 10: (None, 1, 0), 11: ("a.test", 0, 0), 12: ("b.test", 2, 0), 13: ("b.test", 2, 0), 14: ("b.test", 0, 0)}
+    pages.where("page_id < 3").write.parquet(f"{tmp_path}/three/pages.parquet")
+    assert all(r.n_dropped == 1 for r in queries.op7_line_dedup(spark, f"{tmp_path}/three").collect())
+
+
 def test_small_and_null_sources(spark):
     """The stage drops a banner of 19 documents and of two, and those of documents without a source; a line of few stays."""
     import corpus_pipeline

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from tracewell.llm.common import stage
 
-#: A line is boilerplate if it is on more than this share of its host's pages ...
+#: A line is boilerplate if it is on more than this share of its host's pages.
 RATIO = 0.05
-#: ... and the host has this many pages, so that the share means something.
+#: Below so many pages the share means less: with `small` a higher one is asked for, which rises smoothly, else such hosts keep all.
 MIN_PAGES = 20
 #: Tags that end a line of a web page.
 BREAKS = r"(?i)\n|</?(?:p|div|li|ul|ol|h[1-6]|br|tr|table|td|th|article|section|nav|header|footer|aside|title|head|body|pre|blockquote|figure|form|main)\b[^>]*>"

@@ -47,9 +47,11 @@ OP7 = f"""
 WITH p AS (SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host,
   list_filter(list_transform(string_split_regex(regexp_replace(coalesce(html, ''), '{line_dedup.HIDDEN}', '', 'g'), '{line_dedup.BREAKS}'),
     lambda x: trim(regexp_replace(x, '<[^>]*>', '', 'g'))), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM pages),
-totals AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
-counts AS (SELECT host, line, count(DISTINCT page_id) AS n FROM (SELECT host, page_id, unnest(lines) AS line FROM p WHERE host IS NOT NULL) GROUP BY host, line),
-common AS (SELECT host, list(line) AS gone FROM counts JOIN totals USING (host) WHERE n > 1 AND pages >= {line_dedup.MIN_PAGES} AND n > {line_dedup.RATIO} * pages GROUP BY host),
+once AS (SELECT host, lines, row_number() OVER () AS k FROM (SELECT DISTINCT host, lines FROM p WHERE host IS NOT NULL)),
+totals AS (SELECT host, count(*) AS pages FROM once GROUP BY host),
+counts AS (SELECT host, line, count(DISTINCT k) AS n FROM (SELECT host, k, unnest(lines) AS line FROM once) GROUP BY host, line),
+common AS (SELECT host, list(line) AS gone FROM counts JOIN totals USING (host)
+  WHERE n > CASE WHEN pages < {line_dedup.MIN_PAGES} THEN least({line_dedup.RATIO * line_dedup.MIN_PAGES**2} / pages, pages - 1) ELSE {line_dedup.RATIO} * pages END AND n > 1 GROUP BY host),
 kept AS (SELECT page_id, p.host, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(gone, []), x)) AS k FROM p LEFT JOIN common USING (host))
 SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(k))::BIGINT AS n_dropped, sha256(coalesce(array_to_string(k, chr(10)), '')) AS kept_sha256 FROM kept
 """

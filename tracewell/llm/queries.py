@@ -49,7 +49,7 @@ def op6_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     lined = pages.select("page_id", line_dedup.url_host(F.col("url")).alias("host"), line_dedup.html_lines(F.col("html")).alias("lines"))
-    done = line_dedup.line_dedup(lined, once=True)
+    done = line_dedup.line_dedup(lined, once=True, small=True)
     return done.select("page_id", "host", F.size("lines").cast("bigint").alias("n_lines"), "n_dropped", F.sha2(F.array_join("kept_lines", "\n"), 256).alias("kept_sha256"))
 
 
