@@ -584,6 +584,50 @@ def test_copies_that_follow_one_another(spark, name, apart):
     assert got == [(1 + i * (n + apart), i * (n + apart) + n, 1.0) for i in range(copies)]
 
 
+def scanned(text, templates=license_scan.TEMPLATES):
+    known = license_scan.index(templates)
+    words = license_scan.WORD.findall(text)
+    return license_scan.scan_text(known, text, np.array([known.cased(x) for x in words], np.int64), license_scan.COVERAGE)
+
+
+@pytest.mark.parametrize("name", license_scan.TEMPLATES)
+def test_template_finds_itself_only(name):
+    """A license whose text is most of another's is named alone."""
+    assert [(m[0], m[1]) for m in scanned(f"some words {license_scan.TEMPLATES[name]} and others")] == [(name, 1.0)]
+
+
+def common(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        old, row = row, [0]
+        for j, y in enumerate(b):
+            row.append(old[j] + 1 if x == y else max(old[j + 1], row[-1]))
+    return row[-1]
+
+
+def test_alignment_by_brute_force():
+    """Edited copies of templates among noise: each is found, and what a match reports is the longest common subsequence of its span."""
+    rng = np.random.default_rng(7)
+    templates = {f"t{i}": " ".join(f"w{x}" for x in rng.integers(0, 60, n)) for i, n in enumerate((12, 30, 60, 100))}
+    for _ in range(40):
+        planted, text = [], []
+        for name in rng.choice(list(templates), 3):
+            text += [f"n{x}" for x in rng.integers(0, 50, rng.integers(0, 30))]
+            words = templates[name].split()
+            for at in sorted(rng.choice(len(words), len(words) // 12, replace=False), reverse=True):  # left out, put in or replaced
+                words[at : at + 1] = [[], [words[at], "in"], ["other"]][rng.integers(0, 3)]
+            planted.append((name, len(text), len(text) + len(words) - 1))
+            text += words
+        got = scanned(" ".join(text), templates)
+        for name, a, b in planted:
+            assert any(m[0] == name and m[2] <= b and m[3] >= a for m in got), (name, a, b, got)
+        for name, share, a, b, *_ in got:
+            own = templates[name].split()
+            assert round(share * len(own)) == common(own, text[a : b + 1])
+        assert all(x[3] < y[2] for x, y in zip(got, got[1:], strict=False))
+
+
 def test_thousands_of_copies(spark):
     docs = spark.createDataFrame([(1, "Released under the MIT License. " * 3000)], "doc_id long, text string")
     assert license_scan.scan(docs).where("license = 'MIT'").count() == 3000
