@@ -51,13 +51,13 @@ def file_hashes(spark, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
-def hash_mismatch(spark, path: str, sha256: str) -> DataFrame:
-    return file_hashes(spark, path).where(F.col("sha256") != sha256)
-
-
 def size_violations(spark, path: str, most: int) -> DataFrame:
-    """Files that are empty or larger than `most` bytes; the contents aren't read."""
-    return spark.read.format("binaryFile").load(path).select("path", "length").where((F.col("length") == 0) | (F.col("length") > most))
+    """Files that are empty or larger than `most` bytes; the contents aren't read. A scan leaves empty files out, a listing doesn't."""
+    found = spark.read.format("binaryFile").load(path).select("path", "length")
+    plain = lambda c: F.regexp_replace(c, r"^([\w.-]+):/+", "$1:/")
+    listed = spark.createDataFrame([(f,) for f in found.inputFiles()], "path string")  # a feed is a few files
+    sized = listed.select(plain("path").alias("path")).join(found.select(plain("path").alias("path"), "length"), "path", "left")
+    return sized.select("path", F.coalesce("length", F.lit(0)).alias("length")).where((F.col("length") == 0) | (F.col("length") > most))
 
 
 def count_mismatch(counts: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.text import not_empty
@@ -27,13 +27,20 @@ def hash_match(events: DataFrame, indicators: DataFrame, column: str, hash_colum
     return join_keep_left(seen, keyed, "_seen", "_hash").drop("_seen")
 
 
-def match_either(events: DataFrame, indicators: DataFrame, columns: dict[str, str], split_multi: bool = False) -> DataFrame:
-    """Distinct matches by any of the hashes in columns (event's column: indicator's): a union of equi-joins, since an OR makes a nested loop."""
-    matches = [hash_match(events, indicators, a, b, split_multi) for a, b in columns.items()]
-    out = matches[0]
-    for m in matches[1:]:
-        out = out.unionByName(m)
-    return out.distinct()
+def match_either(events: DataFrame, indicators: DataFrame, columns: dict[str, str], split_multi: bool = False, ids: list[str] | None = None) -> DataFrame:
+    """Distinct matches by any of the hashes in columns (event's column: indicator's): both sides give their hashes with the column's place, for one equi-join, since an OR makes a nested loop.
+
+    ids: columns that tell matches apart, of events and indicators; without them whole rows do.
+    """
+
+    def hashes(names: list[str], split: bool):
+        each = [F.transform(F.split(F.lower(F.col(c)), ";") if split else F.array(F.lower(F.col(c))), lambda h, i=i: F.struct(F.lit(i).alias("kind"), h.alias("hash"))) for i, c in enumerate(names)]
+        return F.explode(F.array_distinct(F.filter(F.flatten(F.array_compact(F.array(*each))), lambda x: not_empty(x.hash))))
+
+    seen = events.withColumn("_seen", hashes(list(columns), False))
+    keyed = indicators.withColumn("_hash", hashes(list(columns.values()), split_multi))
+    matches = join_keep_left(seen, keyed, "_seen", "_hash").drop("_seen")
+    return matches.dropDuplicates(ids) if ids else matches.distinct()
 
 
 def suffix_pairs(hosts: DataFrame, domains: DataFrame, host: str = "host", domain: str = "domain") -> DataFrame:
@@ -75,10 +82,3 @@ def latest_row(df: DataFrame, keys: list[str], ts: str, tiebreak: str) -> DataFr
     best = F.max(F.struct(F.col(ts).alias("_ts"), F.col(tiebreak).alias("_tie"), *(F.col(c) for c in rest))).alias("_best")
     grouped = df.groupBy(*keys).agg(F.min(ts).alias("first_seen"), F.count(F.lit(1)).alias("event_count"), best)
     return grouped.select(*keys, *(F.col(f"_best.{c}").alias(c) for c in rest), "first_seen", F.col("_best._ts").alias("last_seen"), "event_count")
-
-
-def latest_row_by_window(df: DataFrame, keys: list[str], ts: str, tiebreak: str) -> DataFrame:
-    """As latest_row(), by a ranked window; the slow arm of the benchmark."""
-    w = Window.partitionBy(*keys)
-    ranked = df.withColumns({"first_seen": F.min(ts).over(w), "event_count": F.count(F.lit(1)).over(w), "_n": F.row_number().over(w.orderBy(F.desc(ts), F.desc(tiebreak)))})
-    return ranked.where("_n = 1").withColumn("last_seen", F.col(ts)).drop("_n")

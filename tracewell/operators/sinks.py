@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,8 +27,27 @@ def manifest_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def write_manifest(counts: DataFrame, hashes: DataFrame, path: str) -> None:
-    """One JSON object of counts (name, n) and hashes (name, sha256)."""
-    entries = counts.select("name", F.col("n").cast("string").alias("value")).unionByName(hashes.select("name", F.col("sha256").alias("value")))
-    merged = entries.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value")))).alias("m"))
-    merged.select(F.to_json("m").alias("value")).coalesce(1).write.text(path)
+def write_manifest(counts: dict[str, int], hashes: DataFrame, sources: dict[str, str], path: str) -> None:
+    """One JSON object of source locations, file hashes (name, sha256) and integer counts, keys in order."""
+    names = [r.name for r in hashes.select("name").collect()]  # a few files
+    found = {n: F.max(F.when(F.col("name") == n, F.col("sha256"))) for n in names}
+    values = {**found, **{k: F.first(F.lit(v)) for k, v in sources.items()}, **{k: F.first(F.lit(v).cast("bigint")) for k, v in counts.items()}}
+    row = hashes.agg(*(values[k].alias(k) for k in sorted(values)))
+    row.select(F.to_json(F.struct(*sorted(values))).alias("value")).coalesce(1).write.text(path)
+
+
+def current(spark: SparkSession, path: str) -> Row | None:
+    """(seq, version, n) that was published last under path; None if nothing was."""
+    try:
+        found = spark.read.json(f"{path}/_pointers", schema="version string, n long, seq long")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return found.orderBy(F.desc("seq")).first()
+
+
+def publish(spark: SparkSession, path: str, version: str, n: int, before: Row | None) -> None:
+    """Makes version the current one of path: a pointer whose place is its number, so that it can't be written twice."""
+    seq = (before.seq if before else 0) + 1
+    spark.createDataFrame([(version, n)], "version string, n long").coalesce(1).write.mode("error").json(f"{path}/_pointers/seq={seq}")

@@ -12,13 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.functions.text import blank
-from tracewell.operators import checks
-
-
-def normalised(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """The fields as text, null as ''."""
-    return df.select(*(blank(F.col(f)).alias(f) for f in fields))
+from tracewell.operators import checks, sinks
 
 
 def plan_changes(desired: DataFrame, current: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -59,15 +53,41 @@ def tenant_report(plan: DataFrame, groups: list[str], limit: float = 0.25, overr
 
 
 def sync_tenants(desired: DataFrame, current: DataFrame, groups: list[str], keys: tuple[str, ...], limit: float = 0.25, override: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(next version, report): groups that pass the guard get their desired rows, the others keep what they have."""
-    plan = plan_changes(desired, current, tuple(keys))
+    """(next version, report): groups with filled, unique keys that pass the guard get their desired rows, the others keep what they have.
+
+    keys begin with the groups. Status: ok, guarded, or bad keys, whose changes aren't counted.
+    """
+    bad = checks.key_violations(desired, tuple(keys)).select(*groups).distinct()
+    plan = plan_changes(desired.join(bad, groups, "left_anti"), current.join(bad, groups, "left_anti"), tuple(keys))
     report = tenant_report(plan, groups, limit, override)
+    n = lambda df, name: df.join(bad, groups, "left_semi").groupBy(*groups).agg(F.count(F.lit(1)).alias(name))
+    zero = F.lit(0).cast("bigint")
+    flawed = n(desired, "n_desired").join(n(current, "n_current"), groups, "left").select(*groups, zero.alias("n_upsert"), zero.alias("n_stale"), F.coalesce("n_current", zero).alias("n_current"), "n_desired", F.lit("bad keys").alias("status"))
+    report = report.unionByName(flawed)
     passed = report.where("status = 'ok'").select(*groups)
     new = apply_changes(plan, tuple(keys)).join(passed, groups, "left_semi")
     kept = current.join(passed, groups, "left_anti")
     return new.unionByName(kept.select(*new.columns)), report
 
 
+def sync_all(desired: DataFrame, path: str, groups: list[str], keys: tuple[str, ...], limit: float = 0.25, override: bool = False, max_records: int = 0, dry_run: bool = False) -> DataFrame:
+    """Brings the table at path, which holds the rows of all groups, to the desired rows; returns the report, in the order of the groups.
+
+    A group with bad keys or too many deletes keeps its rows and gets a status, a group of which nothing
+    is desired keeps its rows; the others are
+    written together as the next version, verified and published. max_records: rows of a file at most.
+    """
+    current = read_version(desired.sparkSession, path, desired.schema)
+    checks.no_other_columns(current.columns, tuple(desired.columns))
+    named = desired.select(*groups).distinct()
+    version, report = sync_tenants(desired, current.join(named, groups, "left_semi"), groups, keys, limit, override)
+    version = version.unionByName(current.join(named, groups, "left_anti"))
+    told = desired.sparkSession.createDataFrame(report.orderBy(*groups).collect(), report.schema)  # one row a group
+    if not dry_run:
+        write_version(version.select(*desired.columns), path, keys, max_records)
+    return told.orderBy(*groups)
+
+
 def select_targets(targets: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Enabled targets (tenant, enabled), of these names if given; fails on names that aren't there."""
     enabled = targets.where("enabled")
@@ -80,7 +100,7 @@ def select_targets(targets: DataFrame, names: list[str] | None = None) -> DataFr
 
 def read_version(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """The current version of a table, checked to be complete; an empty table of the schema if there is none yet."""
-    pointer = _pointer(spark, path)
+    pointer = sinks.current(spark, path)
     if pointer is None:
         return spark.createDataFrame([], schema)
     df = spark.read.parquet(f"{path}/{pointer.version}")
@@ -88,31 +108,24 @@ def read_version(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return df
 
 
-def _pointer(spark: SparkSession, path: str):
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_pointers")
-    if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
-        return None
-    return spark.read.json(f"{path}/_pointers", schema="seq long, version string, n long").orderBy(F.desc("seq")).first()
-
-
 def write_version(df: DataFrame, path: str, keys: tuple[str, ...], max_records: int = 0) -> int:
-    """Writes df as the next version of the table at path, verifies it, then appends a pointer to it; rows written.
+    """Writes df as the next version of the table at path, verifies it, then publishes it; rows written.
 
-    A reader takes the version of the last pointer, so an interrupted write changes nothing.
+    An interrupted write changes nothing. Of two writers that read the same version, the later one fails.
     """
     spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
     writer = df.write.option("maxRecordsPerFile", max_records) if max_records else df.write
-    before = _pointer(spark, path)
+    before = sinks.current(spark, path)
     writer.parquet(f"{path}/{version}")
     written = spark.read.parquet(f"{path}/{version}")
     checks.enforce("the written table is the wanted one", verify_diff(written, df, keys).where("missing + extra + changed > 0"))
     n = written.count()
-    spark.createDataFrame([((before.seq if before else 0) + 1, version, n)], "seq long, version string, n long").coalesce(1).write.mode("append").json(f"{path}/_pointers")
+    sinks.publish(spark, path, version, n, before)
     return n
 
 
-def sync_table(desired: DataFrame, path: str, keys: tuple[str, ...], limit: float = 0.25, override: bool = False, dry_run: bool = False) -> DataFrame:
-    """Brings the table at path to the desired rows; returns the plan. dry_run: plan and guard only.
+def sync_table(desired: DataFrame, path: str, keys: tuple[str, ...], limit: float = 0.25, override: bool = False, dry_run: bool = False, max_records: int = 0) -> DataFrame:
+    """Brings the table at path to the desired rows; returns the plan, in the order of the keys. dry_run: plan and guard only.
 
     Fails, with nothing changed, on bad keys or if it would delete more than `limit` of the rows.
     """
@@ -123,5 +136,5 @@ def sync_table(desired: DataFrame, path: str, keys: tuple[str, ...], limit: floa
     plan = plan_changes(desired, current, keys)
     checks.enforce("deletes are within the limit", checks.delete_guard(change_counts(plan), limit, override))
     if not dry_run:
-        write_version(apply_changes(plan, keys).select(*desired.columns), path, keys)
-    return plan
+        write_version(apply_changes(plan, keys).select(*desired.columns), path, keys, max_records)
+    return plan.orderBy(*keys)

@@ -159,12 +159,12 @@ def value_sets(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 , matches AS (SELECT DISTINCT * FROM (
-  SELECT l.*, d.driver_name, d.category FROM loads l JOIN drivers d ON l.sha256 = d.sha256 WHERE ts > (SELECT t FROM as_of) - INTERVAL 4 HOUR AND action = 'error'
-  UNION ALL SELECT l.*, d.driver_name, d.category FROM loads l JOIN drivers d ON l.sha1 = d.sha1 WHERE ts > (SELECT t FROM as_of) - INTERVAL 4 HOUR AND action = 'error'))
+  SELECT l.*, d.driver_name, d.category FROM loads l JOIN drivers d ON l.sha256 = d.sha256 WHERE ts > (SELECT t FROM as_of) - INTERVAL 7 DAY AND action = 'error'
+  UNION ALL SELECT l.*, d.driver_name, d.category FROM loads l JOIN drivers d ON l.sha1 = d.sha1 WHERE ts > (SELECT t FROM as_of) - INTERVAL 7 DAY AND action = 'error'))
 SELECT device_id, file_name, sha1, sha256, arg_max(report_id, ts) AS report_id, arg_max(driver_name, ts) AS driver_name, arg_max(category, ts) AS category, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS event_count
 FROM matches GROUP BY device_id, file_name, sha1, sha256""")
 def detect_driver_loads(spark: SparkSession, d: str) -> DataFrame:
-    found = detections.detect_driver_loads(views.loads(spark, d), views.drivers(spark, d).drop("md5"), views.as_of(spark, d), action="error")
+    found = detections.detect_driver_loads(views.loads(spark, d), views.drivers(spark, d).drop("md5"), views.as_of(spark, d), "7 DAYS", action="error")
     return found.select("device_id", "file_name", "sha1", "sha256", "report_id", "driver_name", "category", "first_seen", "last_seen", "event_count").orderBy(F.desc("last_seen"))
 
 
@@ -185,12 +185,13 @@ def detect_module_loads(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-, grouped AS (SELECT device_id, host, process, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS event_count, string_agg(DISTINCT "user", ';' ORDER BY "user") AS users, string_agg(DISTINCT action, ';' ORDER BY action) AS actions, string_agg(DISTINCT path, ';' ORDER BY path) AS paths
+, grouped AS (SELECT device_id, host, process, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS event_count, string_agg(DISTINCT "user", ';' ORDER BY "user") AS users, string_agg(DISTINCT action, ';' ORDER BY action) AS actions, string_agg(DISTINCT path, ';' ORDER BY path) AS paths,
+  string_agg(DISTINCT sub_type, ';' ORDER BY sub_type) AS sub_types, string_agg(DISTINCT command, ';' ORDER BY command) AS commands
   FROM connections WHERE ts > (SELECT t FROM as_of) - INTERVAL 7 DAY AND host IS NOT NULL GROUP BY device_id, host, process)
 SELECT g.*, s.domain, s.rmm_tools, s.patterns FROM grouped g JOIN domain_sets s ON g.host = s.domain OR contains(g.host, '.' || s.domain)""")
 def report_rmm_contains(spark: SparkSession, d: str) -> DataFrame:
     found = detections.report_rmm_contains(views.connections(spark, d), views.domains(spark, d), views.as_of(spark, d))
-    return found.select("device_id", "host", "process", "first_seen", "last_seen", "event_count", "domain", *_joined("users", "actions", "paths", "rmm_tools", "patterns"))
+    return found.select("device_id", "host", "process", "first_seen", "last_seen", "event_count", "domain", *_joined("users", "actions", "sub_types", "paths", "commands", "rmm_tools", "patterns"))
 
 
 KEYS = ("tenant", "c_custkey")
@@ -237,6 +238,20 @@ def sync_tenants(spark: SparkSession, d: str) -> DataFrame:
     return sync.sync_tenants(views.desired_customers(spark, d), views.current_customers(spark, d), ["tenant"], KEYS, 0.15)[0]
 
 
+@query("""
+, flawed AS (SELECT * FROM desired UNION ALL SELECT * FROM desired WHERE tenant = 3 AND c_custkey % 2 = 0
+  UNION ALL SELECT tenant, NULL, c_name, segment FROM desired WHERE tenant = 5 AND c_custkey % 3 = 0),
+bad AS (SELECT DISTINCT tenant FROM (SELECT tenant, c_custkey FROM flawed GROUP BY ALL HAVING count(*) > 1 OR c_custkey IS NULL)),
+counts AS (SELECT tenant, count(*) FILTER (op IN ('insert', 'update')) AS n_upsert, count(*) FILTER (op = 'stale') AS n_stale,
+  count(*) FILTER (op <> 'insert') AS n_current, count(*) FILTER (op <> 'stale') AS n_desired FROM plan GROUP BY tenant)
+SELECT tenant, CASE WHEN b.tenant IS NULL THEN n_upsert ELSE 0 END AS n_upsert, CASE WHEN b.tenant IS NULL THEN n_stale ELSE 0 END AS n_stale, n_current,
+  CASE WHEN b.tenant IS NULL THEN n_desired ELSE (SELECT count(*) FROM flawed f WHERE f.tenant = c.tenant) END AS n_desired,
+  CASE WHEN b.tenant IS NOT NULL THEN 'bad keys' WHEN n_stale > 0 AND n_current > 0 AND n_stale::DOUBLE / n_current > 0.15 THEN 'guarded' ELSE 'ok' END AS status
+FROM counts c LEFT JOIN bad b USING (tenant)""")
+def sync_report(spark: SparkSession, d: str) -> DataFrame:
+    return sync.sync_tenants(views.flawed_customers(spark, d), views.current_customers(spark, d), ["tenant"], KEYS, 0.15)[1]
+
+
 @query("SELECT c_nationkey AS tenant, c_mktsegment AS segment, count(*) AS n, 'duplicate key' AS violation FROM customer GROUP BY ALL HAVING count(*) > 1")
 def key_violations(spark: SparkSession, d: str) -> DataFrame:
     rows = views.table(spark, d, "customer").select(F.col("c_nationkey").alias("tenant"), F.col("c_mktsegment").alias("segment"))

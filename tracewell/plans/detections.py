@@ -49,11 +49,11 @@ def detect_module_loads(events: DataFrame, drivers: DataFrame, as_of: Column, in
 
 
 def report_rmm_contains(connections: DataFrame, domains: DataFrame, as_of: Column, interval: str = "7 DAYS", allowlist: DataFrame | None = None) -> DataFrame:
-    """Connections summarised per device, host and process, for hosts that are or contain a known domain, with its tools and patterns."""
+    """Connections summarised per device, host and process, for hosts that are or contain a known domain, with its tools and patterns and five sets of values."""
     recent = lookback(connections, "ts", as_of, interval).where(F.col("host").isNotNull()).withColumn("host", F.lower("host"))
     if allowlist is not None:
         recent = not_allowed(recent, allowlist)
-    sets = [value_set(F.col(c)).alias(f"{c}s") for c in ("user", "action", "path")]
+    sets = [value_set(F.col(c)).alias(f"{c}s") for c in ("user", "action", "sub_type", "path", "command")]
     hosts = recent.groupBy("device_id", "host", "process").agg(F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("event_count"), *sets)
     known = domain_sets(domains)
     return hosts.join(contains_pairs(hosts, known), "host").join(known, "domain")

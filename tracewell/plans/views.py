@@ -48,7 +48,7 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("page_id", F.col("event_id") % _count(table(spark, sf_dir, "pages")))
     joined = events.join(pages, "page_id")
     path = F.concat(F.lit("/bin/"), F.col("event_type"))
-    return joined.select("ts", F.col("event_id").alias("report_id"), F.col("user_id").alias("device_id"), F.col("event_type").alias("action"), "host", F.concat(F.lit("p"), (F.col("user_id") % 3).cast("string")).alias("process"), F.concat(F.lit("u"), (F.col("event_id") % 4).cast("string")).alias("user"), path.alias("path"))
+    return joined.select("ts", F.col("event_id").alias("report_id"), F.col("user_id").alias("device_id"), F.col("event_type").alias("action"), "host", F.concat(F.lit("p"), (F.col("user_id") % 3).cast("string")).alias("process"), F.concat(F.lit("u"), (F.col("event_id") % 4).cast("string")).alias("user"), path.alias("path"), F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string")).alias("sub_type"), F.concat(path, F.lit(" -"), (F.col("user_id") % 2).cast("string")).alias("command"))
 
 
 def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,12 @@ def current_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").where("c_custkey % 11 <> 0").select(F.col("c_nationkey").alias("tenant"), "c_custkey", "c_name", F.col("c_mktsegment").alias("segment"))
 
 
+def flawed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """desired_customers with rows twice in tenant 3 and rows without a key in tenant 5."""
+    good = desired_customers(spark, sf_dir)
+    return good.unionByName(good.where("tenant = 3 AND c_custkey % 2 = 0")).unionByName(good.where("tenant = 5 AND c_custkey % 3 = 0").withColumn("c_custkey", F.lit(None).cast(good.schema["c_custkey"].dataType)))
+
+
 #: The same views in DuckDB SQL.
 SQL = r"""
 as_of AS (SELECT max(ts) AS t FROM events),
@@ -91,7 +97,8 @@ samples AS (SELECT sha256(text) AS sha256, sha1(text) AS sha1, md5(text) AS md5,
 drivers AS (SELECT sha256, string_agg(DISTINCT sha1, ';' ORDER BY sha1) AS sha1, string_agg(DISTINCT md5, ';' ORDER BY md5) AS md5,
   string_agg(DISTINCT driver_name, ';' ORDER BY driver_name) AS driver_name, string_agg(DISTINCT category, ';' ORDER BY category) AS category FROM samples GROUP BY sha256),
 hosts AS (SELECT page_id, url, nullif(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)', 1)), '') AS host FROM pages),
-connections AS (SELECT e.ts, e.event_id AS report_id, e.user_id AS device_id, e.event_type AS action, h.host, 'p' || (e.user_id % 3) AS process, 'u' || (e.event_id % 4) AS "user", '/bin/' || e.event_type AS path
+connections AS (SELECT e.ts, e.event_id AS report_id, e.user_id AS device_id, e.event_type AS action, h.host, 'p' || (e.user_id % 3) AS process, 'u' || (e.event_id % 4) AS "user", '/bin/' || e.event_type AS path,
+  's' || (e.event_id % 3) AS sub_type, '/bin/' || e.event_type || ' -' || (e.user_id % 2) AS command
   FROM events e JOIN hosts h ON h.page_id = e.event_id % (SELECT count(*) FROM pages)),
 bare AS (SELECT DISTINCT regexp_replace(host, '^(www|m|blog)\.', '') AS domain FROM hosts WHERE host IS NOT NULL),
 all_domains AS (SELECT domain FROM bare UNION SELECT regexp_extract(domain, '([^.]+\.[^.]+)$', 1) FROM bare WHERE length(domain) % 3 = 0),
