@@ -1,7 +1,7 @@
 """Cross-entropy difference of two matched n-gram models.
 
 A target model (documents marked as good) and a background model (all documents) have the same
-order, smoothing and vocabulary: lower-cased words and word pairs by their 64-bit hashes. Both are
+order, smoothing and vocabulary: words (ASCII capitals as small letters) and pairs by 64-bit hashes. Both are
 counted over every document; a document's score is the mean over its tokens of (target loss -
 background loss), with the document's own counts taken out of both models, so that documents the
 models have seen are not favoured. Lower is closer to the target.
