@@ -124,9 +124,42 @@ def test_passages(docs, rows):
     assert sorted(got) == sorted((i, n, n - len(kept), " ".join(kept)) for (i, _), (n, kept) in wanted.items())
 
 
-@pytest.mark.parametrize("group", [1, 4096])
+@pytest.mark.parametrize("group", [1, 3])
+def test_passages_by_longer_prefixes(docs, rows, monkeypatch, group):
+    """1: all that repeats is extended to whole windows; 3: groups of all lengths."""
+    monkeypatch.setattr(substring_dedup, "GROUP", group)
+    wanted = brute.passages(rows)
+    got = removed(substring_dedup.remove_repeats(docs))
+    assert sorted(got) == sorted((i, n, n - len(kept), " ".join(kept)) for (i, _), (n, kept) in wanted.items())
+
+
+def test_longer_prefixes_lie_in_their_windows():
+    before = np.arange(substring_dedup.REST + 1)
+    for length in range(substring_dedup.PREFIX, substring_dedup.WINDOW + 1):
+        left = substring_dedup.to_left(before, length)
+        assert (left >= 0).all() and (left <= before).all() and (left <= length - substring_dedup.PREFIX).all()
+        assert (length - left <= substring_dedup.WINDOW - before).all()
+    assert (substring_dedup.to_left(before, substring_dedup.WINDOW) == before).all()
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 50])
+def test_own_repeats(letters):
+    rng = np.random.default_rng(letters)
+    words = np.tile(rng.integers(1, letters + 1, 150), 2)
+    words = np.concatenate([words, rng.integers(1, letters + 1, 100)]).astype(np.uint64)
+    seen, wanted = set(), []
+    for i in range(len(words) - substring_dedup.WINDOW + 1):
+        window = tuple(words[i : i + substring_dedup.WINDOW])
+        if window in seen:
+            wanted.append(i)
+        seen.add(window)
+    assert substring_dedup.own_repeats(words).tolist() == wanted
+    assert len(substring_dedup.own_repeats(words[:19])) == len(substring_dedup.own_repeats(words[:0])) == 0
+
+
+@pytest.mark.parametrize("group", [1, 3, 4096])
 def test_passages_awkward(odd, none, monkeypatch, group):
-    monkeypatch.setattr(substring_dedup, "GROUP", group)  # 1: every prefix is extended to whole windows
+    monkeypatch.setattr(substring_dedup, "GROUP", group)
     rows = [(r[0], r[1]) for r in brute.AWKWARD]
     wanted = brute.passages(rows)
     out = substring_dedup.remove_repeats(odd)

@@ -8,14 +8,16 @@ elected places are kept: a sparse suffix tree that still holds every window.
    those that occur once, or in copies of one text only, can't be in a repeat between texts: most
    suffixes end here, at some bytes each.
 2. The others are dealt out by prefix. Prefixes of up to GROUP suffixes go to a task as they are;
-   a more frequent prefix is extended to whole windows, whose first places are found by a
-   minimum that is combined before the shuffle, so no prefix is too frequent for a task.
+   more frequent ones are extended to each of LONGER words until a group fits, to the left where a
+   window ends with its prefix. A prefix that is too frequent even as a whole window is a leaf of
+   the tree: its windows are equal, and their first place is a minimum, combined before the shuffle.
 3. A task sorts its suffixes by the words after the prefix; the words that neighbours share (LCP)
    make the suffix tree, and its nodes at each depth are runs of the sorted order. The same is
    done to the left. Two nodes that together span WINDOW words are a repeat, of which
    every place but the first is reported; together these give the maximal repeats.
+4. A text's own repeats are the inner nodes of its own suffix tree, grown from 6 to 12 and 20 words.
 
-Words and texts are compared by 64-bit hashes, whole windows by 128 bits where a prefix is extended.
+Words and prefixes are compared by 64-bit hashes; texts, and windows that are leaves, by 128 bits.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ from tracewell.llm.word_hash import hashes_of, mix, word_hashes
 WINDOW, PREFIX = 20, 6
 #: Words beside the prefix that a window may have on either side.
 REST = WINDOW - PREFIX
-#: Suffixes of one prefix that a task takes; more are extended to whole windows.
-GROUP = 4096
+#: Suffixes of one prefix that a task takes; a prefix of more is extended to each of LONGER words in turn, then to whole windows.
+GROUP, LONGER = 4096, (10, 15)
 #: Suffixes that a task sorts at once.
 SORTED = 100_000
 #: Compressed bytes of text that a task works on at once.
@@ -82,10 +84,6 @@ def elected(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, prefixes[at], np.bitwise_or.reduceat(np.int64(1) << (place - start), first)
 
 
-def _words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split() if text else []
-
-
 def _suffixes(docs: DataFrame, text: str) -> DataFrame:
     """(prefix, key, span) of every elected suffix; key names the text, span packs its place and its windows."""
 
@@ -95,12 +93,12 @@ def _suffixes(docs: DataFrame, text: str) -> DataFrame:
                 hashes, ends = word_hashes(part.column("__tw_text"))
                 at, prefix, windows = elected(hashes, ends)
                 doc = np.searchsorted(ends, at, "right")
-                keys = part.column("__tw_key").to_numpy()[doc]
+                keys = part.column("__tw_key").take(pa.array(doc))
                 span = ((at - np.concatenate([[0], ends])[doc]) << 16) | windows
-                yield pa.RecordBatch.from_arrays([pa.array(prefix.view(np.int64)), pa.array(keys), pa.array(span)], names=["prefix", "key", "span"])
+                yield pa.RecordBatch.from_arrays([pa.array(prefix.view(np.int64)), keys, pa.array(span)], names=["prefix", "key", "span"])
 
     rows = docs.select(F.col("__tw_key"), F.col(text).alias("__tw_text"))
-    return rows.mapInArrow(run, "prefix long, key long, span long")
+    return rows.mapInArrow(run, "prefix long, key binary, span long")
 
 
 def _packed(docs: DataFrame, text: str) -> DataFrame:
@@ -135,7 +133,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 around = np.concatenate([padded[some + np.arange(PREFIX, WINDOW)], padded[some - 1 - np.arange(REST)]], axis=1)
                 n = len(some)
                 data = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1, dtype=np.int32) * 16 * REST).tobytes()), pa.py_buffer(around.tobytes())])
-                key, doc = (pa.array(np.full(n, batch.column(c)[i].as_py(), np.int64)) for c in ("key", "doc"))
+                key, doc = (pa.repeat(batch.column(c)[i], n) for c in ("key", "doc"))
                 yield pa.RecordBatch.from_arrays([pa.array(prefixes[a : a + n]), key, doc, pa.array(spans[a : a + n]), data], names=["prefix", "key", "doc", "span", "around"])
 
 
@@ -180,11 +178,12 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.Table] = []
 
     def done(table: pa.Table) -> pa.RecordBatch:
-        prefix, key, doc, span = (table.column(c).to_numpy() for c in ("prefix", "key", "doc", "span"))
+        prefix, doc, span = (table.column(c).to_numpy() for c in ("prefix", "doc", "span"))
         around = np.frombuffer(b"".join(table.column("around").to_pylist()), np.uint64).reshape(-1, 2 * REST)
         mask = repeats(prefix, doc, span, around)
-        hit = mask > 0
-        return pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (key, span >> 16, mask)], names=["key", "place", "mask"])
+        hit = np.flatnonzero(mask)
+        key = table.column("key").combine_chunks().take(pa.array(hit))
+        return pa.RecordBatch.from_arrays([key, pa.array(span[hit] >> 16), pa.array(mask[hit])], names=["key", "place", "mask"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -201,28 +200,48 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(pa.concat_tables(held))
 
 
+def to_left(before: np.ndarray, length: int) -> np.ndarray:
+    """Words to the left of its prefix that an extended prefix of `length` words takes, in windows with `before` words there.
+
+    Equal for as many windows as can be: 0 where the right side has room, and all of them only in whole windows.
+    """
+    room = WINDOW - length + 1
+    return np.minimum(before // room * room, length - PREFIX)
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their suffixes of frequent prefixes in; the windows around those out: 128-bit name, document and place."""
+    """Documents with their suffixes of frequent prefixes in; the windows around those out, with each longer prefix and a 128-bit name."""
+    step = SORTED // (REST + 1)
     for batch in batches:
         for i in range(batch.num_rows):
             hashes = hashes_of(_unpack(batch.column("__tw_packed")[i].as_py()))
+            runs = [(length, rolled(hashes, length)) for length in LONGER]
+            whole = [rolled(hashes, WINDOW, which) for which in (0, 1)]
             spans = batch.column("spans")[i].values.to_numpy(zero_copy_only=False)
-            i_at, j = np.nonzero((spans[:, None] >> np.arange(REST + 1)) & 1)
-            start = (spans >> 16)[i_at] - j
-            names = [rolled(hashes, WINDOW, which)[start].view(np.int64) for which in (0, 1)]
-            key, doc = (np.full(len(start), batch.column(c)[i].as_py(), np.int64) for c in ("key", "doc"))
-            for a in range(0, len(start), SORTED):
-                b = slice(a, a + SORTED)
-                yield pa.RecordBatch.from_arrays([pa.array(x[b]) for x in (*names, key, doc, start)], names=["name", "check", "key", "doc", "place"])
+            for a in range(0, len(spans), step):
+                at, before = np.nonzero((spans[a : a + step, None] >> np.arange(REST + 1)) & 1)
+                place = (spans[a : a + step] >> 16)[at]
+                names = []
+                for length, run in runs:
+                    left = to_left(before, length)
+                    names.append(mix(run[place - left] + mix(left.astype(np.uint64) + np.uint64(1))))
+                names += [x[place - before] for x in whole]
+                key, doc = (pa.repeat(batch.column(c)[i], len(at)) for c in ("key", "doc"))
+                arrays = [*(pa.array(x.view(np.int64)) for x in names), key, doc, pa.array(place), pa.array(np.int64(1) << before)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*map(_column, LONGER), "name", "check", "key", "doc", "place", "mask"])
+
+
+def _column(length: int) -> str:
+    return f"prefix_{length}"
 
 
 def repeated_places(docs: DataFrame, firsts: DataFrame, text: str = "text") -> DataFrame:
     """(key, places: array of (place, mask)) for texts with windows that an earlier document has: bit j of a mask stands for the window j words before its place.
 
-    docs: with _key (a hash of the text) and _doc (place in the order of ids); firsts: (key, doc, n)
+    docs: with __tw_key (a hash of the text) and __tw_doc (place in the order of ids); firsts: (key, doc, n)
     of each text with its first document, the only one of its copies that is looked at.
     """
-    suffixes = _suffixes(docs, text)
+    suffixes = stage(_suffixes(docs, text), "elected")
     spot = F.xxhash64("key", "span")  # the same in copies of a text, which don't make a prefix frequent
     counts = suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("a"), F.max(spot).alias("b")).where("a <> b").select("prefix", "n")
     shared = stage(suffixes.join(stage(counts, "prefixes"), "prefix").distinct(), "suffixes")
@@ -234,20 +253,51 @@ def repeated_places(docs: DataFrame, firsts: DataFrame, text: str = "text") -> D
         rows = packed.join(own, (F.col("__tw_key") == F.col("key")) & (F.col("__tw_doc") == F.col("doc")))
         return rows.select("key", "doc", "__tw_packed", F.col("own.span").alias("spans"), F.col("own.prefix").alias("prefixes"))
 
-    contexts = of(shared.where(F.col("n") <= GROUP)).mapInArrow(_contexts, "prefix long, key long, doc long, span long, around binary")
-    grown = contexts.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_grow, "key long, place long, mask long")
-    windows = stage(of(shared.where(F.col("n") > GROUP)).mapInArrow(_windows, "name long, check long, key long, doc long, place long"), "windows")
-    first = stage(windows.groupBy("name", "check").agg(F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "check", "first"), "first-windows")
-    later = windows.join(first, ["name", "check"]).where(F.struct("doc", "place") > F.col("first")).select("key", "place", F.lit(1).cast("bigint").alias("mask"))
+    schema = "".join(f"{_column(length)} long, " for length in LONGER) + "name long, check long, key binary, doc long, place long, mask long"
+    left = stage(of(shared.where(F.col("n") > GROUP)).mapInArrow(_windows, schema), "windows")
+    grouped = shared.where(F.col("n") <= GROUP).select("prefix", "key", "span")
+    for name in map(_column, LONGER):
+        n = stage(left.groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), name)
+        left = stage(left.join(n, name), f"windows-{name}")
+        span = F.shiftleft("place", 16).bitwiseOR(F.bit_or("mask"))
+        grouped = grouped.unionByName(left.where(F.col("n") <= GROUP).groupBy(F.col(name).alias("prefix"), "key", "place").agg(span.alias("span")).drop("place"))
+        left = left.where(F.col("n") > GROUP).drop("n")
+    contexts = of(grouped).mapInArrow(_contexts, "prefix long, key binary, doc long, span long, around binary")
+    grown = contexts.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_grow, "key binary, place long, mask long")
+    # Equal windows have their prefix at the same place of theirs, so the first window is the one of the first prefix.
+    first = stage(left.groupBy("name", "check").agg(F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "check", "first"), "first-windows")
+    later = left.join(first, ["name", "check"]).where(F.struct("doc", "place") > F.col("first")).select("key", "place", "mask")
     return grown.unionByName(later).groupBy("key").agg(F.collect_set(F.struct("place", "mask")).alias("places"))
 
 
+def branching(names: np.ndarray) -> np.ndarray:
+    """A number for each name that occurs several times, -1 for the others."""
+    ordered = np.sort(names)
+    several = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(several):
+        return np.full(len(names), -1)
+    at = np.minimum(np.searchsorted(several, names), len(several) - 1)
+    return np.where(several[at] == names, at, -1)
+
+
+def deeper(node: np.ndarray, step: int) -> np.ndarray:
+    """Inner nodes of a text's suffix tree `step` words below `node`: a run repeats only if its first and its last part do."""
+    a, b = node[:-step], node[step:]
+    both = (a >= 0) & (b >= 0)
+    out = np.full(len(a), -1)
+    out[both] = branching(a[both] * (node.max(initial=0) + 1) + b[both])
+    return out
+
+
 def own_repeats(hashes: np.ndarray) -> np.ndarray:
-    """Starts of windows that also start earlier in their text."""
-    names = rolled(hashes, WINDOW)
-    later = np.ones(len(names), bool)
-    later[np.unique(names, return_index=True)[1]] = False
-    return np.flatnonzero(later)
+    """Starts of windows that also start earlier in their text: the inner nodes of its suffix tree at WINDOW words, but for their first places."""
+    if len(hashes) < WINDOW:
+        return np.zeros(0, np.int64)
+    node = deeper(deeper(branching(rolled(hashes, PREFIX)), PREFIX), WINDOW - 2 * PREFIX)
+    at = np.flatnonzero(node >= 0)
+    later = np.ones(len(at), bool)
+    later[np.unique(node[at], return_index=True)[1]] = False
+    return at[later]
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -260,7 +310,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     are replaced. Of copies of a text all but the first go as a whole, without being searched.
     """
     added = ("kept_text", "n_words", "n_removed")
-    marked = docs.drop(*added).withColumn("__tw_key", F.xxhash64(F.col(text))).withColumn("__tw_doc", F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)))
+    marked = docs.drop(*added).withColumn("__tw_key", F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))).withColumn("__tw_doc", F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)))
     firsts = stage(marked.groupBy(F.col("__tw_key").alias("key")).agg(F.min("__tw_doc").alias("doc"), F.count(F.lit(1)).alias("n")), "texts")
     places = repeated_places(marked, firsts, text)
     about = stage(firsts.where("n > 1").select("key", "doc").join(places, "key", "full").select(F.col("key").alias("__tw_about"), F.col("doc").alias("__tw_first"), F.col("places.place").alias("__tw_places"), F.col("places.mask").alias("__tw_masks")), "places")
