@@ -24,7 +24,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Candidate cutoffs of each rule lie on a grid of this many steps between 0 and 1.
 STEPS = 100
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bangs", "n_lines", "text_key")
-#: Shares of the rules in risk and delta, set before any label is seen.
+#: Shares of the rules in risk and delta: constants, the same whatever the labels of a run say.
 SHARES = {"symbols": 1 / 2, "bangs": 1 / 6, "dup_lines": 1 / 6, "repeats": 1 / 6}
 #: Good documents of a stratum that may be lost, and the chance that more are, over all strata.
 RISK, DELTA = 0.06, 0.05
