@@ -279,6 +279,23 @@ def test_large_group(spark, monkeypatch, limit):
     assert {i: (got[i].class_id, got[i].n_links) for i, _ in rows} == {i: (root[i], len(near[i])) for i, _ in rows}
 
 
+@pytest.mark.parametrize("depth", [1, 24])
+def test_shared_passage(spark, monkeypatch, depth):
+    """Texts that share a passage and little else, some with near copies: their buckets are split until small, or searched in blocks after one level."""
+    monkeypatch.setattr(jaccard_join, "LIMIT", 8)
+    monkeypatch.setattr(jaccard_join, "DEPTH", depth)
+    rng = np.random.default_rng(11)
+    passage = [f"passage{k}" for k in range(40)]
+    rows = []
+    for i in range(120):
+        own = passage + [f"w{k}" for k in rng.integers(0, 5000, 200)]
+        rows += [(10 * i + k, " ".join([*own[: 100 + 40 * k], f"changed{k}", *own[101 + 40 * k :]])) for k in range(1 + (i % 10 == 0) * 2)]
+    near, root = brute.links(rows)
+    assert sum(map(len, near.values())) == 12 * 6
+    got = {r.doc_id: r for r in jaccard_join.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: (got[i].class_id, got[i].n_links) for i, _ in rows} == {i: (root[i], len(near[i])) for i, _ in rows}
+
+
 def test_join_awkward(odd, none):
     got = [tuple(r) for r in jaccard_join.similar(odd).collect()]
     assert len(got) == len(brute.AWKWARD)

@@ -40,6 +40,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables that no later job reads, nor any frame still to be run."""
+    for df in tables:
+        session = df.sparkSession
+        folder = session._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent()
+        folder.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def small_batches(spark: SparkSession, size: str = "8m") -> None:
     """Bounds Arrow batches by bytes unless the session does: 10,000 long texts take a lot of memory on both sides."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.common import stage
+from tracewell.llm.common import discard, stage
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -22,10 +22,12 @@ def connected(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = stage(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
+        discard(current)
         # Small star: a node and its neighbours below it go to the least of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         current = stage(small.distinct(), "small-star")
+        discard(large)
         new = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == mark:
             break

@@ -3,13 +3,15 @@
 Each document is the set of its runs of SHINGLE words. Documents with equal sets are one class;
 the rest works on classes. Every set samples tokens (n-grams) at the rate RUNS / (t |x|), by one
 hash of the token for all sets, so that similar sets likely sample the same ones: RUNS runs of the
-chosen-path recursion at once. Sets that share a sampled token are a bucket; a bucket of over
-LIMIT sets samples again, with hashes of the path so far, down to DEPTH tokens. Buckets are
-searched by brute force, those that stay large in blocks of LIMIT sets and TOKENS tokens, so none is dropped.
+chosen-path recursion at once. Sets that share a sampled token are a bucket. Each bucket of over
+LIMIT sets samples again at the rate GROWTH / (t |x|), with fresh hashes of the path so far, level by
+level until no bucket is large. Only sets that are alike, by their sketches, are not split: they go on
+sharing what they sample. Buckets are searched by brute force, those of alike sets in blocks of LIMIT
+sets and TOKENS tokens, so none is dropped.
 
-A pair of similarity t shares 20 sampled tokens on average, and each survives two more levels with
-probability 0.47 (1 - exp(-p) with p = 1 - exp(-1)), so it is missed with probability
-exp(-9.4) = 0.0001 at most, and exp(-20) where the first level suffices.
+A pair of similarity t shares 20 sampled tokens on average, and each goes on to any depth with
+probability 0.58 (p = 1 - exp(-GROWTH p)), so the pair is missed with probability exp(-11.6) =
+0.00001 at most, and exp(-20) where the first level suffices.
 
 Brute force has two steps, so that whole sets move little: sketches of SKETCH minima sort out pairs
 far below t, then the sets of what is left are compared exactly. Of the buckets that two sets
@@ -19,6 +21,7 @@ share only the least one answers for the pair, so links are counted once without
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -29,15 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm.bpe_trie import slices
-from tracewell.llm.common import small_batches, stage
+from tracewell.llm.common import discard, small_batches, stage
 from tracewell.llm.components import connected
 from tracewell.llm.word_hash import hashes_of, mix, word_hashes
 
 #: Words in a token of a set; least similarity of a link, as a fraction.
 SHINGLE = 5
 THRESHOLD = (4, 5)
-#: Runs, levels and the bucket size that is searched without sampling again.
-RUNS, DEPTH, LIMIT = 20, 3, 1024
+#: Runs, the bucket size that is searched without sampling again, and the tokens that a similar pair then shares on average.
+RUNS, LIMIT, GROWTH = 20, 1024, 1.5
+#: Sets are alike where at least this share of a bucket agrees with the most frequent minimum, on average over so many orders.
+ALIKE, ORDERS = 2 / 3, 16
+#: Levels after which what is still large is searched in blocks, as alike sets are; buckets shrink by a constant factor each.
+DEPTH = 24
 #: Tokens in the sets of one block, which bounds what a task holds by bytes as well (a longer set makes its own block).
 TOKENS = 1 << 20
 #: Rows and columns of a matrix that are made at once.
@@ -113,9 +120,9 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             tokens = _tokens(batch.column("packed")[i])
-            for path, n in zip(*(batch.column(c)[i].as_py() for c in ("own", "sizes")), strict=True):
-                new = np.unique(chosen(tokens, path % (1 << 64), 1)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(new), pa.array(np.full(len(new), batch.column("node")[i].as_py())), pa.array(np.full(len(new), n)), pa.array(np.full(len(new), len(tokens)))], names=["path", "node", "above", "size"])
+            for path in batch.column("own")[i].as_py():
+                new = np.unique(chosen(tokens, path % (1 << 64), GROWTH)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(new), pa.array(np.full(len(new), batch.column("node")[i].as_py())), pa.array(np.full(len(new), len(tokens)))], names=["path", "node", "size"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, dict[str, list]]]:
@@ -291,28 +298,34 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
         keyed = some.join(classes.select("node", "text_key", "copies"), "node")
         return packed.join(keyed.withColumnsRenamed({"node": "_node", "text_key": "_text_key"}), (F.col("doc") == F.col("_node")) & (F.col("text_key") == F.col("_text_key"))).withColumnRenamed("_node", "node")
 
+    def alike(rows: DataFrame, n: DataFrame) -> DataFrame:
+        """Paths of the large buckets whose sets agree on most of their least tokens; minima are counted before they are shuffled."""
+        minima = F.explode(F.expr(f"transform(sequence(1, {ORDERS}), i -> struct(i AS place, substring(sketch, i, 1) AS least))")).alias("at")
+        large = rows.join(n.where(F.col("n") > LIMIT).select("path", "n"), "path").join(classes.select("node", "sketch"), "node")
+        votes = large.select("path", "n", minima).groupBy("path", "n", "at").agg(F.count(F.lit(1)).alias("votes"))
+        most = votes.groupBy("path", "n", F.col("at.place").alias("place")).agg(F.max("votes").alias("votes"))
+        return most.groupBy("path", "n").agg(F.sum("votes").alias("votes")).where(F.col("votes") >= ALIKE * ORDERS * F.col("n")).select("path", F.lit(True).alias("alike"))
+
     def counted(rows: DataFrame, name: str) -> DataFrame:
-        """Rows (path, node, above, size) of buckets with company, and each bucket's sets n and tokens."""
+        """Rows (path, node, size) of buckets with company, each bucket's sets n and tokens, and whether its sets are alike."""
         rows = stage(rows, f"{name}-rows")
         n = stage(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens")).where("n > 1"), f"{name}-buckets")
-        return stage(rows.join(n, "path"), name)
-
-    level = counted(classes.select(F.explode("paths").alias("path"), "node", F.lit((1 << 62)).alias("above"), "size"), "level1")
-    buckets = []
-    for depth in range(1, DEPTH + 1):
-        # A bucket that sampling again hardly made smaller holds sets that are all alike.
-        final = (F.col("n") <= LIMIT) | (2 * F.col("n") >= F.col("above")) | F.lit(depth == DEPTH)
-        buckets.append(level.where(final).select("path", "node", "n", "tokens"))
-        large = level.where(~final)
-        if depth == DEPTH or large.isEmpty():
+        told = stage(n.join(alike(rows, n), "path", "left").select("path", "n", "tokens", F.coalesce("alike", F.lit(False)).alias("alike")), f"{name}-alike")
+        out = stage(rows.join(told, "path"), name)
+        discard(rows, n, told)
+        return out
+
+    levels = [counted(classes.select(F.explode("paths").alias("path"), "node", "size"), "level1")]
+    split = (F.col("n") > LIMIT) & ~F.col("alike")
+    while len(levels) < DEPTH:
+        large = levels[-1].where(split)
+        if large.isEmpty():
             break
-        own = large.groupBy("node").agg(F.collect_list(F.struct("path", "n")).alias("own"))
-        grown = with_text(own).select("node", "packed", F.col("own.path").alias("own"), F.col("own.n").alias("sizes"))
-        level = counted(grown.mapInArrow(_extend, "path long, node long, above long, size long").distinct(), f"level{depth + 1}")
-    members = buckets[0]
-    for more in buckets[1:]:
-        members = members.unionByName(more)
-    members = stage(members, "members")
+        grown = with_text(large.groupBy("node").agg(F.collect_list("path").alias("own"))).select("node", "packed", "own")
+        levels.append(counted(grown.mapInArrow(_extend, "path long, node long, size long").distinct(), f"level{len(levels) + 1}"))
+    buckets = [level.where(~split) for level in levels[:-1]] + [levels[-1]]
+    members = stage(reduce(DataFrame.unionByName, buckets).select("path", "node", "n", "tokens"), "members")
+    discard(*levels)
     paths = stage(members.groupBy("node").agg(F.array_sort(F.collect_set("path")).alias("own")), "paths")
     blocks = F.greatest(F.ceil(F.col("n") / LIMIT), F.ceil(F.col("tokens") / TOKENS))
     at = F.pmod(F.xxhash64("node", "path"), blocks)
@@ -321,9 +334,11 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     about = classes.select("node", "size", "sketch").join(paths, "node")
     sorted_ = lambda df: df.repartition(*KEY).sortWithinPartitions(*KEY)
     active = stage(sorted_(dealt.join(about, "node")).mapInArrow(_sift, "path long, block_a long, block_b long, block long, node long"), "active")
+    discard(members)
     needed = active.groupBy("node").agg(F.collect_set(F.struct(*KEY, "block")).alias("keys")).join(paths, "node")
     whole = with_text(needed).mapInArrow(_sets, "path long, block_a long, block_b long, block long, node long, copies long, own array<bigint>, tokens binary")
     found = stage(sorted_(whole).mapInArrow(_compare, "node long, root long, texts long, docs long"), "found")
+    discard(active, paths)
     links = found.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     groups = connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     told = classes.select("set_a", "set_b", "node", "copies").join(links, "node", "left").join(groups, "node", "left")
