@@ -40,14 +40,22 @@ def merged(far: np.ndarray, near_ids: tuple[np.ndarray, np.ndarray], far_ids: tu
 
 
 def coded(chunks: pa.Array, ends: np.ndarray, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], first: Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all lists of chunks, the place after each list's last id). encode: (ids, sizes) of distinct chunks; first: the same for the chunks that begin a list, if they are coded apart."""
-    numbers = chunks.dictionary_encode()
-    ids, sizes = encode(numbers.dictionary.to_numpy(zero_copy_only=False).tolist())
-    index = numbers.indices.to_numpy(zero_copy_only=False)
+    """(ids of all lists of chunks, the place after each list's last id).
+
+    encode: (ids, sizes) of distinct chunks; first: the same for the chunks that begin a list, if they are coded
+    apart, which encode() then doesn't get: they may begin with white space, that would run into another chunk's.
+    """
+    starts = np.zeros(0, np.int64)
     if first is not None:
         starts = np.concatenate([[0], ends[:-1]])
         starts = starts[starts < ends]
-        index = index.copy()
+    inner = np.ones(len(chunks), bool)
+    inner[starts] = False
+    numbers = (chunks.filter(pa.array(inner)) if len(starts) else chunks).dictionary_encode()
+    ids, sizes = encode(numbers.dictionary.to_numpy(zero_copy_only=False).tolist())
+    index = np.empty(len(chunks), np.int64)
+    index[inner] = numbers.indices.to_numpy(zero_copy_only=False)
+    if len(starts):
         index[starts] = np.arange(len(sizes), len(sizes) + len(starts))
         more = first(chunks.take(pa.array(starts)).to_pylist())
         ids, sizes = np.concatenate([ids, more[0]]), np.concatenate([sizes, more[1]])
