@@ -79,4 +79,14 @@ over AS (SELECT DISTINCT s.doc_id FROM scored s JOIN best b ON s.lang IS NOT DIS
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND o.doc_id IS NULL AS kept FROM f LEFT JOIN over o ON o.doc_id = f.doc_id
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op4_jaccard_join": OP4, "op6_block_search": OP6, "op7_line_dedup": OP7, "op9_quality_rules": OP9}
+OP11 = """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+near AS (SELECT * FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+far AS (SELECT n.a, n.b AS p, n.score AS top, f.b, f.score, row_number() OVER (PARTITION BY n.a, n.b ORDER BY f.score DESC, f.b) AS rank
+  FROM near n JOIN pairs f ON n.a = f.a AND NOT f.same AND 50 * n.score <= 100 * f.score AND 100 * f.score <= 95 * n.score)
+SELECT a AS anchor_id, p AS positive_id, rank::INTEGER AS rank, b AS negative_id, top AS positive_score, score AS negative_score FROM far WHERE rank <= 3
+"""
+
+ORACLES = {"op2_substring_dedup": OP2, "op4_jaccard_join": OP4, "op6_block_search": OP6, "op7_line_dedup": OP7, "op9_quality_rules": OP9, "op11_hard_negatives": OP11}

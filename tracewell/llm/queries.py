@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import block_search, bpe_trie, jaccard_join, license_scan, line_dedup, lm_scoring, mixing, oracles, quality_rules, rans_files, substring_dedup
+from tracewell.llm import block_search, bpe_trie, hard_negatives, jaccard_join, license_scan, line_dedup, lm_scoring, mixing, oracles, quality_rules, rans_files, substring_dedup
 from tracewell.llm.common import shared_dir, stage, table
 
 
@@ -72,5 +72,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_lm_difference, op4_jaccard_join, op5_rans_files, op6_block_search, op7_line_dedup, op8_bpe_trie, op9_quality_rules, op10_license_scan)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some labels are moved on by one, so that positives and negatives lie close together."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95, scale=256)
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_lm_difference, op4_jaccard_join, op5_rans_files, op6_block_search, op7_line_dedup, op8_bpe_trie, op9_quality_rules, op10_license_scan, op11_hard_negatives)}
 ORACLES = oracles.ORACLES
