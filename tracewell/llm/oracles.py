@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tracewell.llm import jaccard_join, line_dedup, quality_rules, substring_dedup
+from tracewell.llm import contamination, jaccard_join, line_dedup, quality_rules, substring_dedup
 
 SPACE = r"[\x20\x09-\x0D]"
 WORDS = rf"list_filter(string_split_regex(coalesce(text, ''), '{SPACE}+'), lambda x: x <> '')"
@@ -89,4 +89,18 @@ far AS (SELECT n.a, n.b AS p, n.score AS top, f.b, f.score, row_number() OVER (P
 SELECT a AS anchor_id, p AS positive_id, rank::INTEGER AS rank, b AS negative_id, top AS positive_score, score AS negative_score FROM far WHERE rank <= 3
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op4_jaccard_join": OP4, "op6_block_search": OP6, "op7_line_dedup": OP7, "op9_quality_rules": OP9, "op11_hard_negatives": OP11}
+W = contamination.WINDOW
+ALNUM = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP13 = f"""
+WITH d AS (SELECT doc_id, {ALNUM} AS w FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, w, least(len(w), {W}) AS m FROM (SELECT item_id, {ALNUM} AS w FROM benchmark) WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item, m, array_to_string(w[s:s + m - 1], ' ') AS t FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS s FROM i)),
+dw AS (SELECT doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') AS t FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS s FROM d, (SELECT DISTINCT m FROM i) WHERE len(w) >= m)),
+hits AS (SELECT doc_id, item, s, dw.m FROM dw JOIN iw ON dw.m = iw.m AND dw.t = iw.t),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + m)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(f.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN found f ON f.doc_id = d.doc_id
+"""
+
+ORACLES = {"op2_substring_dedup": OP2, "op4_jaccard_join": OP4, "op6_block_search": OP6, "op7_line_dedup": OP7, "op9_quality_rules": OP9, "op11_hard_negatives": OP11, "op13_decontaminate": OP13}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import block_search, bpe_trie, hard_negatives, jaccard_join, license_scan, line_dedup, lm_scoring, mixing, oracles, quality_rules, rans_files, substring_dedup
+from tracewell.llm import block_search, bpe_trie, contamination, hard_negatives, jaccard_join, license_scan, line_dedup, lm_scoring, mixing, oracles, quality_rules, rans_files, spelling, substring_dedup
 from tracewell.llm.common import shared_dir, stage, table
 
 
@@ -79,5 +79,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95, scale=256)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_lm_difference, op4_jaccard_join, op5_rans_files, op6_block_search, op7_line_dedup, op8_bpe_trie, op9_quality_rules, op10_license_scan, op11_hard_negatives)}
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.words(docs, least_symbols=6, least_n=5, drop_every=199), ratio=5)
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    ids = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), ids.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_lm_difference, op4_jaccard_join, op5_rans_files, op6_block_search, op7_line_dedup, op8_bpe_trie, op9_quality_rules, op10_license_scan, op11_hard_negatives, op12_spelling_variants, op13_decontaminate)}
 ORACLES = oracles.ORACLES

@@ -14,6 +14,9 @@ FOLDED = BYTES.copy()
 FOLDED[65:91] = BYTES[97:123]
 INK = np.ones(256, bool)
 INK[[32, 9, 10, 11, 12, 13]] = False
+#: Bytes of words of letters and digits: of ASCII only these, and all of other characters.
+ALNUM = np.zeros(256, bool)
+ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 #: Base of the polynomial, 3 modulo 8, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C13
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -39,10 +42,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(texts: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, fold: bool = False, letters: np.ndarray = INK) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of the words [^\\x20\\x09-\\x0D]+ of all texts, one after the other; the place after each text's last word).
 
-    Nulls have no words. fold: ASCII capitals count as small letters.
+    Nulls have no words. fold: ASCII capitals count as small letters. letters: the bytes of words, if others than these.
     """
     if texts.null_count:
         texts = pc.fill_null(texts, pa.scalar("" if not pa.types.is_binary(texts.type) else b"", texts.type))
@@ -53,7 +56,7 @@ def word_hashes(texts: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.nda
         return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
     raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]
     bounds = bounds - bounds[0]
-    ink = INK[raw]
+    ink = letters[raw]
     edge = np.zeros(len(raw) + 1, bool)
     edge[bounds] = True
     before = np.concatenate([[False], ink[:-1]]) & ~edge[:-1]
