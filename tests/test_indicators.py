@@ -6,7 +6,6 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tracewell.functions import text as T
@@ -152,7 +151,7 @@ def test_incomplete_read_and_second_writer(spark, tmp_path):
     sync.write_version(df, path, ("k",), max_records=3)
     files = sorted((tmp_path / "t" / sinks.current(spark, path).version).glob("*.parquet"))
     assert len(files) >= 4
-    with pytest.raises(AnalysisException):
+    with pytest.raises(checks.Conflict):
         sinks.publish(spark, path, "other", 1, None)
     files[0].unlink()
     with pytest.raises(checks.CheckFailed, match="complete"):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,6 +10,10 @@ class CheckFailed(ValueError):
     """A table or feed isn't as it has to be."""
 
 
+class Conflict(CheckFailed):
+    """Another writer published the next version first; nothing of this one was changed."""
+
+
 def enforce(what: str, violations: DataFrame) -> None:
     """Fails with the first violations, of which a few go to the driver."""
     if found := violations.limit(3).collect():
@@ -36,11 +40,17 @@ def empty(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
 
 
-def key_violations(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """(keys, n, violation): keys with a blank part, and keys of more than one row."""
+def blank_key(keys: tuple[str, ...]) -> Column:
+    """Whether a part of the key is null or ''."""
     blank = F.lit(False)
     for k in keys:
         blank = blank | F.col(k).isNull() | (F.col(k).cast("string") == "")
+    return blank
+
+
+def key_violations(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, n, violation): keys with a blank part, and keys of more than one row."""
+    blank = blank_key(keys)
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     kind = F.when(blank, "empty key").when(F.col("n") > 1, "duplicate key")
     return counted.withColumn("violation", kind).where("violation IS NOT NULL")

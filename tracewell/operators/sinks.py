@@ -1,11 +1,17 @@
-"""Sinks: deterministic CSV, raw archive and manifest."""
+"""Sinks: deterministic CSV, raw archive, manifest, and the pointer that makes a version the current one."""
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tracewell.operators import checks
+
 
 def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
     """Rows in order under a header in one CSV file, for small exports such as indicator tables."""
@@ -36,10 +42,13 @@ def write_manifest(counts: dict[str, int], hashes: DataFrame, sources: dict[str,
     row.select(F.to_json(F.struct(*sorted(values))).alias("value")).coalesce(1).write.text(path)
 
 
+POINTER = "seq long, version string, n long, keys array<string>, changes array<struct<version: string, n: bigint>>, digests string"
+
+
 def current(spark: SparkSession, path: str) -> Row | None:
-    """(seq, version, n) that was published last under path; None if nothing was."""
+    """The pointer that was published last under path: seq, version, n, keys, changes and digests; None if nothing was."""
     try:
-        found = spark.read.json(f"{path}/_pointers", schema="version string, n long, seq long")
+        found = spark.read.json(f"{path}/_pointers", schema=POINTER)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -47,7 +56,53 @@ def current(spark: SparkSession, path: str) -> Row | None:
     return found.orderBy(F.desc("seq")).first()
 
 
-def publish(spark: SparkSession, path: str, version: str, n: int, before: Row | None) -> None:
-    """Makes version the current one of path: a pointer whose place is its number, so that it can't be written twice."""
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder that the caller has made."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates a file with its whole text unless it is there; whether it did. Of several writers one does.
+
+    The text is written beside it and gets its place by an operation that fails if the place is
+    taken: a hard link on a local or mounted file system, else a rename without overwriting,
+    which the file system behind Hadoop's FileContext has to make atomic, as HDFS does.
+    """
+    jvm, fs = spark._jvm, spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    target = fs.Path(path)
+    files = target.getFileSystem(conf)
+    target = files.makeQualified(target)
+    own = fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    out = files.create(own, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if target.toUri().getScheme() == "file":
+            local = lambda p: jvm.java.nio.file.Paths.get(p.toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0))
+            jvm.java.nio.file.Files.createLink(local(target), local(own))
+        else:
+            options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+            fs.FileContext.getFileContext(target.toUri(), conf).rename(own, target, options)
+    except Py4JJavaError as e:
+        if not e.java_exception.getClass().getSimpleName().startswith("FileAlreadyExists"):
+            raise
+        return False
+    finally:
+        files.delete(own, False)
+    return True
+
+
+def publish(spark: SparkSession, path: str, version: str | None, n: int, before: Row | None, keys: tuple[str, ...] = (), changes: list[tuple[str, int]] | None = None, digests: str | None = None) -> int:
+    """Makes a version, with the changes that follow it, the current one of path; returns its number.
+
+    The pointer's place is the number after `before`, so of all writers that go on from one version
+    exactly one succeeds, and the others get a Conflict and have changed nothing.
+    """
     seq = (before.seq if before else 0) + 1
-    spark.createDataFrame([(version, n)], "version string, n long").coalesce(1).write.mode("error").json(f"{path}/_pointers/seq={seq}")
+    listed = [{"version": v, "n": k} for v, k in changes or []]
+    text = json.dumps({"seq": seq, "version": version, "n": n, "keys": list(keys), "changes": listed, "digests": digests})
+    if not create_once(spark, f"{path}/_pointers/{seq:012d}.json", text + "\n"):
+        raise checks.Conflict(f"version {seq} of {path} is another writer's")
+    return seq

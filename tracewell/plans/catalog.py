@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.functions import text as T
 from tracewell.operators import checks, matching, sinks, sync
+from tracewell.operators.shared import shared_dir
 from tracewell.plans import detections, views
 from tracewell.sources import feeds
 
@@ -252,6 +255,45 @@ def sync_report(spark: SparkSession, d: str) -> DataFrame:
     return sync.sync_tenants(views.flawed_customers(spark, d), views.current_customers(spark, d), ["tenant"], KEYS, 0.15)[1]
 
 
+def _synced(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(report, rows) of a table on disk that has the current customers and is brought to the flawed ones by a writer that loses rows of tenant 4."""
+    path = f"{shared_dir(spark)}/tracewell/customers-{uuid.uuid4().hex}"
+    sync.sync_all(views.current_customers(spark, d), path, ["tenant"], KEYS)
+    loses = lambda rows, folder: rows.where("tenant <> 4 OR c_custkey % 2 = 0").write.parquet(folder)
+    report = sync.sync_all(views.flawed_customers(spark, d), path, ["tenant"], KEYS, 0.15, write=loses)
+    return report, sync.read_version(spark, path)
+
+
+SYNCED = """
+, flawed AS (SELECT * FROM desired UNION ALL SELECT * FROM desired WHERE tenant = 3 AND c_custkey % 2 = 0
+  UNION ALL SELECT tenant, NULL, c_name, segment FROM desired WHERE tenant = 5 AND c_custkey % 3 = 0),
+bad AS (SELECT DISTINCT tenant FROM (SELECT tenant, c_custkey FROM flawed GROUP BY ALL HAVING count(*) > 1 OR c_custkey IS NULL)),
+lost AS (SELECT DISTINCT tenant FROM plan WHERE tenant = 4 AND c_custkey % 2 = 1 AND op <> 'same'),
+counts AS (SELECT tenant, count(*) FILTER (op IN ('insert', 'update')) AS n_upsert, count(*) FILTER (op = 'stale') AS n_stale,
+  count(*) FILTER (op <> 'insert') AS n_current, count(*) FILTER (op <> 'stale') AS n_desired FROM plan GROUP BY tenant),
+told AS (SELECT tenant, CASE WHEN b.tenant IS NULL THEN n_upsert ELSE 0 END AS n_upsert, CASE WHEN b.tenant IS NULL THEN n_stale ELSE 0 END AS n_stale, n_current,
+  CASE WHEN b.tenant IS NULL THEN n_desired ELSE (SELECT count(*) FROM flawed f WHERE f.tenant = c.tenant) END AS n_desired,
+  CASE WHEN b.tenant IS NOT NULL THEN 'bad keys' WHEN n_stale > 0 AND n_current > 0 AND n_stale::DOUBLE / n_current > 0.15 THEN 'guarded' WHEN l.tenant IS NOT NULL THEN 'verify failed' ELSE 'ok' END AS status
+  FROM counts c LEFT JOIN bad b USING (tenant) LEFT JOIN lost l USING (tenant))"""
+
+
+@query(SYNCED + " SELECT * FROM told WHERE tenant IN (SELECT tenant FROM flawed)")
+def sync_log_report(spark: SparkSession, d: str) -> DataFrame:
+    return _synced(spark, d)[0]
+
+
+@query(SYNCED + """
+SELECT tenant, c_custkey, c_name, segment FROM desired WHERE tenant IN (SELECT tenant FROM told WHERE status = 'ok')
+UNION ALL SELECT tenant, c_custkey, c_name, segment FROM current_rows WHERE tenant NOT IN (SELECT tenant FROM told WHERE status = 'ok')""")
+def sync_log_rows(spark: SparkSession, d: str) -> DataFrame:
+    return _synced(spark, d)[1]
+
+
+@query("SELECT tenant, c_custkey, op FROM plan WHERE op <> 'same'")
+def reconcile_buckets(spark: SparkSession, d: str) -> DataFrame:
+    return sync.reconcile(views.desired_customers(spark, d), views.current_customers(spark, d), KEYS, ["tenant"]).select("tenant", "c_custkey", "op")
+
+
 @query("SELECT c_nationkey AS tenant, c_mktsegment AS segment, count(*) AS n, 'duplicate key' AS violation FROM customer GROUP BY ALL HAVING count(*) > 1")
 def key_violations(spark: SparkSession, d: str) -> DataFrame:
     rows = views.table(spark, d, "customer").select(F.col("c_nationkey").alias("tenant"), F.col("c_mktsegment").alias("segment"))
