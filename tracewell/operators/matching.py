@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.text import not_empty
@@ -43,32 +43,45 @@ def match_either(events: DataFrame, indicators: DataFrame, columns: dict[str, st
     return matches.dropDuplicates(ids) if ids else matches.distinct()
 
 
+def label_suffixes(host: Column) -> Column:
+    """The host and all that follows a dot of it, as an array without repeats."""
+    labels = F.split(host, r"\.")
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+
+
 def suffix_pairs(hosts: DataFrame, domains: DataFrame, host: str = "host", domain: str = "domain") -> DataFrame:
     """Distinct (host, domain) where the host is the domain or a subdomain: an equi-join on the host's label suffixes."""
-    labels = F.split(F.col(host), r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     distinct = hosts.where(not_empty(F.col(host))).select(host).distinct()
-    return distinct.select(host, F.explode(F.array_distinct(suffixes)).alias("_suffix")).join(domains.where(not_empty(F.col(domain))).select(F.col(domain).alias("_suffix")).distinct(), "_suffix").select(host, F.col("_suffix").alias(domain))
+    return distinct.select(host, F.explode(label_suffixes(F.col(host))).alias("_suffix")).join(domains.where(not_empty(F.col(domain))).select(F.col(domain).alias("_suffix")).distinct(), "_suffix").select(host, F.col("_suffix").alias(domain))
 
 
-def contains_pairs(hosts: DataFrame, domains: DataFrame, host: str = "host", domain: str = "domain") -> DataFrame:
-    """Distinct (host, domain) where the host is the domain or has '.' + domain anywhere in it.
+def match_contained(df: DataFrame, domains: DataFrame, host: str = "host", domain: str = "domain") -> DataFrame:
+    """Rows of df with each domain that the host is, or has behind a dot anywhere in it; one row a domain, without a shuffle of its own.
 
     A domain's first label has to be a whole label of the host if the domain has another, so that is
-    an equi-join; a domain of one label may begin any later label, so it is joined by label prefixes.
+    an equi-join on labels; a domain of one label may begin any later label, so it is joined by prefixes, of the
+    lengths that such domains have (a few numbers on the driver). df may be a stream; domains are a table.
     """
-    labels = F.split(F.col(host), r"\.")
-    distinct = hosts.where(not_empty(F.col(host))).select(host).distinct()
-    placed = distinct.select(host, F.posexplode(labels).alias("_at", "_label")).withColumn("_rest", F.array_join(F.slice(labels, F.col("_at") + 1, F.size(labels)), "."))
     wanted = domains.where(not_empty(F.col(domain))).select(F.col(domain).alias("_domain")).distinct()
-    several = wanted.where(F.contains("_domain", F.lit("."))).withColumn("_label", F.split_part("_domain", F.lit("."), F.lit(1)))
-    # At the host's start the domain has to be all of it; after a dot it is enough that it goes on with it.
-    fits = F.when(F.col("_at") == 0, F.col(host) == F.col("_domain")).otherwise(F.startswith("_rest", F.col("_domain")))
-    found = placed.join(several, "_label").where(fits).select(host, F.col("_domain").alias(domain))
-    single = wanted.where(~F.contains("_domain", F.lit(".")))
-    starts = F.when(F.col("_at") > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.length("_label"), F.lit(1))), lambda i: F.substring(F.col("_label"), F.lit(1), i))).otherwise(F.array(F.when(F.col("_label") == F.col(host), F.col("_label"))))
-    short = placed.select(host, F.explode(starts).alias("_domain")).join(single, "_domain").select(host, F.col("_domain").alias(domain))
-    return found.unionByName(short).distinct()
+    several = F.contains("_domain", F.lit("."))
+    keyed = wanted.select("_domain", F.struct(several.alias("more"), F.split_part("_domain", F.lit("."), F.lit(1)).alias("key")).alias("_key"))
+    lengths = sorted(r[0] for r in wanted.where(~several).select(F.length("_domain")).distinct().collect())
+    name, labels = F.col(host), F.split(F.col(host), r"\.")
+    whole = F.transform(labels, lambda x: F.struct(F.lit(True).alias("more"), x.alias("key")))
+    tries = [F.array_distinct(whole)]
+    if lengths:
+        later = F.slice(labels, 2, F.greatest(F.size(labels) - 1, F.lit(0)))
+        begun = F.flatten(F.transform(later, lambda x: F.filter(F.transform(F.array(*map(F.lit, lengths)), lambda n: F.when(n <= F.length(x), F.left(x, n))), lambda y: y.isNotNull())))
+        starts = F.concat(begun, F.when(F.contains(name, F.lit(".")), F.array().cast("array<string>")).otherwise(F.array(name)))
+        tries.append(F.transform(F.array_distinct(starts), lambda x: F.struct(F.lit(False).alias("more"), x.alias("key"))))
+    placed = df.where(not_empty(name)).withColumn("_key", F.explode(F.concat(*tries)))
+    fits = ~F.col("_key.more") | (name == F.col("_domain")) | F.contains(name, F.concat(F.lit("."), F.col("_domain")))
+    return placed.join(keyed, "_key").where(fits).drop("_key").withColumnRenamed("_domain", domain)
+
+
+def contains_pairs(hosts: DataFrame, domains: DataFrame, host: str = "host", domain: str = "domain") -> DataFrame:
+    """Distinct (host, domain) where the host is the domain or has '.' + domain anywhere in it; see match_contained()."""
+    return match_contained(hosts.select(host).distinct(), domains, host, domain)
 
 
 def not_allowed(df: DataFrame, allowlist: DataFrame, host: str = "host") -> DataFrame:

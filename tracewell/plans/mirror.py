@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.operators import checks, sinks, sync
@@ -48,9 +50,9 @@ def build(spark: SparkSession, drivers_json: str, rmm_csv: str, exclusions_csv:
     return spark.createDataFrame(sorted(counts.items()), "name string, n long")
 
 
-def verified_load(spark: SparkSession, out: str, spec: TableSpec, count_key: str) -> DataFrame:
-    """A table of a mirror's current version, after its hash, header, keys and count are checked against the manifest."""
-    pointer = sinks.current(spark, out)
+def verified_load(spark: SparkSession, out: str, spec: TableSpec, count_key: str, pointer: Row | None = None) -> DataFrame:
+    """A table of a mirror's version, by default the current one, after its hash, header, keys and count are checked against the manifest."""
+    pointer = pointer or sinks.current(spark, out)
     if pointer is None:
         raise checks.CheckFailed(f"no mirror at {out}")
     at = f"{out}/{pointer.version}"
@@ -64,21 +66,24 @@ def verified_load(spark: SparkSession, out: str, spec: TableSpec, count_key: str
     return table
 
 
-def sync_mirror(spark: SparkSession, out: str, targets: DataFrame, root: str, names: list[str] | None = None, limit: float = 0.25, override: bool = False, max_records: int = 1000, dry_run: bool = False) -> DataFrame:
+def sync_mirror(spark: SparkSession, out: str, targets: DataFrame, root: str, names: list[str] | None = None, limit: float = 0.25, override: bool = False, max_records: int = 0, dry_run: bool = False) -> DataFrame:
     """A mirror's tables, verified, to every enabled tenant: (dataset, tenant, n_upsert, n_stale, n_current, n_desired, status).
 
-    targets: (tenant, enabled), a short configured list; root/<dataset> holds that table's rows of all tenants.
-    A dataset that fails its verification gets rows of status bad source, and the others go on.
+    targets: (tenant, enabled), a short configured list; root/<dataset> holds that table's rows of all tenants. Besides
+    the statuses of sync.sync_all(), which are a tenant's own, a dataset that fails its verification has status bad
+    source for all tenants, one whose table can't be read or written has failed; the others go on. max_records: rows of a file at most, 0 for no such limit.
     """
     tenants = sorted(r.tenant for r in sync.select_targets(targets, names).select("tenant").collect())
     schema = "dataset string, tenant string, n_upsert long, n_stale long, n_current long, n_desired long, status string"
     told = spark.createDataFrame([], schema)
     for spec, key in ((DRIVER_HASHES, "driver_hash_rows"), (RMM_DOMAINS, "rmm_effective_rows")):
+        status = "bad source"
         try:
             table = verified_load(spark, out, spec, key)
+            status = "failed"
             desired = table.select(F.explode(F.array(*map(F.lit, tenants))).alias("tenant"), *spec.fields)
             report = sync.sync_all(desired, f"{root}/{spec.name}", ["tenant"], ("tenant", *spec.keys), limit, override, max_records, dry_run)
             told = told.unionByName(report.select(F.lit(spec.name).alias("dataset"), "*"))
-        except checks.CheckFailed:
-            told = told.unionByName(spark.createDataFrame([(spec.name, t, 0, 0, 0, 0, "bad source") for t in tenants], schema))
+        except (checks.CheckFailed, AnalysisException, Py4JJavaError):
+            told = told.unionByName(spark.createDataFrame([(spec.name, t, 0, 0, 0, 0, status) for t in tenants], schema))
     return told.orderBy("dataset", "tenant")
