@@ -205,26 +205,52 @@ def test_losses(spark):
     before = [Counter((["<s>", *w])[: len(w)]) for w in split]
     single = [Counter(w) for w in split]
     a, b, c = lm_scoring.MIX
+    places = 1 + len({x for w in split for x in w})
     for i, w in enumerate(split):
         if not w:
             assert got[i].n_tokens == 0 and got[i].score is None
             continue
         for name, group in (("background_loss", range(6)), ("target_loss", [j for j in range(6) if target[j]])):
             others = [j for j in group if j != i]
-            n = max(1, sum(len(split[j]) for j in others))
+            n = sum(len(split[j]) for j in others)
             loss = 0
             for x, y in zip(["<s>", *w], w, strict=False):
                 context = sum(before[j][x] for j in others)
-                word = sum(single[j][y] for j in others) / n
+                word = sum(single[j][y] for j in others) / max(1, n)
                 p = a * sum(pairs[j][x, y] for j in others) / context + b * word if context else (a + b) * word
-                loss -= math.log(p + c / lm_scoring.WORDS)
+                loss -= math.log(p + c / places if n else 1 / places)
             assert got[i][name] == pytest.approx(loss / len(w))
         assert got[i].score == pytest.approx(got[i].target_loss - got[i].background_loss)
 
 
-def test_lm_awkward(odd, none):
+@pytest.mark.parametrize(("good", "before"), [([True, False], "a"), ([True, False], "zz"), ([False, False], "a")])
+def test_probabilities_sum_to_one(spark, good, before):
+    """Over the whole vocabulary and the place of unseen words, after a known and an unknown context, for both models and without target documents."""
+    rows = [(i, t, g) for i, (t, g) in enumerate(zip(["a b a a", "b a b"], good, strict=True))] + [(10, "zz", False)]
+    sums, places = [0.0, 0.0], 4  # a, b, zz and the unseen
+    for word in ("", "a", "b", "zz"):  # without a word first: what the context itself costs
+        docs = spark.createDataFrame([*rows, (9, f"{before} {word}", False)], "doc_id long, text string, good boolean").coalesce(1)
+        got = lm_scoring.cross_entropy_difference(docs, F.col("good")).where("doc_id = 9").first()
+        own = got.target_loss, got.background_loss
+        if word:
+            sums = [s + math.exp(one - 2 * two) for s, one, two in zip(sums, alone, own, strict=True)]
+        else:
+            alone = own
+    unseen = [(lm_scoring.MIX[2] if any(good) else 1) / places, lm_scoring.MIX[2] / places]
+    assert [s + u for s, u in zip(sums, unseen, strict=True)] == pytest.approx([1, 1])
+
+
+def test_lm_awkward(spark, odd, none):
+    before = {t.name for t in spark.catalog.listTables()}
     got = lm_scoring.cross_entropy_difference(odd, F.lit(None).cast("boolean"))
     assert got.count() == len(brute.AWKWARD) and got.columns.count("score") == 1
+    places = 1 + len({x for r in brute.AWKWARD for x in brute.words((r[1] or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))})
+    for r in got.select("n_tokens", "target_loss", "background_loss", F.col("score").alias("s")).collect():
+        if r.n_tokens:
+            assert r.target_loss == pytest.approx(math.log(places)) and r.s == pytest.approx(r.target_loss - r.background_loss)
+        else:
+            assert r.target_loss is None and r.s is None
+    assert {t.name for t in spark.catalog.listTables()} == before
     assert lm_scoring.cross_entropy_difference(none, F.lit(True)).count() == 0
 
 
@@ -237,11 +263,12 @@ def test_losses_of_many_words(spark, monkeypatch):
     got = {r.doc_id: r for r in lm_scoring.cross_entropy_difference(docs, F.col("good")).collect()}
     a, b, c = lm_scoring.MIX
     total = 1_200_000
-    seen = a + b * 1 / (total + 4 - 60_000) + c / lm_scoring.WORDS  # each pair and word is in one other document
+    places = 600_000 + 2  # w0 to w599999, rare, and the unseen
+    seen = a + b * 1 / (total + 4 - 60_000) + c / places  # each pair and word is in one other document
     # The first word of document 12 follows the start mark, as it does in document 2 out of 20 others.
-    first = a / 20 + b / (total + 4 - 60_000) + c / lm_scoring.WORDS
+    first = a / 20 + b / (total + 4 - 60_000) + c / places
     assert got[12].background_loss == pytest.approx(-(math.log(first) + 59_999 * math.log(seen)) / 60_000, abs=1e-9)
-    p = [b * 2 / total + c / lm_scoring.WORDS, a + b * 2 / total + c / lm_scoring.WORDS, c / lm_scoring.WORDS, (a + b) * 0 + (a + b) * 2 / total + c / lm_scoring.WORDS]
+    p = [b * 2 / total + c / places, a + b * 2 / total + c / places, c / places, (a + b) * 0 + (a + b) * 2 / total + c / places]
     assert got[20].background_loss == pytest.approx(-sum(map(math.log, p)) / 4, abs=1e-9)
 
 

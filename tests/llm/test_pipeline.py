@@ -36,3 +36,43 @@ def test_stages(spark, sf):
 
 def test_run(spark, sf):
     assert P.run(spark, sf).count() > 100
+
+
+def tables(spark, path, docs):
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(4, 1, 0), (None, 1, 0), (8, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_near_copies_keep_their_text(spark, tmp_path):
+    """Lines that only near copies share are no boilerplate, and one of the copies stays whole; lines that other texts share go."""
+    some = lambda seed, n: " ".join(f"w{(seed * 7919 + i * i * 31 + i) % 100_003}" for i in range(n))
+    body, banner = [some(1, 60), some(2, 60)], "banner of this site"
+    rows = [(i, "\n".join([*body, f"mark {i}", banner]), "en", "s", 1) for i in range(2)]
+    rows += [(i, "\n".join([some(10 + i, 60), some(50 + i, 60), banner]), "en", "s", 1) for i in range(2, 30)]
+    rows += [(100 + i, r[1], "en", None, 1) for i, r in enumerate(rows)]
+    docs = spark.createDataFrame(rows, brute.SCHEMA)
+    done = {r.doc_id: r for r in P.lines(spark, docs, "").collect()}
+    for i, text, *_ in rows:
+        assert done[i].text == text.removesuffix("\n" + banner) and done[i].n_chars == len(done[i].text)
+    kept = {r.doc_id: r.text for r in P.near_duplicates(spark, stage(P.lines(spark, docs, ""), "near"), "").collect()}
+    assert 1 not in kept and kept[0] == "\n".join([*body, "mark 0"])
+
+
+def test_stages_on_awkward_tables(spark, tmp_path):
+    """Every stage keeps the columns of awkward tables and what its docstring says of their rows, and takes an empty table to an empty one; so does run."""
+    odd = brute.awkward(spark)
+    none = spark.createDataFrame([], brute.SCHEMA)
+    path = tables(spark, tmp_path / "odd", odd)
+    good = [i for i, t, *_ in brute.AWKWARD if (m := brute.metrics(t))[0] >= 50 and 100 * m[4] <= 50 * m[0]]
+    kept = {name: f(spark, odd, path) for name, f in P.STAGES}
+    assert all(df.columns == odd.columns for name, df in list(kept.items())[:-1])
+    ids = [sorted((r.doc_id for r in df.select("doc_id").collect()), key=str) for df in kept.values()]
+    every = sorted((r[0] for r in brute.AWKWARD), key=str)
+    assert ids[0] == sorted(good, key=str) and ids[1] == every and ids[4] == every
+    assert set(ids[2]) == {1, 2, 3, 4, 8, 9, 10, 12, None} and set(ids[3]) <= set(every)
+    assert {r.doc_id: r.text for r in kept["line dedup"].where("doc_id IN (1, 2, 8)").collect()} == {1: None, 2: "", 8: brute.LONG}
+    empty = tables(spark, tmp_path / "none", none)
+    for _, f in P.STAGES:
+        assert f(spark, none, empty).count() == 0
+    assert P.run(spark, empty).count() == 0 and P.run(spark, path).select("n_tokens").collect()

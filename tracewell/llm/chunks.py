@@ -45,20 +45,24 @@ def coded(chunks: pa.Array, ends: np.ndarray, encode: Callable[[list[str]], tupl
     encode: (ids, sizes) of distinct chunks; first: the same for the chunks that begin a list, if they are coded
     apart, which encode() then doesn't get: they may begin with white space, that would run into another chunk's.
     """
-    starts = np.zeros(0, np.int64)
-    if first is not None:
+    numbers = chunks.dictionary_encode()
+    index, words = numbers.indices.to_numpy(zero_copy_only=False), numbers.dictionary
+    if first is None:
+        ids, sizes = encode(words.to_numpy(zero_copy_only=False).tolist())
+    else:
         starts = np.concatenate([[0], ends[:-1]])
         starts = starts[starts < ends]
-    inner = np.ones(len(chunks), bool)
-    inner[starts] = False
-    numbers = (chunks.filter(pa.array(inner)) if len(starts) else chunks).dictionary_encode()
-    ids, sizes = encode(numbers.dictionary.to_numpy(zero_copy_only=False).tolist())
-    index = np.empty(len(chunks), np.int64)
-    index[inner] = numbers.indices.to_numpy(zero_copy_only=False)
-    if len(starts):
-        index[starts] = np.arange(len(sizes), len(sizes) + len(starts))
-        more = first(chunks.take(pa.array(starts)).to_pylist())
-        ids, sizes = np.concatenate([ids, more[0]]), np.concatenate([sizes, more[1]])
+        inner = np.ones(len(index), bool)
+        inner[starts] = False
+        used = np.zeros(len(words), bool)
+        used[index[inner]] = True
+        ids, some = encode(words.filter(pa.array(used)).to_numpy(zero_copy_only=False).tolist())
+        sizes = np.zeros(len(words) + len(starts), np.int64)
+        sizes[: len(words)][used] = some
+        index = index.copy()
+        index[starts] = np.arange(len(words), len(sizes))
+        more, sizes[len(words) :] = first(chunks.take(pa.array(starts)).to_pylist())
+        ids = np.concatenate([ids, more])
     n = sizes[index]
     stops = np.concatenate([[0], np.cumsum(n)])
     shift = (np.cumsum(sizes) - sizes)[index] - stops[:-1]

@@ -341,6 +341,12 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     return rows.select(shown(F.col("doc")).alias("doc_id"), shown(own("root", F.col("doc"))).alias("class_id"), shown(own("node", F.col("doc"))).alias("copy_id"), own("n_links", F.lit(0)).cast("bigint").alias("n_links"), own("n_text_links", F.lit(0)).cast("bigint").alias("n_text_links"))
 
 
+def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, class_id), one row for each doc_id that isn't null: the class of similar documents, as similar() has it; texts without words are a class each."""
+    found = similar(docs, text, doc_id).where("doc_id IS NOT NULL AND class_id IS NOT NULL")
+    return found.groupBy(F.col("doc_id").alias(doc_id)).agg(F.min("class_id").alias("class_id"))
+
+
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """docs without the rows whose class has a smaller doc_id; all columns stay.
 

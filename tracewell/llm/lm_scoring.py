@@ -1,8 +1,9 @@
 """Cross-entropy difference of two matched n-gram models.
 
 A target model (documents marked as good) and a background model (all documents) have the same
-order, smoothing and vocabulary: words (ASCII capitals as small letters) and pairs by 64-bit hashes. Both are
-counted over every document; a document's score is the mean over its tokens of (target loss -
+order, smoothing and vocabulary: the corpus' distinct words (ASCII capitals as small letters, since hashes are taken
+of bytes) and one place for all words that it hasn't, so that a model's probabilities after a context sum to 1. Words and pairs
+go by 64-bit hashes. Both are counted over every document; a document's score is the mean over its tokens of (target loss -
 background loss), with the document's own counts taken out of both models, so that documents the
 models have seen are not favoured. Lower is closer to the target.
 
@@ -26,8 +27,6 @@ from tracewell.llm.bpe_trie import slices
 from tracewell.llm.common import shared_dir, stage
 from tracewell.llm.word_hash import word_hashes
 
-#: Words of the uniform model.
-WORDS = 1 << 18
 #: Share of the pair model, of the word model and of the uniform one in a token's probability.
 MIX = (0.6, 0.35, 0.05)
 #: Bytes of text in a slice, and slices whose n-grams one range of hashes may hold.
@@ -86,7 +85,9 @@ def sliced(docs: DataFrame, text: str) -> DataFrame:
     name = f"tracewell_slices_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs.mapInArrow(run, "slice long, body binary").write.bucketBy(parts, "slice").sortBy("slice").option("path", f"{shared_dir(spark)}/tracewell/{name}").format("parquet").saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only its entry: the files stay with the frame that reads them
+    return table
 
 
 def opened(body: bytes) -> pa.RecordBatch:
@@ -123,28 +124,29 @@ def ask(tables: DataFrame, text: str, ranges: int) -> DataFrame:
 
 
 def answer(asked: DataFrame, ranges: int) -> DataFrame:
-    """(slice, range, n, body, background, target): the totals of the n-grams that a slice asked for, in its order.
+    """(slice, range, n, body, background, target, vocabulary): the totals of the n-grams that a slice asked for, in its order.
 
-    background, target: words of the range in each model, in one row of it and 0 in its others.
+    background, target: words of the range in each model, and vocabulary its distinct words, in one row of it and 0 in its others.
     """
 
     def total(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         numbers = [np.split(unpack(body, 3 * sum(n)), np.cumsum([*n, *n, *n])[:-1]) for _, _, n, body in rows]
         out: list[list[np.ndarray]] = [[] for _ in rows]
-        sizes = [0, 0]
+        sizes = [0, 0, 0]
         for k in range(KINDS):
             keys = np.concatenate([np.cumsum(x[k].view(np.uint64), dtype=np.uint64) for x in numbers])
             distinct, inverse = np.unique(keys, return_inverse=True)
+            sizes[2] = len(distinct)
             cuts = np.cumsum([len(x[k]) for x in numbers])[:-1]
             for m in (0, 1):
                 counts = np.concatenate([x[(m + 1) * KINDS + k] for x in numbers])
                 sums = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.int64)
-                sizes[m] = int(counts.sum())  # the last kind stays: words
+                sizes[m] = int(counts.sum())  # of each of the sizes the last kind's stays: words
                 for o, x in zip(out, np.split(sums[inverse], cuts), strict=True):
                     o.append(x)
         for i, ((r, s, n, _), o) in enumerate(zip(rows, out, strict=True)):
-            first = sizes if i == 0 else [0, 0]
-            yield pa.RecordBatch.from_arrays([pa.array([s]), pa.array([r], pa.int32()), pa.array([n], pa.list_(pa.int64())), pa.array([pack(o)], pa.binary()), *(pa.array([x], pa.int64()) for x in first)], names=["slice", "range", "n", "body", "background", "target"])
+            first = sizes if i == 0 else [0, 0, 0]
+            yield pa.RecordBatch.from_arrays([pa.array([s]), pa.array([r], pa.int32()), pa.array([n], pa.list_(pa.int64())), pa.array([pack(o)], pa.binary()), *(pa.array([x], pa.int64()) for x in first)], names=["slice", "range", "n", "body", "background", "target", "vocabulary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -159,16 +161,16 @@ def answer(asked: DataFrame, ranges: int) -> DataFrame:
 
     # Rows of a range follow one another, in any order of slices: sums don't depend on it.
     dealt = asked.repartition(ranges, "range").sortWithinPartitions("range")
-    return dealt.mapInArrow(run, "slice long, range int, n array<long>, body binary, background long, target long")
+    return dealt.mapInArrow(run, "slice long, range int, n array<long>, body binary, background long, target long, vocabulary long")
 
 
-def _loss(pairs: np.ndarray, contexts: np.ndarray, singles: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """-log p of tokens by counts without the document's own."""
-    total = np.maximum(total, 1)
+def _loss(pairs: np.ndarray, contexts: np.ndarray, singles: np.ndarray, total: np.ndarray, places: float) -> np.ndarray:
+    """-log p of tokens by counts without the document's own; places: words of the vocabulary, with the one for unseen words."""
     a, b, c = MIX
-    p = a * pairs / np.maximum(contexts, 1) + b * singles / total + c / WORDS
-    # An unseen context has no pair model; its share goes to the words.
-    return -np.log(np.where(contexts > 0, p, (a + b) * singles / total + c / WORDS))
+    # What a model hasn't seen gives its share away: an unseen context to the words, a model without any words to the uniform one.
+    words = singles / np.maximum(total, 1)
+    p = np.where(contexts > 0, a * pairs / np.maximum(contexts, 1) + b * words, (a + b) * words) + c / places
+    return -np.log(np.where(total > 0, p, 1 / places))
 
 
 def _own(doc: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -182,7 +184,7 @@ def cross_entropy_difference(docs: DataFrame, is_target: Column, text: str = "te
 
     is_target: which documents the target model is made of; null is no. Null, empty and blank
     texts have 0 tokens and null losses. Repeated rows count as often as they are there. If no
-    document is a target, the target model is uniform. Columns of these names are replaced.
+    other document is a target, the target model is uniform. Columns of these names are replaced.
     """
     added = ("n_tokens", "target_loss", "background_loss", "score")
     marked = docs.withColumn("__tw_target", F.coalesce(is_target, F.lit(False)))
@@ -191,7 +193,7 @@ def cross_entropy_difference(docs: DataFrame, is_target: Column, text: str = "te
     tables = sliced(marked.select(*kept, text, "__tw_target"), text)
     ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-tables.count() // RANGE))
     answers = stage(answer(ask(tables, text, ranges), ranges), "answers")
-    sizes = [float(x or 0) for x in answers.agg(F.sum("background"), F.sum("target")).first()]
+    *sizes, places = (float(x or 0) for x in answers.agg(F.sum("background"), F.sum("target"), F.sum("vocabulary") + 1).first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,7 +213,7 @@ def cross_entropy_difference(docs: DataFrame, is_target: Column, text: str = "te
                     for m, share in ((0, 1.0), (1, target)):
                         sums = np.concatenate([x[2 * k + m] for x in numbers] or [np.zeros(0, np.int64)])
                         counts[m].append(sums[inverse] - own * share)
-                losses = [_loss(*counts[0], sizes[0] - n[doc]), _loss(*counts[1], sizes[1] - n[doc] * target)]
+                losses = [_loss(*counts[0], sizes[0] - n[doc], places), _loss(*counts[1], sizes[1] - n[doc] * target, places)]
                 empty = n == 0
                 means = [np.bincount(doc, weights=x, minlength=rows) / np.maximum(n, 1) for x in losses]
                 values = [means[1], means[0], means[1] - means[0]]
