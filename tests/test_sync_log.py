@@ -155,18 +155,6 @@ def test_reconcile(spark, monkeypatch, seed):
     assert plan_rows(sync.reconcile(one, one, KEYS, GROUPS)) == [] and len(plan_rows(sync.reconcile(one, one.where("false"), KEYS, GROUPS))) == len(sides[0])
 
 
-def rows_read(spark, run):
-    """Rows that the scans of files read while run() went on."""
-    store = spark.sparkContext._jsc.sc().statusStore()
-    stages = lambda: {s.stageId(): s.inputRecords() for s in (lambda q: [q.apply(i) for i in range(q.size())])(store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None))}
-    bus = spark.sparkContext._jsc.sc().listenerBus()
-    bus.waitUntilEmpty()
-    known = stages()
-    run()
-    bus.waitUntilEmpty()
-    return sum(n for i, n in stages().items() if i not in known)
-
-
 def test_only_differing_buckets_are_read(spark, tmp_path):
     """The base is laid out by buckets: a reader of some skips the others' row groups, and its plan pushes the buckets down."""
     path = str(tmp_path / "t")

@@ -56,6 +56,12 @@ def key_violations(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return counted.withColumn("violation", kind).where("violation IS NOT NULL")
 
 
+def key_summary(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """One row (n, flawed): rows, and keys that key_violations() would list."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(blank_key(keys) | (F.col("n") > 1)).alias("flawed"))
+
+
 def file_hashes(spark, path: str) -> DataFrame:
     """(path, length, sha256) of files."""
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
@@ -70,9 +76,14 @@ def size_violations(spark, path: str, most: int) -> DataFrame:
     return sized.select("path", F.coalesce("length", F.lit(0)).alias("length")).where((F.col("length") == 0) | (F.col("length") > most))
 
 
+def whole_number(value: Column) -> Column:
+    """The integer that a text of a manifest is, null if it is none."""
+    return F.try_to_number(value, F.lit("999999999999999999")).cast("bigint")
+
+
 def count_mismatch(counts: DataFrame, manifest: DataFrame) -> DataFrame:
     """(name, n, expected) where a table's count isn't the manifest's integer. counts: (name, n); manifest: (key, value)."""
-    expected = F.try_to_number("value", F.lit("999999999999999999")).cast("bigint")
+    expected = whole_number(F.col("value"))
     joined = counts.join(manifest.select(F.col("key").alias("name"), expected.alias("expected")), "name", "left")
     return joined.where(~F.col("n").eqNullSafe(F.col("expected")))
 

@@ -27,10 +27,39 @@ def hash_match(events: DataFrame, indicators: DataFrame, column: str, hash_colum
     return join_keep_left(seen, keyed, "_seen", "_hash").drop("_seen")
 
 
-def match_either(events: DataFrame, indicators: DataFrame, columns: dict[str, str], split_multi: bool = False, ids: list[str] | None = None) -> DataFrame:
+#: Bits of a filter of hashes: so many for each, and at most so many in all, as words of 64 of which three are an entry's (16 MB).
+BITS_EACH, MOST_BITS, WORD = 16, 1 << 27, 64
+
+
+def _entry(hashed: Column, words: int) -> tuple[Column, Column]:
+    """(word of the filter, the entry's bits in it) of a 64-bit hash."""
+    bits = F.lit(0).cast("bigint")
+    for i in range(3):
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(hashed, 40 + 6 * i).bitwiseAND(63).cast("int")))
+    return F.pmod(hashed, F.lit(words)).cast("int"), bits
+
+
+def thinned(events: DataFrame, indicators: DataFrame, key: str) -> DataFrame:
+    """events without most of those whose key no indicator has, before any shuffle of theirs.
+
+    The indicators' hashes make a blocked Bloom filter, MOST_BITS at most, whose words are broadcast: its size is proven, the
+    indicators' isn't. An event that an indicator has is never lost; others come through with a chance of some percent, and more
+    once the indicators are more than MOST_BITS / BITS_EACH.
+    """
+    hashed = indicators.select(F.xxhash64(key).alias("_h")).distinct()
+    words = max(1, min(MOST_BITS, BITS_EACH * hashed.count()) // WORD)
+    word, bits = _entry(F.col("_h"), words)
+    table = hashed.select(word.alias("_word"), bits.alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    word, bits = _entry(F.xxhash64(key), words)
+    kept = events.withColumn("_word", word).join(F.broadcast(table), "_word").where(F.col("_bits").bitwiseAND(bits) == bits)
+    return kept.drop("_word", "_bits")
+
+
+def match_either(events: DataFrame, indicators: DataFrame, columns: dict[str, str], split_multi: bool = False, ids: list[str] | None = None, thin: bool = False) -> DataFrame:
     """Distinct matches by any of the hashes in columns (event's column: indicator's): both sides give their hashes with the column's place, for one equi-join, since an OR makes a nested loop.
 
-    ids: columns that tell matches apart, of events and indicators; without them whole rows do.
+    ids: columns that tell matches apart, of events and indicators; without them whole rows do. thin: for
+    indicators too large to broadcast, whose join shuffles the events: see thinned().
     """
 
     def hashes(names: list[str], split: bool):
@@ -39,6 +68,8 @@ def match_either(events: DataFrame, indicators: DataFrame, columns: dict[str, st
 
     seen = events.withColumn("_seen", hashes(list(columns), False))
     keyed = indicators.withColumn("_hash", hashes(list(columns.values()), split_multi))
+    if thin:
+        seen = thinned(seen, keyed.select(F.col("_hash").alias("_seen")), "_seen")
     matches = join_keep_left(seen, keyed, "_seen", "_hash").drop("_seen")
     return matches.dropDuplicates(ids) if ids else matches.distinct()
 

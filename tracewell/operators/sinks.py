@@ -7,15 +7,18 @@ import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.operators import checks
 
 
-def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
-    """Rows in order under a header in one CSV file, for small exports such as indicator tables."""
-    df.orderBy(*order).coalesce(1).write.option("header", True).option("emptyValue", "").option("quote", '"').option("escape", '"').option("lineSep", "\n").csv(path)
+def write_csv(df: DataFrame, path: str, order: list[str]) -> int:
+    """Rows in order under a header in one CSV file, for small exports such as indicator tables; the rows that the writing job itself counted."""
+    seen = Observation()
+    counted = df.orderBy(*order).coalesce(1).observe(seen, F.count(F.lit(1)).alias("n"))
+    counted.write.option("header", True).option("emptyValue", "").option("quote", '"').option("escape", '"').option("lineSep", "\n").csv(path)
+    return seen.get["n"]
 
 
 def archive(spark: SparkSession, source: str, path: str) -> None:

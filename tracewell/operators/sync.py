@@ -5,7 +5,7 @@ rows aren't right as they were written, becomes a status row and keeps its curre
 writing what changed and moving a pointer, so readers see the old rows or the new ones, never a mixture.
 
 Both sides are summed up by buckets of keys first (changelog.digests). Only buckets that differ are
-joined, so a sync costs one scan of the desired rows and work that follows the changes.
+joined, so a sync costs two scans of the desired rows, and work that follows the changes.
 """
 
 from __future__ import annotations
@@ -148,7 +148,7 @@ def sync_all(
         stored = changelog.stored_digests(spark, path, before, desired.schema, keys, groups)
         have = stored.join(want.select(*groups).distinct(), groups, "left_semi")
         buckets = _differing(want.drop("blank"), have, groups)
-        some = wanted.where(F.col("_bucket").isin(buckets)).select(*columns)
+        some = _staged(wanted.where(F.col("_bucket").isin(buckets)).select(*columns), f"{work}/some")
         # A repeated key makes its bucket differ, since the table's keys are unique.
         bad = _staged(checks.key_violations(some, tuple(keys)).select(*groups).unionByName(want.where("blank > 0").select(*groups)).distinct(), f"{work}/bad")
         good = want.select(*groups).distinct().join(bad, groups, "left_anti")

@@ -11,7 +11,7 @@ from tracewell.functions import text as T
 from tracewell.operators import checks, matching, sinks, sync
 from tracewell.operators.shared import shared_dir
 from tracewell.plans import detections, views
-from tracewell.sources import feeds
+from tracewell.sources import feeds, json_arrays, telemetry
 
 FLAGSHIP = "report_rmm_suffix"
 QUERIES = {}
@@ -40,6 +40,15 @@ def lookback_filter(spark: SparkSession, d: str) -> DataFrame:
     return recent.where("event_type = 'error'").select("event_id", "ts", "user_id")
 
 
+@query("SELECT event_id, ts, user_id FROM events WHERE ts > (SELECT t FROM as_of) - INTERVAL 4 HOUR")
+def pruned_lookback(spark: SparkSession, d: str) -> DataFrame:
+    """The events as a table by dates, of which a lookback from the last one's time, found as the query runs, reads its own days."""
+    path = f"{shared_dir(spark)}/tracewell/events-{uuid.uuid4().hex}"
+    telemetry.append(views.table(spark, d, "events"), path)
+    last = views.table(spark, d, "events").agg(F.max("ts")).scalar()
+    return telemetry.lookback(telemetry.read(spark, path), "ts", last, "4 HOURS").select("event_id", "ts", "user_id")
+
+
 @query("SELECT page_id, host, regexp_replace(regexp_replace(regexp_replace(lower(url), '^[a-z][a-z0-9+.-]*://', ''), '/.*$', ''), ':[0-9]+$', '') AS stripped FROM hosts")
 def url_host(spark: SparkSession, d: str) -> DataFrame:
     return views.table(spark, d, "pages").select("page_id", T.url_host(F.col("url")).alias("host"), T.strip_host(F.col("url")).alias("stripped"))
@@ -93,6 +102,15 @@ def driver_feed(spark: SparkSession, d: str) -> DataFrame:
     return feeds.driver_hashes(nodes).select("sha256", "sha1", "driver_name")
 
 
+@query("SELECT doc_id, lang, text FROM documents")
+def json_array_elements(spark: SparkSession, d: str) -> DataFrame:
+    """The documents as JSON arrays of some hundred each, a file an array, read back by byte ranges."""
+    path = f"{shared_dir(spark)}/tracewell/array-{uuid.uuid4().hex}"
+    arrays = views.table(spark, d, "documents").groupBy(F.floor(F.col("doc_id") / 200)).agg(F.to_json(F.collect_list(F.struct("doc_id", "lang", "text"))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return json_arrays.scan_objects(spark, path).select(*(F.variant_get("node", f"$.{c}", t).alias(c) for c, t in (("doc_id", "long"), ("lang", "string"), ("text", "string"))))
+
+
 @query("SELECT DISTINCT lower(host) AS domain, lower(host) AS pattern, 'tool_' || (length(host) % 3) AS rmm_tool, '^(?:' || replace(lower(host), '.', '\\.') || ')$' AS regex FROM hosts WHERE host IS NOT NULL")
 def dedup_last(spark: SparkSession, d: str) -> DataFrame:
     host = T.url_host(F.col("url"))
@@ -132,6 +150,12 @@ def hash_match_either(spark: SparkSession, d: str) -> DataFrame:
     return matching.match_either(views.loads(spark, d), views.drivers(spark, d), {"sha256": "sha256", "sha1": "sha1"}).select("report_id", "sha256", "driver_name")
 
 
+@query("SELECT DISTINCT report_id, l.sha256, driver_name FROM (SELECT l.*, d.driver_name FROM loads l JOIN drivers d USING (sha256) UNION ALL SELECT l.*, d.driver_name FROM loads l JOIN drivers d ON l.sha1 = d.sha1) l")
+def hash_match_thinned(spark: SparkSession, d: str) -> DataFrame:
+    """hash_match_either for indicators too large to broadcast."""
+    return matching.match_either(views.loads(spark, d), views.drivers(spark, d), {"sha256": "sha256", "sha1": "sha1"}, thin=True).select("report_id", "sha256", "driver_name")
+
+
 @query("SELECT c.c_custkey, c.c_nationkey, c.c_name, n.n_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey")
 def join_keep_left(spark: SparkSession, d: str) -> DataFrame:
     nations = views.table(spark, d, "nation").withColumn("c_name", F.lit("clash"))

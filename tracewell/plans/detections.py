@@ -7,11 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions.text import not_empty, value_set
 from tracewell.operators.matching import contains_pairs, hash_match, latest_row, match_either, not_allowed, suffix_pairs
-
-
-def lookback(df: DataFrame, ts: str, as_of: Column, interval: str) -> DataFrame:
-    """Rows after as_of minus the interval; the edge itself is out."""
-    return df.where(F.col(ts) > as_of - F.expr(f"INTERVAL {interval}"))
+from tracewell.sources.telemetry import lookback
 
 
 def domain_sets(domains: DataFrame) -> DataFrame:
@@ -19,14 +15,14 @@ def domain_sets(domains: DataFrame) -> DataFrame:
     return domains.where(not_empty(F.col("domain"))).groupBy("domain").agg(value_set(F.col("rmm_tool")).alias("rmm_tools"), value_set(F.col("pattern")).alias("patterns"))
 
 
-def detect_driver_loads(loads: DataFrame, drivers: DataFrame, as_of: Column, interval: str = "4 HOURS", action: str = "DriverLoad", split_multi: bool = False) -> DataFrame:
+def detect_driver_loads(loads: DataFrame, drivers: DataFrame, as_of: Column, interval: str = "4 HOURS", action: str = "DriverLoad", split_multi: bool = False, thin: bool = False) -> DataFrame:
     """Loads of known drivers, by SHA-256 or SHA-1: per device, file and hashes the latest match with first_seen and event_count (matches).
 
-    loads: ts, report_id, device_id, action, file_name, sha1, sha256, ... ; drivers: as DRIVER_HASHES.
+    thin: for indicators too large to broadcast. loads: ts, report_id, device_id, action, file_name, sha1, sha256, ... ; drivers: as DRIVER_HASHES.
     """
     recent = lookback(loads, "ts", as_of, interval).where(F.col("action") == action)
     names = {"sha256": "sha256", "sha1": "sha1"}
-    matches = match_either(recent, drivers, names, split_multi)
+    matches = match_either(recent, drivers, names, split_multi, thin=thin)
     return latest_row(matches, ["device_id", "file_name", "sha1", "sha256"], "ts", "report_id")
 
 

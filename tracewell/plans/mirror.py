@@ -10,33 +10,35 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.operators import checks, sinks, sync
-from tracewell.sources import feeds
+from tracewell.sources import feeds, json_arrays
 from tracewell.sources.specs import DRIVER_HASHES, RMM_DOMAINS, TableSpec
 
 #: Most bytes of a feed file.
 FEED_BYTES = 100 << 20
 
 
-def build(spark: SparkSession, drivers_json: str, rmm_csv: str, exclusions_csv: str, out: str, sources: dict[str, str] | None = None) -> DataFrame:
+def build(spark: SparkSession, drivers_json: str, rmm_csv: str, exclusions_csv: str, out: str, sources: dict[str, str] | None = None, split: bool = False) -> DataFrame:
     """Feeds -> indicator tables, raw archive and manifest as the next version under out; returns the counts (name, n).
 
     Readers see the version before until all of the next one is written. sources: locations for the
-    manifest (drivers_url, rmm_url); by default those that are read. A table is counted as it was written.
+    manifest (drivers_url, rmm_url); by default those that are read. A table is counted by the job that writes it. split:
+    the driver feed is read by byte ranges.
     """
     for path in (drivers_json, rmm_csv):
         checks.enforce("feeds have a bounded size", checks.size_violations(spark, path, FEED_BYTES))
     before, version = sinks.current(spark, out), f"v-{uuid.uuid4().hex}"
     to = f"{out}/{version}"
-    drivers = feeds.driver_hashes(feeds.scan_json(spark, drivers_json)).select(*DRIVER_HASHES.fields)
+    nodes = json_arrays.scan_objects(spark, drivers_json) if split else feeds.scan_json(spark, drivers_json)
+    drivers = feeds.driver_hashes(nodes).select(*DRIVER_HASHES.fields)
     upstream = feeds.rmm_domains(feeds.scan_csv(spark, rmm_csv, ("URI", "RMM_Tool"))).select(*RMM_DOMAINS.fields)
     effective, excluded = feeds.split_excluded(upstream, feeds.scan_exclusions(spark, exclusions_csv))
-    sinks.write_csv(drivers, f"{to}/driver_hashes", ["sha256"])
-    sinks.write_csv(effective.select(*RMM_DOMAINS.fields), f"{to}/rmm_domains", ["domain", "rmm_tool", "pattern"])
-    sinks.write_csv(excluded, f"{to}/rmm_excluded", ["domain", "rmm_tool", "pattern"])
+    n = {
+        "driver_hashes": sinks.write_csv(drivers, f"{to}/driver_hashes", ["sha256"]),
+        "rmm_domains": sinks.write_csv(effective.select(*RMM_DOMAINS.fields), f"{to}/rmm_domains", ["domain", "rmm_tool", "pattern"]),
+        "rmm_excluded": sinks.write_csv(excluded, f"{to}/rmm_excluded", ["domain", "rmm_tool", "pattern"]),
+    }
     for path in (drivers_json, rmm_csv):
         sinks.archive(spark, path, f"{to}/raw")
-    written = {n: feeds.scan_csv(spark, f"{to}/{n}", RMM_DOMAINS.keys if n != "driver_hashes" else DRIVER_HASHES.keys) for n in ("driver_hashes", "rmm_domains", "rmm_excluded")}
-    n = {r.name: r.n for r in sinks.manifest_counts(written).collect()}
     for what, rows in (("driver feed", n["driver_hashes"]), ("RMM feed", n["rmm_domains"] + n["rmm_excluded"])):
         if not rows:
             raise checks.CheckFailed(f"the {what} has no rows")
@@ -60,10 +62,8 @@ def verified_load(spark: SparkSession, out: str, spec: TableSpec, count_key: str
     files = checks.file_hashes(spark, f"{at}/{spec.name}/*.csv")
     wanted = manifest.where(F.col("key") == f"{spec.name}_sha256").select(F.col("value").alias("sha256"))
     checks.enforce("files have the manifest's hash", files.join(wanted, "sha256", "left_anti"))
-    table = feeds.scan_table(spark, f"{at}/{spec.name}", spec)
-    counts = table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(count_key).alias("name"), "n")
-    checks.enforce("counts are the manifest's", checks.count_mismatch(counts, manifest))
-    return table
+    expected = manifest.where(F.col("key") == count_key).select(checks.whole_number(F.col("value")).alias("n"))
+    return feeds.scan_table(spark, f"{at}/{spec.name}", spec, expected)
 
 
 def sync_mirror(spark: SparkSession, out: str, targets: DataFrame, root: str, names: list[str] | None = None, limit: float = 0.25, override: bool = False, max_records: int = 0, dry_run: bool = False) -> DataFrame:

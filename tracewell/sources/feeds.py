@@ -11,7 +11,10 @@ from tracewell.sources.specs import TableSpec
 
 
 def scan_json(spark: SparkSession, path: str) -> DataFrame:
-    """(node): the objects in a JSON array file, as variants; other elements are left out. Fails if the root is no array."""
+    """(node): the objects in a JSON array file, as variants; other elements are left out. Fails if the root is no array.
+
+    The file is one record of one task; json_arrays.scan_objects() reads large ones by byte ranges.
+    """
     root = spark.read.format("json").option("singleVariantColumn", "v").option("multiLine", True).load(path)
     checks.enforce("feed root is an array", root.where(~F.coalesce(F.schema_of_variant("v").startswith("ARRAY"), F.lit(False))))
     nodes = root.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(F.col("value").alias("node"))
@@ -25,11 +28,19 @@ def scan_csv(spark: SparkSession, path: str, columns: tuple[str, ...], exact: bo
     return raw.select(*(blank(F.col(f"`{c}`")).alias(c) for c in (columns if exact else raw.columns)))
 
 
-def scan_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """A normalised table in CSV: exact header, not empty, keys filled and unique."""
+def scan_table(spark: SparkSession, path: str, spec: TableSpec, expected: DataFrame | None = None) -> DataFrame:
+    """A normalised table in CSV: exact header, not empty, keys filled and unique. expected: (n), the number of rows it should have.
+
+    All of it is checked in one pass over the rows; only a failure reads them again, for its first cases.
+    """
     df = scan_csv(spark, path, spec.fields, exact=True)
-    checks.enforce("table is not empty", checks.empty(df))
-    checks.enforce("keys are filled and unique", checks.key_violations(df, spec.keys))
+    n, flawed = checks.key_summary(df, spec.keys).first()
+    if flawed:
+        checks.enforce("keys are filled and unique", checks.key_violations(df, spec.keys))
+    if not n:
+        raise checks.CheckFailed("table is not empty: it has no rows")
+    if expected is not None and (told := [r.n for r in expected.collect()]) != [n]:
+        raise checks.CheckFailed(f"counts are the manifest's: {n} rows instead of {told}")
     return df
 
 
