@@ -606,7 +606,7 @@ def test_cutoffs(spark):
 def test_risk_holds(spark):
     """Of 100 strata whose cutoffs would lose a little more than their share none gets one; where much less is lost all do."""
     share = quality_rules.RISK * quality_rules.SHARES["symbols"]
-    n = 1500
+    n = 4000
     rows = spark.range(200 * n).select("id", (F.col("id") % 200).cast("string").alias("lang"), F.expr(f"id >= {200 * (n - 100)}").alias("bad"), F.rand(3).alias("u"))
     loss = F.when(F.col("lang").cast("int") < 100, share * 1.05).otherwise(share / 6)
     odd = F.col("bad") | (F.col("u") < loss)

@@ -64,10 +64,10 @@ WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS} AS w FROM docum
 runs AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d))),
 repeats AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS i FROM runs WHERE n > 1) GROUP BY doc_id),
 m AS (SELECT d.doc_id, lang, t, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[{quality_rules.SYMBOLS}]', '', 'g')))::BIGINT AS n_symbols,
-  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, length(t) - length(replace(t, '!', '')) AS n_bangs FROM d LEFT JOIN repeats r ON r.doc_id = d.doc_id),
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(list_filter(d.w, lambda x: NOT regexp_matches(x, '\\p{{L}}'))) AS n_unlettered FROM d LEFT JOIN repeats r ON r.doc_id = d.doc_id),
 f AS (SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m),
-scored AS (SELECT doc_id, lang, t, base_failed, unnest(['symbols', 'bangs', 'dup_lines', 'repeats']) AS rule,
-  unnest([ceil(least(1, n_symbols / greatest(n_words, 1)) * 100), ceil(least(1, n_bangs / greatest(n_words, 1)) * 100), ceil(least(1, n_dup_lines / greatest(len(lines), 1)) * 100), ceil(least(1, n_repeat_words / greatest(n_words, 1)) * 100)]) AS score FROM f),
+scored AS (SELECT doc_id, lang, t, base_failed, unnest(['symbols', 'unlettered', 'dup_lines', 'repeats']) AS rule,
+  unnest([ceil(least(1, n_symbols / greatest(n_words, 1)) * 100), ceil(least(1, n_unlettered / greatest(n_words, 1)) * 100), ceil(least(1, n_dup_lines / greatest(len(lines), 1)) * 100), ceil(least(1, n_repeat_words / greatest(n_words, 1)) * 100)]) AS score FROM f),
 clear AS (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IN (0, 1) AND doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = max(quality)),
 held AS (SELECT lang, rule, any_value(score) AS score, min(q) AS q FROM scored JOIN clear USING (doc_id) WHERE NOT base_failed GROUP BY lang, t, rule HAVING min(q) = max(q)),
 curve AS (SELECT lang, rule, cutoff, {P} AS p, count(*) FILTER (q = 1) AS n_good, count(*) FILTER (q = 1 AND score > cutoff) AS n_lost, count(*) FILTER (q = 0 AND score > cutoff) AS n_caught

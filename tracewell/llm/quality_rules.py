@@ -4,8 +4,8 @@ Each rule scores how bad a document looks. The labelled documents are a holdout
 fitted to them), in which equal texts count once. Per stratum and rule, cutoffs are tested from the
 most lenient one down, each by an exact binomial test of whether it rejects at most the rule's share
 of `risk` of the good documents, until a test fails: such a fixed sequence needs no correction for the
-number of cutoffs. The rules' shares of `delta`, divided by the number of strata, correct for rules
-and strata (weighted Bonferroni). Of the cutoffs that pass, the one that rejects the most bad
+number of cutoffs. Rules have equal shares of `risk` and `delta`, and `delta` is divided by the number of strata,
+which corrects for rules and strata (Bonferroni). Of the cutoffs that pass, the one that rejects the most bad
 documents over good ones is used; a stratum without proof keeps everything. Only DataFrame functions
 are used.
 """
@@ -23,11 +23,12 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Candidate cutoffs of each rule lie on a grid of this many steps between 0 and 1.
 STEPS = 100
-METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bangs", "n_lines", "text_key")
-#: Shares of the rules in risk and delta: constants, the same whatever the labels of a run say.
-SHARES = {"symbols": 1 / 2, "bangs": 1 / 6, "dup_lines": 1 / 6, "repeats": 1 / 6}
-#: Good documents of a stratum that may be lost, and the chance that more are, over all strata.
-RISK, DELTA = 0.06, 0.05
+METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_unlettered", "n_lines", "text_key")
+#: Shares of the rules in risk and delta: equal, whatever the labels of a run say.
+RULES = ("symbols", "unlettered", "dup_lines", "repeats")
+SHARES = {rule: 1 / len(RULES) for rule in RULES}
+#: Good documents of a stratum that may be lost, and the chance that more are, over all strata: the user's choice, by default the usual level for both.
+RISK, DELTA = 0.05, 0.05
 #: Bits of a 64-bit sort key that hold a window's place; the rest hold its hash.
 PLACE_BITS = 24
 
@@ -47,7 +48,7 @@ def _covered(places: Column) -> Column:
 def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with the columns METRICS (long), counted over each whole text; columns of those names are replaced.
 
-    A null text has no words, symbols or lines; text_key is a hash of the text. Windows of three words are compared by 64-bit
+    A null text has no words, symbols or lines; n_unlettered counts words without a letter; text_key is a hash of the text. Windows of three words are compared by 64-bit
     hashes of their words, in one sorted array of (hash, place) keys per text, so that a text of
     n words costs n log n whatever repeats in it.
     """
@@ -59,13 +60,13 @@ def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
         symbols = F.replace(symbols, F.lit(c), F.lit(""))
     lines = F.filter(F.split(text_col, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = docs.select(*kept, spaced(F.col(text)).alias("__tw_spaced"), lines.alias("__tw_lines"), (F.length(text_col) - F.length(symbols)).alias("__tw_symbols"), F.xxhash64(text_col).alias("__tw_text_key"))
-    df = df.select(*kept, F.array_remove(F.split("__tw_spaced", " "), "").alias("__tw_words"), F.length(F.replace(F.col("__tw_spaced"), F.lit(" "), F.lit(""))).alias("__tw_chars"), "__tw_lines", "__tw_symbols", "__tw_text_key", (F.length("__tw_spaced") - F.length(F.replace(F.col("__tw_spaced"), F.lit("!"), F.lit("")))).alias("__tw_bangs"))
+    df = df.select(*kept, F.array_remove(F.split("__tw_spaced", " "), "").alias("__tw_words"), F.length(F.replace(F.col("__tw_spaced"), F.lit(" "), F.lit(""))).alias("__tw_chars"), "__tw_lines", "__tw_symbols", "__tw_text_key")
     counts = [
         F.size("__tw_words").cast("bigint").alias("n_words"),
         F.col("__tw_chars").cast("bigint").alias("word_chars"),
         F.col("__tw_symbols").cast("bigint").alias("n_symbols"),
         (F.size("__tw_lines") - F.size(F.array_distinct("__tw_lines"))).cast("bigint").alias("n_dup_lines"),
-        F.col("__tw_bangs").cast("bigint").alias("n_bangs"),
+        F.size(F.filter("__tw_words", lambda w: ~w.rlike(r"\p{L}"))).cast("bigint").alias("n_unlettered"),
         F.size("__tw_lines").cast("bigint").alias("n_lines"),
         F.col("__tw_text_key").alias("text_key"),
     ]
@@ -102,7 +103,7 @@ def scores() -> dict[str, Column]:
 
     return {
         "symbols": share(F.col("n_symbols"), F.col("n_words")),
-        "bangs": share(F.col("n_bangs"), F.col("n_words")),
+        "unlettered": share(F.col("n_unlettered"), F.col("n_words")),
         "dup_lines": share(F.col("n_dup_lines"), F.col("n_lines")),
         "repeats": share(F.col("n_repeat_words"), F.col("n_words")),
     }

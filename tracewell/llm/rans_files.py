@@ -84,11 +84,15 @@ class Tokens:
         return np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def learn(self, words: Iterable[str]) -> None:
-        """Ids of new words, which the splitting pattern leaves whole."""
-        cut = self.model.tokenize
-        for word in words:
-            symbols = "\u0120" + word[1:] if word[0] == " " != word[-1] and word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.symbols)
-            self.known[word] = struct.pack(f"<{len(ids)}I", *ids) if len(ids := [x.id for x in cut(symbols)]) > 1 else self.single[ids[0]]
+        """Ids of new words, which the splitting pattern leaves whole; their bytes get their symbols all at once, but for words with line ends."""
+        cut, known, single, pack = self.model.tokenize, self.known, self.single, struct.pack
+        lines = [w for w in words if "\n" in w]
+        plain = [w for w in words if "\n" not in w] if lines else list(words)
+        symbols = "\n".join(plain).encode().decode("latin-1").translate(self.symbols).split(self.symbols[10]) if plain else []
+        symbols += [w.encode().decode("latin-1").translate(self.symbols) for w in lines]
+        for word, symbol in zip(plain + lines, symbols, strict=True):
+            ids = [x.id for x in cut(symbol)]
+            known[word] = single[ids[0]] if len(ids) == 1 else pack(f"<{len(ids)}I", *ids)
 
     def near(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As chunks(), for those of the Latin blocks."""
