@@ -28,11 +28,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their source's boilerplate lines; n_chars follows the text.
 
-    Copies of a text, and near copies (of one class of the Jaccard join), count once in a source, whatever its size, so that
-    what only they share is no boilerplate. A null source is one source, a null text stays null with a null n_chars; documents of
-    a null doc_id have no class but that of equal texts; a very long text is judged line by line like any other.
+    Copies of a text count once, whatever a source's size; near copies count apart, since telling their classes takes more than
+    DataFrame functions (line_dedup.dedup_texts(classes=...) does it). A null source is one source, a null text stays null
+    with a null n_chars; a very long text is judged line by line like any other.
     """
-    done = line_dedup.dedup_texts(docs, host="source", once=True, small=True, null_site=True, classes=jaccard_join.classes(docs))
+    done = line_dedup.dedup_texts(docs, host="source", once=True, small=True, null_site=True)
     return done.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
