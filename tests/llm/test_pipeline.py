@@ -8,6 +8,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
 import corpus_pipeline as P  # noqa: E402
+from tracewell.llm import jaccard_join, line_dedup  # noqa: E402
 from tracewell.llm.common import stage, table  # noqa: E402
 
 
@@ -44,19 +45,17 @@ def tables(spark, path, docs):
     return str(path)
 
 
-def test_near_copies_keep_their_text(spark, tmp_path):
-    """Lines that only near copies share are no boilerplate, and one of the copies stays whole; lines that other texts share go."""
+def test_near_copies_keep_their_text(spark):
+    """By classes of similar texts, lines that only near copies share are no boilerplate; lines that other texts share go."""
     some = lambda seed, n: " ".join(f"w{(seed * 7919 + i * i * 31 + i) % 100_003}" for i in range(n))
     body, banner = [some(1, 60), some(2, 60)], "banner of this site"
     rows = [(i, "\n".join([*body, f"mark {i}", banner]), "en", "s", 1) for i in range(2)]
     rows += [(i, "\n".join([some(10 + i, 60), some(50 + i, 60), banner]), "en", "s", 1) for i in range(2, 30)]
     rows += [(100 + i, r[1], "en", None, 1) for i, r in enumerate(rows)]
     docs = spark.createDataFrame(rows, brute.SCHEMA)
-    done = {r.doc_id: r for r in P.lines(spark, docs, "").collect()}
-    for i, text, *_ in rows:
-        assert done[i].text == text.removesuffix("\n" + banner) and done[i].n_chars == len(done[i].text)
-    kept = {r.doc_id: r.text for r in P.near_duplicates(spark, stage(P.lines(spark, docs, ""), "near"), "").collect()}
-    assert 1 not in kept and kept[0] == "\n".join([*body, "mark 0"])
+    done = line_dedup.dedup_texts(docs, once=True, small=True, null_site=True, classes=jaccard_join.classes(docs))
+    assert done.columns == docs.columns
+    assert {r.doc_id: r.text for r in done.collect()} == {i: text.removesuffix("\n" + banner) for i, text, *_ in rows}
 
 
 def test_stages_on_awkward_tables(spark, tmp_path):
