@@ -41,11 +41,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes staged tables that no later job reads, nor any frame still to be run."""
+    """Deletes tables of stage() that no later job reads, nor any frame still to be run; any other table is refused."""
     for df in tables:
         session = df.sparkSession
-        folder = session._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent()
-        folder.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        path = session._jvm.org.apache.hadoop.fs.Path
+        root = path(f"{shared_dir(session)}/tracewell")
+        files = root.getFileSystem(session._jsparkSession.sessionState().newHadoopConf())
+        folders = {path(f).getParent().toString() for f in df.inputFiles()}
+        folder = path(folders.pop()) if len(folders) == 1 else None
+        if folder is None or files.makeQualified(folder.getParent()).toString() != files.makeQualified(root).toString():
+            raise ValueError("not a staged table")
+        files.delete(folder, True)
 
 
 def small_batches(spark: SparkSession, size: str = "8m") -> None:

@@ -135,6 +135,11 @@ def _large(units: Column, p: Column, total: Column, seed: int) -> Column:
     return F.aggregate(units, start, step)
 
 
+def _key(doc_id: str, source: str, text: str) -> Column:
+    """Hash of what makes a unit; hashes skip nulls, so these are told by marks of their own."""
+    return F.xxhash64(F.col(doc_id), *(x for c in (source, text) for x in (F.col(c).isNull(), F.col(c))))
+
+
 def mix(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, most: float = MOST, seed: int = 0) -> DataFrame:
     """One row per row of docs: doc_id, source, key, size, source_size, target (all of its source) and copies (int).
 
@@ -143,7 +148,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str
     source is a source of its own. Documents without words get as many copies as their
     source's share, rounded by chance each.
     """
-    measured = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("source"), F.size(words(F.col(text))).cast("bigint").alias("size"), F.xxhash64(F.col(doc_id), F.col(source), F.col(text)).alias("key"))
+    measured = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("source"), F.size(words(F.col(text))).cast("bigint").alias("size"), _key(doc_id, source, text).alias("key"))
     units = stage(measured.groupBy("doc_id", "source", "size", "key").agg(F.count(F.lit(1)).alias("rows")), "units")
     sources = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count(F.lit(1)).alias("n_units"))
     sources = stage(sources, "source-sizes")
@@ -186,7 +191,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str
 def repeat(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, most: float = MOST, seed: int = 0) -> DataFrame:
     """The mixture itself: each row of docs as often as mix() has copies of it, with the columns of docs."""
     copies = mix(docs, source, text, doc_id, weights, most, seed).groupBy(F.col("doc_id").alias("__tw_doc"), F.col("key").alias("__tw_key")).agg(F.max("copies").alias("__tw_copies"))
-    keyed = docs.withColumn("__tw_row_key", F.xxhash64(F.col(doc_id), F.col(source), F.col(text)))
+    keyed = docs.withColumn("__tw_row_key", _key(doc_id, source, text))
     same = (F.col("__tw_row_key") == F.col("__tw_key")) & F.col(doc_id).cast("bigint").eqNullSafe(F.col("__tw_doc"))
     taken = keyed.join(copies.where("__tw_copies > 0"), same)
     return taken.select(*(F.col(c) for c in docs.columns), F.explode(F.sequence(F.lit(1), "__tw_copies")).alias("__tw_copy")).drop("__tw_copy")
