@@ -47,7 +47,7 @@ def discard(*tables: DataFrame) -> None:
         path = session._jvm.org.apache.hadoop.fs.Path
         root = path(f"{shared_dir(session)}/tracewell")
         files = root.getFileSystem(session._jsparkSession.sessionState().newHadoopConf())
-        folders = {path(f).getParent().toString() for f in df.inputFiles()}
+        folders = {path(session._jvm.java.net.URI(f)).getParent().toString() for f in df.inputFiles()}
         folder = path(folders.pop()) if len(folders) == 1 else None
         if folder is None or files.makeQualified(folder.getParent()).toString() != files.makeQualified(root).toString():
             raise ValueError("not a staged table")
