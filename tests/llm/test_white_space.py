@@ -40,3 +40,17 @@ def test_registered_queries(spark, tmp_path, texts):
     for r in coded.collect():
         wanted = words.encode(r.text, add_special_tokens=False).ids
         assert (r.token_ids, r.decoded) == (wanted, words.decode(wanted, skip_special_tokens=False))
+
+
+def test_known_chunks_are_not_encoded_again():
+    """A chunk that a worker knows goes to no tokenizer again; forgetting some changes no ids."""
+    library = Tokenizer.from_file(BYTE_BPE)
+    for limit in (1_000_000, 3, 0):
+        ours, asked = rans_files.Tokens(BYTE_BPE), []
+        ours.met.limit = limit
+        encode = ours.chunks
+        ours.chunks = lambda chunks: asked.extend(chunks) or encode(chunks)  # noqa: B023
+        for text in ("one two, three two, four", "nought three two, five 中文 éé", "a two, six 中文", "b one two, 中文"):
+            assert ours.encode(pa.array([text]))[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        if limit > 3:
+            assert len(asked) == len(set(asked))

@@ -231,7 +231,7 @@ class Encoder:
         parts = [pc.utf8_split_whitespace(pc.utf8_trim_whitespace(texts.filter(pa.array(~odd))))]
         if odd.any():
             parts.append(pa.array([self.split(x) for x in texts.filter(pa.array(odd)).to_pylist()], pa.list_(pa.string())))
-        ids, ends = coded(*joined(parts), self.chunks)
+        ids, ends = coded(*joined(parts), lambda words: self.chunks(words.to_numpy(zero_copy_only=False).tolist()))
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
         return lists.take(pa.array(np.argsort(np.argsort(odd, kind="stable"), kind="stable"))) if odd.any() else lists
 

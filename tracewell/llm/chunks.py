@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Unicode White_Space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
@@ -39,7 +40,35 @@ def merged(far: np.ndarray, near_ids: tuple[np.ndarray, np.ndarray], far_ids: tu
     return ids, own
 
 
-def coded(chunks: pa.Array, ends: np.ndarray, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], first: Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+class Known:
+    """Ids of the chunks that a worker met lately, in Arrow arrays: chunks of two slices and more cost no Python. At most `limit` chunks, and those of one slice."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.chunks, self.ids, self.sizes = pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def coded(self, chunks: pa.Array, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all distinct chunks, ids of each); encode: the same for those that are new."""
+        at = pc.fill_null(pc.index_in(chunks, value_set=self.chunks), -1).to_numpy()
+        fresh = at < 0
+        new = chunks.filter(pa.array(fresh))
+        ids, sizes = encode(new.to_numpy(zero_copy_only=False).tolist())
+        met = at[~fresh]
+        all_ids, all_sizes = merged(fresh, self.taken(met), (ids, sizes))
+        if len(self.chunks) + len(new) > self.limit:
+            self.chunks, self.ids, self.sizes = chunks, all_ids, all_sizes
+        else:
+            self.chunks, self.ids, self.sizes = pa.concat_arrays([self.chunks, new]), np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        return all_ids, all_sizes
+
+    def taken(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of the chunks at some places."""
+        sizes = self.sizes[at]
+        shift = (np.cumsum(self.sizes) - self.sizes)[at] - np.cumsum(sizes) + sizes
+        return self.ids[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
+
+
+def coded(chunks: pa.Array, ends: np.ndarray, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], first: Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all lists of chunks, the place after each list's last id).
 
     encode: (ids, sizes) of distinct chunks; first: the same for the chunks that begin a list, if they are coded
@@ -48,7 +77,7 @@ def coded(chunks: pa.Array, ends: np.ndarray, encode: Callable[[list[str]], tupl
     numbers = chunks.dictionary_encode()
     index, words = numbers.indices.to_numpy(zero_copy_only=False), numbers.dictionary
     if first is None:
-        ids, sizes = encode(words.to_numpy(zero_copy_only=False).tolist())
+        ids, sizes = encode(words)
     else:
         starts = np.concatenate([[0], ends[:-1]])
         starts = starts[starts < ends]
@@ -56,7 +85,7 @@ def coded(chunks: pa.Array, ends: np.ndarray, encode: Callable[[list[str]], tupl
         inner[starts] = False
         used = np.zeros(len(words), bool)
         used[index[inner]] = True
-        ids, some = encode(words.filter(pa.array(used)).to_numpy(zero_copy_only=False).tolist())
+        ids, some = encode(words.filter(pa.array(used)))
         sizes = np.zeros(len(words) + len(starts), np.int64)
         sizes[: len(words)][used] = some
         index = index.copy()

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewell.llm.bpe_trie import byte_symbols, slices
-from tracewell.llm.chunks import NUMBERS, WHITE, coded, joined, merged, spread
+from tracewell.llm.chunks import NUMBERS, WHITE, Known, coded, joined, merged, spread
 from tracewell.llm.common import stage
 from tracewell.llm.recent import Recent
 
@@ -42,8 +41,8 @@ LOW = np.uint64(1 << 31)
 BLOCK_TOKENS = 1 << 20
 #: Most lanes of a block, and turns between checkpoints.
 LANES, STRIDE = 2048, 128
-#: Distinct words in each of the two generations that a worker remembers.
-REMEMBERED = 300_000
+#: Distinct words in each of the two generations that a worker remembers, and distinct chunks that it remembers.
+REMEMBERED, CHUNKS = 300_000, 1_000_000
 #: Bytes of text that are tokenized at once.
 SLICE = 8 << 20
 #: The pattern by which byte-level tokenizers split a text, for the Latin blocks.
@@ -69,14 +68,16 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        names = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.lengths = np.zeros(1 + max(names.values()), np.int64)
+        self.lengths[list(names.values())] = list(map(len, names))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = Recent(REMEMBERED)
+        self.known, self.met = Recent(REMEMBERED), Known(CHUNKS)
         self.cut = re.compile(f" (?=[^{WHITE}])")
         self.odd = f" [{WHITE}]| \\z"
         self.word = re.compile(PATTERN)
         self.beyond = re.compile("[^\x00-\u024f]")
         self.symbols = dict(enumerate(byte_symbols()))
-        self.single = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
 
     def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids of each)."""
@@ -84,15 +85,26 @@ class Tokens:
         return np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def learn(self, words: Iterable[str]) -> None:
-        """Ids of new words, which the splitting pattern leaves whole; their bytes get their symbols all at once, but for words with line ends."""
-        cut, known, single, pack = self.model.tokenize, self.known, self.single, struct.pack
+        """Ids of new words, which the splitting pattern leaves whole; their bytes get their symbols all at once, but for words with line ends.
+
+        The tokens of a word are those whose symbols make up its own, so all words' ids are cut at once.
+        """
         lines = [w for w in words if "\n" in w]
         plain = [w for w in words if "\n" not in w] if lines else list(words)
         symbols = "\n".join(plain).encode().decode("latin-1").translate(self.symbols).split(self.symbols[10]) if plain else []
         symbols += [w.encode().decode("latin-1").translate(self.symbols) for w in lines]
-        for word, symbol in zip(plain + lines, symbols, strict=True):
-            ids = [x.id for x in cut(symbol)]
-            known[word] = single[ids[0]] if len(ids) == 1 else pack(f"<{len(ids)}I", *ids)
+        if not symbols:
+            return
+        cut = self.model.tokenize
+        ids = np.array([x.id for symbol in symbols for x in cut(symbol)], "<i4")
+        there, ends = np.cumsum(self.lengths[ids]), np.cumsum(np.fromiter(map(len, symbols), np.int64, len(symbols)))
+        stops = np.minimum(np.searchsorted(there, ends), len(ids) - 1)
+        if len(ids) and (there[stops] == ends).all():
+            stops = (stops + 1) * 4
+        else:  # a vocabulary without some byte's symbol
+            stops = np.cumsum([4 * len(cut(symbol)) for symbol in symbols])
+        raw = ids.tobytes()
+        self.known.update(zip(chain(plain, lines), map(raw.__getitem__, map(slice, chain([0], stops.tolist()), stops.tolist())), strict=False))
 
     def near(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As chunks(), for those of the Latin blocks."""
@@ -123,7 +135,7 @@ class Tokens:
         parts = [pc.split_pattern(texts.filter(pa.array(plain)), " ")]
         if odd.any():
             parts.append(pa.array([self.cut.split(x) for x in texts.filter(pa.array(odd)).to_pylist()], pa.list_(pa.string())))
-        ids, ends = coded(*joined(parts), self.chunks, self.library)  # nothing stands before the first chunk
+        ids, ends = coded(*joined(parts), lambda words: self.met.coded(words, self.chunks), self.library)  # nothing stands before the first chunk
         for i, a, b in zip([*np.flatnonzero(plain), *np.flatnonzero(odd)], [0, *ends], ends, strict=False):
             out[i] = ids[a:b]
         for i in np.flatnonzero(whole):
