@@ -133,6 +133,34 @@ def test_passages_by_longer_prefixes(docs, rows, monkeypatch, group):
     assert sorted(got) == sorted((i, n, n - len(kept), " ".join(kept)) for (i, _), (n, kept) in wanted.items())
 
 
+def test_suffixes_of_frequent_prefixes_are_few_rows():
+    """A suffix is a row for each of its first longer prefixes, two at most, whatever windows it has; all windows are in there."""
+    text = " ".join(f"w{i}" for i in range(60)).encode()
+    every = (1 << substring_dedup.REST + 1) - 1
+    spans = [(20 << 16) | every, (40 << 16) | 0b101]
+    packed = substring_dedup.zstandard.ZstdCompressor().compress(text)
+    docs = pa.RecordBatch.from_arrays([pa.array([b"k"]), pa.array([7]), pa.array([packed]), pa.array([spans])], names=["key", "doc", "__tw_packed", "spans"])
+    rows = pa.Table.from_batches(substring_dedup._windows([docs])).to_pylist()
+    assert len(rows) == 3
+    for span in spans:
+        here = [r for r in rows if r["place"] == span >> 16]
+        for some in (here, [f for r in here for f in r["finer"]], [w for r in here for f in r["finer"] for w in f["finer"]]):
+            assert sum(x["mask"] for x in some) == span & 0xFFFF
+    assert len({(w["name"], w["check"]) for r in rows for f in r["finer"] for w in f["finer"]}) == 17
+
+
+@pytest.mark.parametrize("group", [1, 4096])
+def test_passages_of_one_id(spark, monkeypatch, group):
+    """Equal places of rows with one id are not earlier than each other, also where their other windows differ."""
+    monkeypatch.setattr(substring_dedup, "GROUP", group)
+    w = lambda a, n: " ".join(f"w{i}" for i in range(a, a + n))
+    rows = [(5, f"{w(0, 30)} x"), (5, f"{w(0, 25)} {w(100, 25)}"), (9, f"y {w(0, 30)}"), (None, w(100, 25)), (3, w(200, 22)), (5, f"{w(0, 19)} z {w(200, 22)}")]
+    wanted = brute.passages(rows)
+    got = removed(substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    key = lambda r: (r[0] is None, *map(str, r))
+    assert sorted(got, key=key) == sorted(((i, n, n - len(kept), " ".join(kept)) for (i, _), (n, kept) in wanted.items()), key=key)
+
+
 def test_longer_prefixes_lie_in_their_windows():
     before = np.arange(substring_dedup.REST + 1)
     for length in range(substring_dedup.PREFIX, substring_dedup.WINDOW + 1):

@@ -210,7 +210,7 @@ def to_left(before: np.ndarray, length: int) -> np.ndarray:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their suffixes of frequent prefixes in; the windows around those out, with each longer prefix and a 128-bit name."""
+    """Documents with their suffixes of frequent prefixes in; rows NESTED out: a suffix has one for each of its first longer prefixes, not one for each window."""
     step = SORTED // (REST + 1)
     for batch in batches:
         for i in range(batch.num_rows):
@@ -220,19 +220,29 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = batch.column("spans")[i].values.to_numpy(zero_copy_only=False)
             for a in range(0, len(spans), step):
                 at, before = np.nonzero((spans[a : a + step, None] >> np.arange(REST + 1)) & 1)
-                place = (spans[a : a + step] >> 16)[at]
-                names = []
-                for length, run in runs:
+                place, bits = (spans[a : a + step] >> 16)[at], np.int64(1) << before
+                begins, inner = [], np.arange(len(at))  # the first window of each prefix, from short prefixes to long ones
+                new = np.concatenate([[True], at[1:] != at[:-1]])
+                for length, _ in runs:
                     left = to_left(before, length)
-                    names.append(mix(run[place - left] + mix(left.astype(np.uint64) + np.uint64(1))))
-                names += [x[place - before] for x in whole]
-                key, doc = (pa.repeat(batch.column(c)[i], len(at)) for c in ("key", "doc"))
-                arrays = [*(pa.array(x.view(np.int64)) for x in names), key, doc, pa.array(place), pa.array(np.int64(1) << before)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*map(_column, LONGER), "name", "check", "key", "doc", "place", "mask"])
-
-
-def _column(length: int) -> str:
-    return f"prefix_{length}"
+                    new = new | np.concatenate([[True], left[1:] != left[:-1]])
+                    begins.append(np.flatnonzero(new))
+                rows = pa.StructArray.from_arrays([*(pa.array(x[place - before].view(np.int64)) for x in whole), pa.array(bits)], names=["name", "check", "mask"])
+                for (length, run), first in zip(runs[::-1], begins[::-1], strict=True):
+                    left = to_left(before, length)[first]
+                    name = mix(run[place[first] - left] + mix(left.astype(np.uint64) + np.uint64(1)))
+                    finer = pa.ListArray.from_arrays(pa.array(np.append(np.searchsorted(inner, first), len(inner)).astype(np.int32)), rows)
+                    rows = pa.StructArray.from_arrays([pa.array(name.view(np.int64)), pa.array(np.bitwise_or.reduceat(bits, first)), finer], names=["prefix", "mask", "finer"])
+                    inner = first
+                key, doc = (pa.repeat(batch.column(c)[i], len(inner)) for c in ("key", "doc"))
+                yield pa.RecordBatch.from_arrays([*rows.flatten(), key, doc, pa.array(place[inner])], names=["prefix", "mask", "finer", "key", "doc", "place"])
+
+
+#: Windows by 128-bit names within their longer prefixes; each mask has the bits of the windows in it.
+NESTED = "array<struct<name: bigint, check: bigint, mask: bigint>>"
+for _ in LONGER[1:]:
+    NESTED = f"array<struct<prefix: bigint, mask: bigint, finer: {NESTED}>>"
+NESTED = f"prefix long, mask long, finer {NESTED}, key binary, doc long, place long"
 
 
 def repeated_places(docs: DataFrame, firsts: DataFrame, text: str = "text") -> DataFrame:
@@ -253,20 +263,24 @@ def repeated_places(docs: DataFrame, firsts: DataFrame, text: str = "text") -> D
         rows = packed.join(own, (F.col("__tw_key") == F.col("key")) & (F.col("__tw_doc") == F.col("doc")))
         return rows.select("key", "doc", "__tw_packed", F.col("own.span").alias("spans"), F.col("own.prefix").alias("prefixes"))
 
-    schema = "".join(f"{_column(length)} long, " for length in LONGER) + "name long, check long, key binary, doc long, place long, mask long"
-    left = stage(of(shared.where(F.col("n") > GROUP)).mapInArrow(_windows, schema), "windows")
+    left = stage(of(shared.where(F.col("n") > GROUP)).mapInArrow(_windows, NESTED), "windows")
     grouped = shared.where(F.col("n") <= GROUP).select("prefix", "key", "span")
-    for name in map(_column, LONGER):
-        n = stage(left.groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), name)
-        left = stage(left.join(n, name), f"windows-{name}")
-        span = F.shiftleft("place", 16).bitwiseOR(F.bit_or("mask"))
-        grouped = grouped.unionByName(left.where(F.col("n") <= GROUP).groupBy(F.col(name).alias("prefix"), "key", "place").agg(span.alias("span")).drop("place"))
+    for depth, length in enumerate(LONGER):
+        if depth:
+            left = left.select("key", "doc", "place", F.inline("finer"))
+        n = stage(left.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"prefix-{length}")
+        left = stage(left.join(n, "prefix").withColumn("finer", F.when(F.col("n") > GROUP, F.col("finer"))), f"windows-{length}")
+        grouped = grouped.unionByName(left.where(F.col("n") <= GROUP).select("prefix", "key", F.shiftleft("place", 16).bitwiseOR(F.col("mask")).alias("span")))
         left = left.where(F.col("n") > GROUP).drop("n")
     contexts = of(grouped).mapInArrow(_contexts, "prefix long, key binary, doc long, span long, around binary")
     grown = contexts.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_grow, "key binary, place long, mask long")
     # Equal windows have their prefix at the same place of theirs, so the first window is the one of the first prefix.
-    first = stage(left.groupBy("name", "check").agg(F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "check", "first"), "first-windows")
-    later = left.join(first, ["name", "check"]).where(F.struct("doc", "place") > F.col("first")).select("key", "place", "mask")
+    first = left.select("doc", "place", F.inline("finer").alias("name", "check", "bit")).groupBy("name", "check").agg(F.min(F.struct("doc", "place")).alias("first"))
+    first = stage(first.groupBy("first.doc", "first.place").agg(F.collect_set(F.struct("name", "check")).alias("first")), "first-windows")
+    # A suffix meets the windows that are first where it stands; its others are repeats.
+    is_first = lambda w: F.coalesce(F.array_contains("first", F.struct(w["name"].alias("name"), w["check"].alias("check"))), F.lit(False))
+    again = F.aggregate("finer", F.lit(0).cast("bigint"), lambda m, w: F.when(is_first(w), m).otherwise(m.bitwiseOR(w["mask"])))
+    later = left.join(first, ["doc", "place"], "left").select("key", "place", again.alias("mask")).where("mask <> 0")
     return grown.unionByName(later).groupBy("key").agg(F.collect_set(F.struct("place", "mask")).alias("places"))
 
 
