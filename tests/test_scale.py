@@ -129,6 +129,16 @@ def test_arrays_cut_anywhere(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_array_files_are_read_twice(spark, tmp_path):
+    """Once for the ranges' states and once for the pieces, which are kept: what follows reads the kept table."""
+    values = [{"k": i, "t": "a, b"} for i in range(2000)]
+    (tmp_path / "a.json").write_text(json.dumps(values))
+    pieces = json_arrays._pieces(spark, str(tmp_path / "a.json")).count()
+    plans = json_arrays.elements(spark, str(tmp_path / "a.json"))
+    assert "Format: Text" not in plans._jdf.queryExecution().executedPlan().toString()
+    assert pieces == 3 * len(values) and array_rows(spark, tmp_path / "a.json") == values
+
+
 @pytest.mark.parametrize(("text", "rows"), [("[]", []), (" [ ] ", []), ("[1]", [1]), ("[[]]", [[]]), ("{}", None), ("[1, 2", None), ('["a]', None), ("1, 2", None), ("[1], 2", None), ("", None)])
 def test_roots_of_arrays(spark, tmp_path, text, rows):
     (tmp_path / "a.json").write_text(text)

@@ -10,6 +10,7 @@ over the ranges (a row each), so no task sees more than its own range.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,12 +34,15 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     plain = F.regexp_replace("piece", r"(?s)\\.", "")
     strings = lambda t: F.regexp_replace(t, r'"[^"]*(?:"|\z)', "")
     opened = lambda t: _count(t, "[{") - _count(t, "]}")
-    counted = placed.withColumn("plain", plain)
-    return counted.select("file", "block", "i", "piece", _count(F.col("plain"), '"').alias("quotes"), opened(strings(F.col("plain"))).alias("out"), opened(strings(F.regexp_replace("plain", r'^[^"]*(?:"|\z)', ""))).alias("inside"))
+    # Most pieces are from the middle of a text: without a quote or bracket there is nothing to count.
+    marked = reduce(Column.__or__, (F.contains("piece", F.lit(c)) for c in '"[]{}'))
+    some = lambda count: F.when(F.col("marked"), count).otherwise(0)
+    counted = placed.withColumn("marked", marked).withColumn("plain", F.when(F.col("marked"), plain))
+    return counted.select("file", "block", "i", "piece", some(_count(F.col("plain"), '"')).alias("quotes"), some(opened(strings(F.col("plain")))).alias("out"), some(opened(strings(F.regexp_replace("plain", r'^[^"]*(?:"|\z)', "")))).alias("inside"))
 
 
 def _kept(df: DataFrame) -> DataFrame:
-    """A table of a row a range, in the shared folder, so that a range's pieces aren't read again for it."""
+    """A table in the shared folder, so that what it was made from isn't read again for it."""
     path = f"{shared_dir(df.sparkSession)}/tracewell/ranges-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -54,8 +58,8 @@ def elements(spark: SparkSession, path: str) -> DataFrame:
     """(file, at, text): the elements of the array in each file, in any JSON, with their place from 0. Fails if a root is no array or doesn't end.
 
     The text of an element is as long as it is; all else of a task is bounded by its byte range. The
-    file is read three times: for the state at each range's begin, for its number of elements, and for the elements. An
-    empty array has no elements.
+    file is read twice: for the state at each range's begin, and for its pieces, which are kept in the shared folder with the
+    elements that end before them in their range. An empty array has no elements.
     """
     here = Window.partitionBy("file", "block").orderBy("i")
     earlier, so_far = here.rowsBetween(Window.unboundedPreceding, -1), here.rowsBetween(Window.unboundedPreceding, 0)
@@ -73,9 +77,10 @@ def elements(spark: SparkSession, path: str) -> DataFrame:
     deep = joined.select("file", "block", "i", "piece", (F.col("depth") + F.sum(opened).over(so_far)).alias("depth"), ends_out.alias("ends_out"))
     # A comma outside of strings at depth 1 ends an element; behind the last piece of a file there is none.
     cut = F.col("ends_out") & (F.col("depth") == 1)
-    counts = _kept(deep.groupBy("file", "block").agg(F.count_if(cut).alias("cuts"), F.max("i").alias("i")))
+    deep = _kept(deep.select("file", "block", "i", "piece", "depth", "ends_out", cut.alias("cut"), F.count_if(cut).over(earlier).alias("cuts_here")))
+    counts = _kept(deep.groupBy("file", "block").agg(F.count_if("cut").alias("cuts"), F.max("i").alias("i")))
     end = counts.groupBy("file").agg(F.max(F.struct("block", "i")).alias("end"))
-    placed = deep.join(_before(counts, "cuts"), ["file", "block"]).withColumn("at", F.col("cuts") + F.coalesce(F.count_if(cut).over(earlier), F.lit(0)))
+    placed = deep.join(_before(counts, "cuts"), ["file", "block"]).withColumn("at", F.col("cuts") + F.col("cuts_here"))
     parts = F.array_sort(F.collect_list(F.struct("block", "i", "piece")))
     last = F.max(F.struct("block", "i", "depth", "ends_out")).alias("last")
     whole = placed.groupBy("file", "at").agg(F.array_join(F.transform(parts, lambda p: p.piece), ",").alias("text"), last).join(end, "file")
